@@ -1,0 +1,64 @@
+"""XML parser contract and tar round trips (edge corpus)."""
+
+import io
+import tarfile
+
+from pyspark.sql import functions as F
+
+from figpairs.operators.figures import extract_figures, parse_figures_xml
+from figpairs.sources import archive
+from tests import model
+
+
+def test_parser_contract():
+    xml = model.article_xml("5", "PMC5", [("F1", "Fig. 1", "<title>T</title><p>cap <b>bold</b></p>", "sub/f1"),
+                                           ("F2", "Fig. 2", "", None)])
+    figs, err = parse_figures_xml(xml)
+    assert err is None
+    assert [(f["fig_id"], f["fig_label"], f["fig_caption"], f["graphic_ref"], f["pmid"], f["pmc"]) for f in figs] == [
+        ("F1", "Fig. 1", "T cap bold", "sub/f1", "5", "PMC5"), ("F2", "Fig. 2", "", None, "5", "PMC5")]
+
+
+def test_parser_edge_cases():
+    assert parse_figures_xml(b"<article><fig>")[1].startswith("xml_syntax")
+    figs, err = parse_figures_xml(b"<article><p>no figures</p></article>")
+    assert err is None and figs == []
+    # undeclared HTML entity without a DOCTYPE
+    figs, err = parse_figures_xml(b"<article><fig id='a'><caption><p>x&nbsp;y&eacute;</p></caption></fig></article>")
+    assert err is None and figs[0]["fig_caption"] == "x\xa0y\xe9"
+    # DOCTYPE naming a DTD that does not exist: never fetched
+    d = b'<!DOCTYPE article PUBLIC "-//X//DTD Y//EN" "http://invalid.example/none.dtd"><article><fig id="a"/></article>'
+    figs, err = parse_figures_xml(d)
+    assert err is None and figs[0]["fig_id"] == "a" and figs[0]["graphic_ref"] is None
+    assert parse_figures_xml(None)[1] == "no_xml"
+
+
+def test_extract_figures_spark(spark):
+    docs = [(1, model.article_xml("1", "1", [("F1", "L", "<p>c</p>", "g")])), (2, b"<broken"), (3, None)]
+    df = spark.createDataFrame(docs, "id long, xml binary")
+    out = {r.id: (r.parse_error, len(r.figures)) for r in extract_figures(df).collect()}
+    assert out[1] == (None, 1)
+    assert out[2][0].startswith("xml_syntax") and out[2][1] == 0
+    assert out[3] == ("no_xml", 0)
+
+
+def test_unpack_round_trip_and_first_xml(spark):
+    pkg = model.targz([("A/x.jpg", b"\xff\xd8\xff1"), ("A/first.NXML", b"<a/>"), ("A/second.nxml", b"<b/>"), ("A/d", None)])
+    bad = b"\x1f\x8bnot-gzip"
+    df = spark.createDataFrame([("p1", len(pkg), pkg), ("p2", len(bad), bad)], "path string, length long, content binary")
+    idx = {r.path: r for r in archive.unpack_index(df).collect()}
+    assert idx["p1"].error is None and bytes(idx["p1"].xml) == b"<a/>"
+    assert [(m.pos, m.name, m.isfile) for m in idx["p1"].members] == [(0, "A/x.jpg", True), (1, "A/first.NXML", True), (2, "A/second.nxml", True), (3, "A/d", False)]
+    assert idx["p1"].members[0].fmt == "jpeg"
+    assert idx["p2"].error == "bad_archive"
+    mem = archive.unpack_members(df).filter(F.col("error").isNull()).orderBy("pos").collect()
+    assert [bytes(m.content) if m.content is not None else None for m in mem] == [b"\xff\xd8\xff1", b"<a/>", b"<b/>", None]
+
+
+def test_pack_each_round_trip(spark):
+    df = spark.createDataFrame([("n1.jpg", b"abc"), ("dir/n2.png", b"")], "name string, content binary")
+    packed = archive.pack_each(df).collect()
+    for r in packed:
+        with tarfile.open(fileobj=io.BytesIO(bytes(r.package)), mode="r:gz") as t:
+            (m,) = t.getmembers()
+            assert m.name == r.name and t.extractfile(m).read() == bytes(r.content)
