@@ -111,44 +111,43 @@ def match_images(figs: DataFrame, members: DataFrame, keys=("article_id",), fig_
     ``figs`` needs ``keys``, ``fig_key`` (unique within the article) and
     ``ref_col``; ``members`` needs ``keys``, ``pos``, ``name`` (and optionally
     ``isfile``).  ``how="left"`` keeps unmatched figures with NULLs.
+
+    Exact and loose hits are produced as candidate rows with a priority —
+    the candidate rank 0..5 for exact hits, 6 for loose ones — and one
+    ``min_by`` over (priority, map position) per figure picks the winner, so an
+    exact hit always beats a loose one without a second pass.
     """
     keys = list(keys)
     fk = keys + [fig_key]
     imap = image_map(members, keys)
     f = with_ref_parts(figs.filter(F.col(ref_col).isNotNull()), ref_col).select(*fk, "ref_stem", "candidates")
+    hit = F.struct(F.col("key").alias("member_key"), "member_pos", "prio")
 
-    # M4: exact, by candidate priority.
-    cand = f.select(*fk, F.posexplode("candidates").alias("rank", "key"))
-    exact = (
-        cand.join(imap, keys + ["key"])
-        .groupBy(*fk)
-        .agg(F.min_by(F.struct(F.col("key").alias("member_key"), "member_pos"), "rank").alias("m"))
-        .select(*fk, "m.member_key", "m.member_pos", F.lit("exact").alias("match_kind"))
-    )
-    hits = exact
+    # M4: exact, by candidate priority (equi-join on article + key).
+    cand = f.select(*fk, F.posexplode("candidates").alias("prio", "key"))
+    found = cand.join(imap, keys + ["key"]).select(*fk, hit.alias("h"), F.lit(0).alias("order_pos"))
     if not strict:
-        # M5: figures without an exact hit.
-        rest = f.join(exact.select(*fk), fk, "left_anti").select(*fk, "ref_stem", F.length("ref_stem").alias("slen"))
+        # M5: the first key (map order) containing the stem.
+        stems = f.select(*fk, "ref_stem", F.length("ref_stem").alias("slen"))
         # Empty stem: contained in every key → the first key of the map.
-        first_key = imap.groupBy(*keys).agg(F.min_by(F.struct(F.col("key").alias("member_key"), "member_pos"), "first_pos").alias("m"))
-        loose_empty = rest.filter(F.col("slen") == 0).join(first_key, keys).select(*fk, "m.member_key", "m.member_pos")
-        # Non-empty stem: substrings of each key at the stem lengths the article needs.
-        lens = rest.filter(F.col("slen") > 0).select(*keys, "slen").distinct()
+        first_key = imap.groupBy(*keys).agg(F.min_by(F.struct("key", "member_pos", "first_pos"), "first_pos").alias("m"))
+        loose_empty = stems.filter(F.col("slen") == 0).join(first_key, keys).select(
+            *fk, F.struct(F.col("m.key").alias("member_key"), F.col("m.member_pos").alias("member_pos"), F.lit(6).alias("prio")).alias("h"),
+            F.col("m.first_pos").alias("order_pos"))
+        # Non-empty stem: substrings of each key at the stem lengths the article needs,
+        # equi-joined on (article, substring = stem).  Lengths per article are
+        # bounded by the longest file name, so the key × length product is bounded.
+        lens = stems.filter(F.col("slen") > 0).select(*keys, "slen").distinct()
         subs = (
             imap.join(lens, keys)
             .filter(F.length("key") >= F.col("slen"))
             .select(*keys, "key", "first_pos", "member_pos", "slen",
                     F.explode(F.sequence(F.lit(1), F.length("key") - F.col("slen") + 1)).alias("i"))
             .select(*keys, "key", "first_pos", "member_pos", F.expr("substring(key, i, slen)").alias("ref_stem"))
-            .dropDuplicates([*keys, "key", "ref_stem"])
-        )
-        loose_ne = (
-            rest.filter(F.col("slen") > 0)
-            .join(subs, keys + ["ref_stem"])
-            .groupBy(*fk)
-            .agg(F.min_by(F.struct(F.col("key").alias("member_key"), "member_pos"), "first_pos").alias("m"))
-            .select(*fk, "m.member_key", "m.member_pos")
         )
-        loose = loose_empty.unionByName(loose_ne).withColumn("match_kind", F.lit("loose"))
-        hits = hits.unionByName(loose)
+        loose = stems.filter(F.col("slen") > 0).join(subs, keys + ["ref_stem"]).select(
+            *fk, F.struct(F.col("key").alias("member_key"), "member_pos", F.lit(6).alias("prio")).alias("h"), F.col("first_pos").alias("order_pos"))
+        found = found.unionByName(loose_empty).unionByName(loose)
+    best = found.groupBy(*fk).agg(F.min_by("h", F.struct(F.col("h.prio"), F.col("order_pos"))).alias("b"))
+    hits = best.select(*fk, "b.member_key", "b.member_pos", F.when(F.col("b.prio") < 6, "exact").otherwise("loose").alias("match_kind"))
     return figs.join(hits, fk, how)
