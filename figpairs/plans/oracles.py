@@ -231,6 +231,25 @@ SELECT shard_idx, count(*) AS n FROM sh GROUP BY 1""",
     "articles_json_roundtrip": f"""WITH {XML_LINES}
 SELECT CAST(conv_id + 100000 AS VARCHAR) AS pmid, CAST(conv_id AS VARCHAR) AS pmc, '/data/PMC' || conv_id AS location,
        CAST(len(parts) AS BIGINT) AS n_figures FROM s WHERE NOT broken""",
+    "split_files": cte("raw_list") + """,
+ c AS (SELECT line_no, string_split(value, chr(9))[3] AS pmcid FROM raw_list WHERE len(string_split(value, chr(9))) >= 5),
+ s AS (SELECT line_no, CASE WHEN CAST(('0x' || substr(md5(pmcid), 1, 8)) AS BIGINT) % 100 < 97 THEN 'train'
+                            WHEN CAST(('0x' || substr(md5(pmcid), 1, 8)) AS BIGINT) % 100 < 98 THEN 'dev' ELSE 'test' END AS split FROM c)
+SELECT split || '-' || lpad(CAST((line_no - 1) // 1000000 AS VARCHAR), 5, '0') AS list, count(*) + 1 AS n_lines, CAST(1 AS BIGINT) AS n_headers
+FROM s GROUP BY 1""",
+    "split_order": cte("raw_list") + """,
+ c AS (SELECT line_no, string_split(value, chr(9))[3] AS pmcid FROM raw_list WHERE len(string_split(value, chr(9))) >= 5),
+ s AS (SELECT line_no, CASE WHEN CAST(('0x' || substr(md5(pmcid), 1, 8)) AS BIGINT) % 100 < 97 THEN 'train'
+                            WHEN CAST(('0x' || substr(md5(pmcid), 1, 8)) AS BIGINT) % 100 < 98 THEN 'dev' ELSE 'test' END AS split FROM c)
+SELECT split || '-' || lpad(CAST((line_no - 1) // 1000000 AS VARCHAR), 5, '0') AS list, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_out_of_order
+FROM s GROUP BY 1""",
+    "shard_files": cte("raw_list") + f"""
+SELECT 'train_shard-' || lpad(CAST((line_no - 1) // {SHARD} AS VARCHAR), 5, '0') AS shard_name, count(*) + 1 AS n_lines, CAST(1 AS BIGINT) AS n_headers
+FROM raw_list GROUP BY 1""",
+    "shard_union": BASE_PAIRS + f""",
+ sh AS (SELECT pr.*, (cat.line_no - 1) // {SHARD} AS shard_idx FROM pr JOIN cat ON cat.pmcid = pr.pmcid
+        QUALIFY row_number() OVER (PARTITION BY shard_idx, pr.pair_id ORDER BY pr.article_id, pr.fig_pos) = 1)
+SELECT pair_id, image, caption, shard_idx FROM sh""",
     "packed_shards": SPLIT_PAIRS + f"""
 SELECT lpad(CAST((line_no - 1) // {SHARD} AS VARCHAR), 6, '0') AS shard, count(*) AS n_samples
 FROM sprs WHERE split = 'train' GROUP BY 1""",

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from figpairs.functions.text import split_tabs
@@ -437,6 +437,28 @@ def q_shard_files(spark, sf):
     return back.groupBy(name).agg(F.count(F.lit(1)).alias("n_lines"), F.count_if((F.col("line_no") == 0) & (F.col("value") == head)).alias("n_headers"))
 
 
+def q_split_order(spark, sf):
+    """Written split lists keep input order — out-of-order neighbours per list file."""
+    cat = sinks.split_list_key(split.assign_split(catalogue.parse_catalogue(proxy(spark, sf, "raw_list"), "at_least_five")))
+    path = _roundtrip_dir(spark, "split-order")
+    sinks.write_lists(cat.withColumn("value", F.concat_ws("\t", F.col("line_no").cast("string"), "value")), path, "H", key="list")
+    back = catalogue.read_lines(spark, path, glob="*.txt", recursive=True).filter(F.col("line_no") > 0)
+    back = back.withColumn("src", F.split("value", "\t").getItem(0).cast("bigint"))
+    w = Window.partitionBy("file_path").orderBy("line_no")
+    back = back.withColumn("prev", F.lag("src").over(w))
+    name = F.regexp_extract("file_path", r"list=([^/]+)/", 1).alias("list")
+    return back.groupBy(name).agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("prev") >= F.col("src")).alias("n_out_of_order"))
+
+
+def q_shard_union(spark, sf):
+    """The shard outputs read back together are the train pair set."""
+    cat = split.assign_shard(_cat(spark, sf), SHARD).select("pmcid", "shard_idx")
+    d = pairs.dedupe_first(_pair_rows(spark, sf).withColumn("line_no", F.col("article_id") + 1).join(cat, "pmcid"), scope=("shard_idx",))
+    path = _roundtrip_dir(spark, "shard-union")
+    sinks.write_pairs(d, path, scope=("shard_idx",), mode="overwrite")
+    return spark.read.json(path).select("pair_id", "image", "caption", F.col("shard_idx").cast("bigint").alias("shard_idx"))
+
+
 def q_packed_shards(spark, sf):
     d = _split_pairs(spark, sf).filter(F.col("split") == "train")
     c = _content(spark, sf).select("article_id", F.col("pos").alias("member_pos"), "content")
