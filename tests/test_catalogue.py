@@ -112,3 +112,32 @@ def test_line_numbers_plan_has_no_single_partition_window(spark, tmpdir_fresh):
     p = write(os.path.join(tmpdir_fresh, "x.txt"), "".join(f"{i}\n" for i in range(100)))
     plan = catalogue.read_lines(spark, p)._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
+
+
+def test_split_then_shard_end_to_end(spark, tmpdir_fresh):
+    from figpairs.plans.pipeline import shard_catalogue, split_catalogue
+
+    src = os.path.join(tmpdir_fresh, "list.txt")
+    body = "".join(f"p/{i}\tT\tPMC{i}\t{i}\tc\n" if i % 50 else f"bad line {i}\n" for i in range(1, 1201))
+    write(src, "path\ttitle\tpmcid\tpmid\tcode\n" + body)
+    out = os.path.join(tmpdir_fresh, "splits")
+    split_catalogue(spark, src, out)
+    per = {}
+    for dp, _, fs in os.walk(out):
+        for f in fs:
+            if f.endswith(".txt"):
+                rows = open(os.path.join(dp, f)).read().splitlines()
+                assert rows[0].startswith("path\t")
+                per[os.path.basename(dp)] = rows[1:]
+    exp = {}
+    for i in range(1, 1201):
+        if i % 50:
+            exp.setdefault("list=" + model.split_of(f"PMC{i}") + "-00000", []).append(f"p/{i}\tT\tPMC{i}\t{i}\tc")
+    assert per == exp
+    train_file = [os.path.join(dp, f) for dp, _, fs in os.walk(out) for f in fs if f.endswith(".txt") and "train" in dp][0]
+    shards = os.path.join(tmpdir_fresh, "shards")
+    shard_catalogue(spark, train_file, shards, prefix="train", shard_size=100)
+    names = sorted(d for d in os.listdir(shards) if d.startswith("shard_name="))
+    n_train = len(exp["list=train-00000"])
+    assert len(names) == (n_train + 99) // 100
+    assert names[0] == "shard_name=train_shard-00000"

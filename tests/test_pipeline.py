@@ -110,3 +110,16 @@ def test_size_guard_marks_too_large(spark, tmpdir_fresh):
     reasons = {r.pmcid: r.reason for r in b.entries.collect()}
     assert reasons["PMC1"] == "too_large"
     assert b.pairs.count() == 0
+
+
+def test_build_plan_keeps_bytes_out_of_shuffles(spark, tmpdir_fresh):
+    pk, cat_path, P, entries = write_fixture(tmpdir_fresh)
+    cat = split.assign_split(catalogue.read_catalogue(spark, cat_path))
+    b = build_pairs(cat, archive.scan_packages(spark, pk))
+    plan = b.pairs._jdf.queryExecution().executedPlan().toString()
+    # The index is checkpointed without bytes: nothing above it reads `content`
+    # and no Python runs after the checkpoint.
+    assert "content" not in plan
+    assert "MapInArrow" not in plan and "PythonUDF" not in plan
+    idx_plan = b.index._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in b.index.columns
