@@ -250,7 +250,7 @@ FROM raw_list GROUP BY 1""",
  sh AS (SELECT pr.*, (cat.line_no - 1) // {SHARD} AS shard_idx FROM pr JOIN cat ON cat.pmcid = pr.pmcid
         QUALIFY row_number() OVER (PARTITION BY shard_idx, pr.pair_id ORDER BY pr.article_id, pr.fig_pos) = 1)
 SELECT pair_id, image, caption, shard_idx FROM sh""",
-    "packed_shards": SPLIT_PAIRS + f"""
-SELECT lpad(CAST((line_no - 1) // {SHARD} AS VARCHAR), 6, '0') AS shard, count(*) AS n_samples
-FROM sprs WHERE split = 'train' GROUP BY 1""",
+    "packed_shards": SPLIT_PAIRS + f""",
+ tr AS (SELECT row_number() OVER (ORDER BY line_no, fig_pos) - 1 AS ordinal FROM sprs WHERE split = 'train')
+SELECT lpad(CAST(ordinal // {SHARD} AS VARCHAR), 6, '0') AS shard, count(*) AS n_samples FROM tr GROUP BY 1""",
 }

@@ -460,11 +460,11 @@ def q_shard_union(spark, sf):
 
 
 def q_packed_shards(spark, sf):
+    """K7: train pairs packed into tar shards of ``SHARD`` samples, in (line, figure) order."""
     d = _split_pairs(spark, sf).filter(F.col("split") == "train")
     c = _content(spark, sf).select("article_id", F.col("pos").alias("member_pos"), "content")
-    d = d.join(c, ["article_id", "member_pos"])
-    d = d.withColumn("ordinal", F.col("line_no") * 1000 + F.col("fig_pos"))
-    d = d.withColumn("shard_idx", F.expr(f"(line_no - 1) div {SHARD}"))
+    d = catalogue.with_ordinal(d.join(c, ["article_id", "member_pos"]), ["line_no", "fig_pos"])
+    d = d.withColumn("shard_idx", F.expr(f"ordinal div {SHARD}"))
     out = _roundtrip_dir(spark, "packed")
     st = sinks.pack_shards(d, out, "train")
     return st.select("shard", "n_samples")

@@ -46,6 +46,28 @@ def with_line_numbers(scan: DataFrame, name: str = "line_no", start: int = 0) ->
     return out.drop("_blk", "_mid", "_first", "_base")
 
 
+def with_ordinal(df: DataFrame, order, name: str = "ordinal", start: int = 0) -> DataFrame:
+    """Dense 0-based position of every row in ``order``, without a single-partition window.
+
+    The rows are range-sorted (a distributed sort) and checkpointed to the shared
+    folder so both passes see the same partitions; then each partition's row
+    count (one tiny row per partition) gives its offset, which is joined back and
+    added to the row's place inside its partition.
+    """
+    from figpairs.session import checkpoint_dir
+
+    checkpoint_dir(df.sparkSession)
+    order = list(order) if isinstance(order, (list, tuple)) else [order]
+    src = df.orderBy(*order).select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_mid"))
+    src = src.checkpoint(eager=True)
+    parts = src.groupBy("_part").agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.select("_part", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    out = join_checked(src, offsets, ["_part"])
+    out = out.withColumn(name, F.col("_base") + F.col("_mid") - F.col("_first") + F.lit(start))
+    return out.drop("_part", "_mid", "_first", "_base")
+
+
 def read_lines(spark: SparkSession, path, glob: str | None = None, recursive: bool = False) -> DataFrame:
     """Text lines with ``file_path`` and ``line_no`` (header = 0)."""
     r = spark.read.format("text")

@@ -141,3 +141,9 @@ def test_split_then_shard_end_to_end(spark, tmpdir_fresh):
     n_train = len(exp["list=train-00000"])
     assert len(names) == (n_train + 99) // 100
     assert names[0] == "shard_name=train_shard-00000"
+
+
+def test_with_ordinal_is_dense_and_ordered(spark):
+    df = spark.range(0, 5000, numPartitions=7).select((F.col("id") * 7919 % 5000).alias("k"))
+    rows = catalogue.with_ordinal(df.repartition(5), ["k"]).collect()
+    assert sorted((r.ordinal, r.k) for r in rows) == [(i, i) for i in range(5000)]
