@@ -9,13 +9,13 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from figpairs.functions.text import split_tabs
 from figpairs.operators import fetch, figures, images, match, pairs, report, split
-from figpairs.plans import proxies, sinks
-from figpairs.plans.proxies import cte, proxy, table
+from figpairs.plans import sinks
+from figpairs.plans.proxies import proxy, table
 from figpairs.session import scratch_path
 from figpairs.sources import archive, catalogue
 

@@ -1,6 +1,5 @@
 """Catalogue scan, line numbers, split and shard rules."""
 
-import hashlib
 import os
 
 import pytest

@@ -121,5 +121,5 @@ def test_build_plan_keeps_bytes_out_of_shuffles(spark, tmpdir_fresh):
     # and no Python runs after the checkpoint.
     assert "content" not in plan
     assert "MapInArrow" not in plan and "PythonUDF" not in plan
-    idx_plan = b.index._jdf.queryExecution().executedPlan().toString()
+
     assert "content" not in b.index.columns
