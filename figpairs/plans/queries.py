@@ -16,7 +16,7 @@ from figpairs.functions.text import split_tabs
 from figpairs.operators import fetch, figures, images, match, pairs, report, split
 from figpairs.plans import sinks
 from figpairs.plans.proxies import proxy, table
-from figpairs.session import scratch_path
+from figpairs.session import checkpoint_dir, scratch_path
 from figpairs.sources import archive, catalogue
 
 # Parameters of the proxy runs (chosen for the proxy scale, fixed across rounds).
@@ -473,7 +473,10 @@ def q_packed_shards(spark, sf):
 def q_build_pairs(spark, sf):
     """Flagship: catalogue → split → figures → usable → match → resume → first-success dedupe → pair records."""
     cat = split.assign_split(_cat(spark, sf)).select("pmcid", "split", "line_no")
-    rows = _pair_rows(spark, sf).join(cat, "pmcid")
+    checkpoint_dir(spark)
+    # The matched rows feed both the prior-output fixture and the build: write
+    # them once to the shared checkpoint folder instead of matching twice.
+    rows = _pair_rows(spark, sf).join(cat, "pmcid").checkpoint(eager=True)
     prior = rows.filter(F.col("article_id") % 3 == 0).select("split", "pair_id")
     out = pairs.build_pair_rows(rows, existing=prior, scope=("split",), resume=True)
     return out.select("image", "caption", "pmid", "pmcid", "pair_id", "split")
