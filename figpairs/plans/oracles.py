@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from figpairs.plans.proxies import cte
+from figpairs.plans.proxies import GRAPHIC_REF_SQL, cte, member_junk_sql, member_name_sql
 from figpairs.plans.queries import MAX_MB, SHARD, SUBSET
 
 WS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -97,7 +97,33 @@ FMT = """CASE WHEN (article_id + pos) % 5 = 4 THEN NULL
           WHEN lower(name) LIKE '%.nxml' THEN NULL ELSE 'jpeg' END"""
 
 
+PKG = f"""WITH base AS (
+  SELECT conv_id, turn, text, conv_id * 1000 + turn AS article_id, conv_id * 1000 + turn + 1 AS line_no,
+         {GRAPHIC_REF_SQL.replace("STRING", "VARCHAR")} AS graphic_ref
+  FROM conversations WHERE (conv_id + turn) % 13 <> 7),
+ uf AS (SELECT article_id, 0 AS fig_pos, line_no, 'F' || (turn % 5) AS fig_id, trim(text, {WS}) AS caption, graphic_ref,
+          coalesce(nullif(CASE WHEN conv_id % 5 = 0 THEN '' ELSE CAST(100000 + conv_id AS VARCHAR) END, ''), CAST(200000 + conv_id AS VARCHAR)) AS pmid,
+          CASE WHEN turn % 2 = 0 THEN conv_id || '-' || turn ELSE 'PMC' || conv_id || '-' || turn END AS pmcid,
+          'PMC' || conv_id || '-' || turn AS cat_pmcid
+        FROM base WHERE (conv_id + turn) % 11 <> 10 AND trim(text, {WS}) <> '' AND graphic_ref <> ''),
+ members AS (SELECT article_id, 1 AS pos, {member_name_sql(0)} AS name, {member_junk_sql(0)} AS junk FROM base
+             UNION ALL
+             SELECT article_id, 2 AS pos, {member_name_sql(1)} AS name, {member_junk_sql(1)} AS junk FROM base WHERE (conv_id + turn) % 2 = 0),
+ {MATCH},
+ pk AS (SELECT uf.line_no, uf.fig_id, uf.caption, uf.pmid, uf.pmcid, uf.cat_pmcid FROM uf
+        JOIN mall ON mall.article_id = uf.article_id AND mall.fig_pos = uf.fig_pos
+        JOIN members m ON m.article_id = mall.article_id AND m.pos = mall.member_pos WHERE NOT m.junk),
+ ps AS (SELECT *, CASE WHEN b < 97 THEN 'train' WHEN b < 98 THEN 'dev' ELSE 'test' END AS split
+        FROM (SELECT *, CAST(('0x' || substr(md5(cat_pmcid), 1, 8)) AS BIGINT) % 100 AS b FROM pk)),
+ pdd AS (SELECT * FROM ps QUALIFY row_number() OVER (PARTITION BY split, pmid || '_' || fig_id ORDER BY line_no) = 1)"""
+
 ORACLE: dict[str, str] = {
+    "build_from_packages": PKG + """
+SELECT pmcid || '/' || pmcid || '_fig-' || fig_id || '.jpg' AS image, caption, pmid, pmcid, pmid || '_' || fig_id AS pair_id, split FROM pdd""",
+    "build_from_packages_skips": PKG + """
+SELECT CASE WHEN (conv_id + turn) % 13 = 7 THEN 'bad_archive'
+            WHEN conv_id * 1000 + turn + 1 IN (SELECT line_no FROM pdd) THEN 'ok' ELSE 'no_pair_written' END AS reason, count(*) AS n
+FROM conversations GROUP BY 1""",
     "list_skip_malformed": cte("raw_list") + f",\n {CAT}\nSELECT * FROM cat",
     "list_failfast_violations": cte("raw_list") + f"""
 SELECT line_no, n_fields FROM (

@@ -96,9 +96,73 @@ SELECT concat('oa_package/', substring(md5(concat('', doc_id)), 1, 2), '/PMC', d
 FROM {documents} WHERE doc_id % 4 IN (1, 2)
 """
 
+def member_name_sql(d: int) -> str:
+    """The ``members`` view's name expression for a fixed ``d`` (0 or 1)."""
+    return f"""concat('PMC', conv_id, '{'/alt/' if d else '/'}',
+    CASE WHEN (conv_id + turn) % 3 = 0 THEN 'A' ELSE 'a' END, conv_id, '-g', turn,
+    CASE (conv_id + turn + CASE WHEN (conv_id + turn) % 4 = 0 THEN 0 ELSE {d} END) % 7
+      WHEN 0 THEN '.jpg' WHEN 1 THEN '.PNG' WHEN 2 THEN '.tif'
+      WHEN 3 THEN '.jpeg' WHEN 4 THEN '.nxml' WHEN 5 THEN '.jpg' ELSE '.tiff' END)"""
+
+
+def member_junk_sql(d: int) -> str:
+    """Members whose bytes carry no image signature (every fifth position)."""
+    return f"(conv_id + 2 * turn + {d}) % 5 = 4"
+
+
+GRAPHIC_REF_SQL = """CASE (conv_id + turn) % 8
+    WHEN 0 THEN concat('a', conv_id, '-g', turn)
+    WHEN 1 THEN concat('sub/a', conv_id, '-g', turn, '.jpg')
+    WHEN 2 THEN concat('A', conv_id, '-G', turn)
+    WHEN 3 THEN CAST(NULL AS STRING)
+    WHEN 4 THEN concat('a', conv_id, '-g.', turn)
+    WHEN 5 THEN concat('g', turn)
+    WHEN 6 THEN concat('a', conv_id, '-G', turn, 'x')
+    ELSE concat('a', conv_id, '-g', turn, '.tif') END"""
+
+
+def _sig_sql(d: int) -> str:
+    n = member_name_sql(d)
+    return f"""CASE WHEN {member_junk_sql(d)} THEN '00112233445566778899AABBCCDDEEFF'
+              WHEN lower({n}) LIKE '%.png' THEN '89504E470D0A1A0A0000000D49484452'
+              WHEN lower({n}) LIKE '%.tif' OR lower({n}) LIKE '%.tiff' THEN '49492A0008000000'
+              WHEN lower({n}) LIKE '%.nxml' THEN '3C3F786D6C'
+              ELSE 'FFD8FFE000104A464946' END"""
+
+
+# One package per conversation row (Spark side only): the article XML first,
+# then the row's one or two members with synthetic bytes; every 13th package is
+# corrupted after packing.  Catalogue fields ride along.
+PACKAGE_ROWS = f"""
+SELECT conv_id, turn, conv_id * 1000 + turn + 1 AS line_no,
+  concat('PMC', conv_id, '-', turn) AS pmcid, concat('', 200000 + conv_id) AS pmid,
+  concat('/packages/PMC', conv_id, '-', turn, '.tar.gz') AS path,
+  (conv_id + turn) % 13 = 7 AS corrupt,
+  CASE WHEN (conv_id + turn) % 2 = 0 THEN array(xml_name, n0, n1) ELSE array(xml_name, n0) END AS names,
+  CASE WHEN (conv_id + turn) % 2 = 0 THEN array(xml, c0, c1) ELSE array(xml, c0) END AS contents
+FROM (
+  SELECT conv_id, turn,
+    concat('PMC', conv_id, '-', turn, '/article.nxml') AS xml_name,
+    encode(concat('<?xml version="1.0"?><article xmlns:xlink="http://www.w3.org/1999/xlink"><front><article-meta>',
+      '<article-id pub-id-type="pmid">', CASE WHEN conv_id % 5 = 0 THEN '' ELSE concat('', 100000 + conv_id) END, '</article-id>',
+      CASE WHEN turn % 2 = 0 THEN concat('<article-id pub-id-type="pmc">', conv_id, '-', turn, '</article-id>') ELSE '' END,
+      '</article-meta></front><body><fig id="F', turn % 5, '"><label>Figure ', turn, '</label><caption><p>',
+      replace(replace(replace(CASE WHEN (conv_id + turn) % 11 = 10 THEN '  ' ELSE text END, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'),
+      '</p></caption>',
+      CASE WHEN ref IS NULL THEN '' ELSE concat('<graphic xlink:href="', ref, '"/>') END,
+      '</fig></body></article>'), 'UTF-8') AS xml,
+    {member_name_sql(0)} AS n0,
+    {member_name_sql(1)} AS n1,
+    concat(unhex({_sig_sql(0)}), encode(text, 'UTF-8')) AS c0,
+    concat(unhex({_sig_sql(1)}), encode(text, 'UTF-8')) AS c1
+  FROM (SELECT *, {GRAPHIC_REF_SQL} AS ref FROM {{conversations}}) r
+) x
+"""
+
 MEMBERS_TEXT = MEMBERS.replace("AS size\n", "AS size, text\n", 1)
 
 PROXIES = {
+    "package_rows": (PACKAGE_ROWS, ("conversations",)),
     "members_text": (MEMBERS_TEXT, ("conversations",)),
     "members_content": (MEMBERS_CONTENT, ("members_text",)),
     "raw_list": (RAW_LIST, ("documents",)),

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from figpairs.functions.text import split_tabs
 from figpairs.operators import fetch, figures, images, match, pairs, report, split
 from figpairs.plans import sinks
+from figpairs.plans.pipeline import build_pairs
 from figpairs.plans.proxies import proxy, table
 from figpairs.session import checkpoint_dir, scratch_path
 from figpairs.sources import archive, catalogue
@@ -470,6 +471,31 @@ def q_packed_shards(spark, sf):
     return st.select("shard", "n_samples")
 
 
+def _landed_packages(spark, sf) -> DataFrame:
+    """Real ``.tar.gz`` packages, one per conversation row, written once to the
+    checkpoint folder (the fixture's "landing" area)."""
+    checkpoint_dir(spark)
+    rows = proxy(spark, sf, "package_rows")
+    packed = archive.pack_rows(rows.select("path", "corrupt", "names", "contents"))
+    packed = packed.withColumn("content", F.when(F.col("corrupt"), F.substring("content", 1, 20)).otherwise(F.col("content")))
+    return packed.select("path", F.length("content").cast("long").alias("length"), "content").checkpoint(eager=True)
+
+
+def _package_build(spark, sf):
+    cat = split.assign_split(proxy(spark, sf, "package_rows").select("line_no", "pmcid", "pmid"))
+    return build_pairs(cat, _landed_packages(spark, sf))
+
+
+def q_build_from_packages(spark, sf):
+    """End to end over real archives: unpack → parse XML → in-row match →
+    decodable → first-success dedupe per split → pair records."""
+    return _package_build(spark, sf).pairs.select("image", "caption", "pmid", "pmcid", "pair_id", "split")
+
+
+def q_build_from_packages_skips(spark, sf):
+    return report.skip_counts(_package_build(spark, sf).entries)
+
+
 def q_build_pairs(spark, sf):
     """Flagship: catalogue → split → figures → usable → match → resume → first-success dedupe → pair records."""
     cat = split.assign_split(_cat(spark, sf)).select("pmcid", "split", "line_no")

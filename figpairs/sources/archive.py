@@ -256,6 +256,27 @@ def _pack_rows_batches(name_col: str, content_col: str, out_schema: pa.Schema):
     return fn
 
 
+def _pack_arrays_batches(names_col: str, contents_col: str, out_col: str, out_schema: pa.Schema):
+    def fn(batches):
+        for b in batches:
+            names = b.column(names_col).to_pylist()
+            datas = b.column(contents_col).to_pylist()
+            packed = [None if n is None else tar_bytes(list(zip(n, d or []))) for n, d in zip(names, datas)]
+            cols = [b.column(n) for n in out_schema.names if n != out_col] + [pa.array(packed, type=pa.binary())]
+            yield pa.RecordBatch.from_arrays(cols, schema=out_schema)
+
+    return fn
+
+
+def pack_rows(df: DataFrame, names_col: str = "names", contents_col: str = "contents", out_col: str = "content") -> DataFrame:
+    """One ``.tar.gz`` per row from the row's own ``names``/``contents`` arrays
+    (members in array order).  The arrays are dropped and ``out_col`` added."""
+    src = df.drop(out_col) if out_col in df.columns else df
+    schema = T.StructType(list(src.schema.fields) + [T.StructField(out_col, T.BinaryType())])
+    packed = src.mapInArrow(_pack_arrays_batches(names_col, contents_col, out_col, to_arrow_schema(schema)), schema)
+    return packed.drop(names_col, contents_col)
+
+
 def pack_each(df: DataFrame, name_col: str = "name", content_col: str = "content") -> DataFrame:
     """One single-member ``.tar.gz`` per row (round-trip fixture); adds ``package``."""
     src = df.drop("package") if "package" in df.columns else df
