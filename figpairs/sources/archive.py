@@ -69,7 +69,9 @@ def _index_one(content):
     try:
         with _open(content) as tar:
             xml_seen = False
-            for pos, m in enumerate(tar.getmembers()):
+            # Iterating the archive reads headers and data in one forward pass;
+            # ``getmembers()`` first would rewind the gzip stream for every read.
+            for pos, m in enumerate(tar):
                 low = m.name.lower()
                 fmt = None
                 if m.isfile() and low.endswith(IMAGE_EXTS):
@@ -124,7 +126,7 @@ def _members_batches(content_col: str, out_schema: pa.Schema, keep_names: list[s
             for i, c in enumerate(b.column(content_col).to_pylist()):
                 try:
                     with _open(c) as tar:
-                        for pos, m in enumerate(tar.getmembers()):
+                        for pos, m in enumerate(tar):
                             f = tar.extractfile(m) if m.isfile() else None
                             data = f.read() if f else None
                             for n in keep_names:
