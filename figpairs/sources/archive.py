@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from figpairs.functions.text import IMAGE_EXTS, PACKAGE_EXT, XML_EXT
-from figpairs.operators.images import sniff_format
+from figpairs.operators.images import decodable_bytes, sniff_format
 
 MEMBER_T = T.StructType(
     [
@@ -35,6 +35,7 @@ MEMBER_T = T.StructType(
         T.StructField("isfile", T.BooleanType()),
         T.StructField("size", T.LongType()),
         T.StructField("fmt", T.StringType()),
+        T.StructField("valid", T.BooleanType()),
     ]
 )
 
@@ -73,11 +74,12 @@ def _index_one(content):
             # ``getmembers()`` first would rewind the gzip stream for every read.
             for pos, m in enumerate(tar):
                 low = m.name.lower()
-                fmt = None
+                fmt = valid = None
                 if m.isfile() and low.endswith(IMAGE_EXTS):
                     f = tar.extractfile(m)
-                    fmt = sniff_format(f.read(64) if f else b"")
-                members.append({"pos": pos, "name": m.name, "isfile": m.isfile(), "size": int(m.size), "fmt": fmt})
+                    data = f.read() if f else b""
+                    fmt, valid = sniff_format(data[:64]), decodable_bytes(data)
+                members.append({"pos": pos, "name": m.name, "isfile": m.isfile(), "size": int(m.size), "fmt": fmt, "valid": valid})
                 if not xml_seen and low.endswith(XML_EXT):
                     xml_seen = True
                     f = tar.extractfile(m) if m.isfile() else None
