@@ -120,6 +120,49 @@ def unpack_index(packages: DataFrame, content_col: str = "content") -> DataFrame
     return src.mapInArrow(_index_batches(content_col, to_arrow_schema(schema)), schema)
 
 
+def _index_parse_batches(content_col: str, out_schema: pa.Schema):
+    from figpairs.operators.figures import parse_figures_xml
+
+    mtype = out_schema.field("members").type
+    ftype = out_schema.field("figures").type
+
+    def fn(batches):
+        for b in batches:
+            ms, hx, fs, pe, es = [], [], [], [], []
+            for c in b.column(content_col).to_pylist():
+                m, x, e = _index_one(c)
+                figs, perr = parse_figures_xml(x) if (e is None and x is not None) else ([], None)
+                ms.append(m)
+                hx.append(x is not None)
+                fs.append(figs)
+                pe.append(perr)
+                es.append(e)
+            cols = [b.column(n) for n in out_schema.names if n not in ("members", "has_xml", "figures", "parse_error", "error")]
+            cols += [pa.array(ms, type=mtype), pa.array(hx, type=pa.bool_()), pa.array(fs, type=ftype),
+                     pa.array(pe, type=pa.string()), pa.array(es, type=pa.string())]
+            yield pa.RecordBatch.from_arrays(cols, schema=out_schema)
+
+    return fn
+
+
+def unpack_and_parse(packages: DataFrame, content_col: str = "content") -> DataFrame:
+    """S5 + X4 + X1 in one Python stage: per package the member list, whether it
+    has an XML member, the parsed figures of the first one, and the errors.
+    The XML bytes never leave the task."""
+    from figpairs.schemas import FIGURE
+
+    keep = [f for f in packages.schema.fields if f.name != content_col]
+    schema = T.StructType(keep + [
+        T.StructField("members", T.ArrayType(MEMBER_T)),
+        T.StructField("has_xml", T.BooleanType()),
+        T.StructField("figures", T.ArrayType(FIGURE)),
+        T.StructField("parse_error", T.StringType()),
+        T.StructField("error", T.StringType()),
+    ])
+    src = packages.select(*[f.name for f in keep], content_col)
+    return src.mapInArrow(_index_parse_batches(content_col, to_arrow_schema(schema)), schema)
+
+
 def _members_batches(content_col: str, out_schema: pa.Schema, keep_names: list[str]):
     def fn(batches):
         for b in batches:
