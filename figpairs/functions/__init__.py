@@ -11,6 +11,7 @@ from figpairs.functions.text import (  # noqa: F401
     is_xml_name,
     md5_bucket,
     nonempty_or,
+    normalize_pmcid,
     parent_dir,
     py_strip,
     split_tabs,

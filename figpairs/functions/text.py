@@ -87,6 +87,13 @@ def nonempty_or(a, b) -> Column:
     return F.coalesce(F.nullif(col_(a), F.lit("")), col_(b))
 
 
+def normalize_pmcid(c) -> Column:
+    """Bare-digit article ids get the ``PMC`` prefix (``"15015"`` → ``"PMC15015"``);
+    anything else is kept."""
+    x = col_(c)
+    return F.when(x.rlike(r"^[0-9]+$"), F.concat(F.lit("PMC"), x)).otherwise(x)
+
+
 def with_ext(c, ext: str = PACKAGE_EXT) -> Column:
     """Append ``ext`` unless the value already ends with it (case-sensitive)."""
     x = col_(c)

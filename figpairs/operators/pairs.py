@@ -40,10 +40,15 @@ def image_path(pmcid_col: str = "pmcid", fig_id_col: str = "fig_id") -> Column:
     return F.concat_ws("/", F.nullif(pmc, F.lit("")), F.format_string("%s_fig-%s.jpg", pmc, fid))
 
 
-def to_pair_records(df: DataFrame, keep=()) -> DataFrame:
+def to_pair_records(df: DataFrame, keep=(), key_on: str = "pmid") -> DataFrame:
     """the five contract columns in order (``caption`` already stripped),
-    plus any ``keep`` columns after them."""
-    out = df.withColumn("pair_id", pair_id("pmid", "fig_id")).withColumn("image", image_path("pmcid", "fig_id"))
+    plus any ``keep`` columns after them.
+
+    ``key_on="pmid"`` (default) builds ``pair_id`` as ``pmid_figid`` like the
+    source, where articles without a pmid collide on ids such as ``_F1``;
+    ``key_on="pmcid"`` keys on the always-present article id instead.
+    """
+    out = df.withColumn("pair_id", pair_id(key_on, "fig_id")).withColumn("image", image_path("pmcid", "fig_id"))
     return out.select(*PAIR_FIELDS, *keep)
 
 

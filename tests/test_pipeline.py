@@ -123,3 +123,13 @@ def test_build_plan_keeps_bytes_out_of_shuffles(spark, tmpdir_fresh):
     assert "MapInArrow" not in plan and "PythonUDF" not in plan
 
     assert "content" not in b.index.columns
+
+
+def test_key_on_pmcid_and_normalized_ids(spark, tmpdir_fresh):
+    pk, cat_path, P, entries = write_fixture(tmpdir_fresh)
+    cat = split.assign_split(catalogue.read_catalogue(spark, cat_path))
+    b = build_pairs(cat, archive.scan_packages(spark, pk), key_on="pmcid", normalize_ids=True)
+    got = {r.pair_id: r.pmcid for r in b.pairs.collect()}
+    # without a pmid, PMC6 and PMC7 no longer collide on "_F1"
+    assert "PMC6_F1" in got and "PMC7_F1" in got
+    assert all(v.startswith("PMC") for v in got.values())
