@@ -133,3 +133,29 @@ def test_key_on_pmcid_and_normalized_ids(spark, tmpdir_fresh):
     # without a pmid, PMC6 and PMC7 no longer collide on "_F1"
     assert "PMC6_F1" in got and "PMC7_F1" in got
     assert all(v.startswith("PMC") for v in got.values())
+
+
+def test_write_packed_shards(spark, tmpdir_fresh):
+    import io
+    import json
+    import tarfile
+
+    from figpairs.plans.pipeline import write_packed_shards
+
+    pk, cat_path, P, entries = write_fixture(tmpdir_fresh)
+    cat = split.assign_split(catalogue.read_catalogue(spark, cat_path))
+    b = build_pairs(cat, archive.scan_packages(spark, pk))
+    n = b.pairs.filter(F.col("split") == "train").count()
+    out = os.path.join(tmpdir_fresh, "wds")
+    st = write_packed_shards(b, out, "train", shard_size=2).collect()
+    assert sum(r.n_samples for r in st) == n and max(r.n_samples for r in st) <= 2
+    seen = []
+    for r in sorted(st, key=lambda r: r.shard):
+        with tarfile.open(r.path) as t:
+            names = t.getnames()
+            assert len(names) == 3 * r.n_samples
+            for nm in names:
+                if nm.endswith(".json"):
+                    seen.append(json.loads(t.extractfile(nm).read())["pair_id"])
+    expected = [x.pair_id for x in b.pairs.filter(F.col("split") == "train").orderBy("line_no", "fig_pos").collect()]
+    assert seen == expected
