@@ -146,3 +146,19 @@ def test_with_ordinal_is_dense_and_ordered(spark):
     df = spark.range(0, 5000, numPartitions=7).select((F.col("id") * 7919 % 5000).alias("k"))
     rows = catalogue.with_ordinal(df.repartition(5), ["k"]).collect()
     assert sorted((r.ordinal, r.k) for r in rows) == [(i, i) for i in range(5000)]
+
+
+def test_dedupe_first_invariant_under_repartition(spark):
+    from figpairs.operators import pairs
+
+    rows = [(f"k{i % 37}", i % 5, i, 1000 - i) for i in range(2000)]
+    df = spark.createDataFrame(rows, "pair_id string, scope int, line_no long, payload long").withColumn("fig_pos", F.lit(0))
+    expect = {(r.scope, r.pair_id): r.line_no for r in pairs.dedupe_first(df, scope=("scope",)).collect()}
+    for n in (1, 3, 17):
+        got = {(r.scope, r.pair_id): r.line_no for r in pairs.dedupe_first(df.repartition(n), scope=("scope",)).collect()}
+        assert got == expect
+    # the first row in order wins
+    best = {}
+    for pid, sc, ln, _ in rows:
+        best.setdefault((sc, pid), ln)
+    assert expect == best
