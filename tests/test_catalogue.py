@@ -162,3 +162,17 @@ def test_dedupe_first_invariant_under_repartition(spark):
     for pid, sc, ln, _ in rows:
         best.setdefault((sc, pid), ln)
     assert expect == best
+
+
+def test_shard_catalogue_spans_block_files(spark, tmpdir_fresh):
+    from figpairs.plans.pipeline import shard_catalogue
+
+    d = os.path.join(tmpdir_fresh, "blocks")
+    for b, rng in (("list=train-00000", range(1, 151)), ("list=train-00001", range(151, 251))):
+        os.makedirs(os.path.join(d, b))
+        write(os.path.join(d, b, "part-0.txt"), "H\n" + "".join(f"r{i}\n" for i in rng))
+    out = os.path.join(tmpdir_fresh, "shards")
+    rows = shard_catalogue(spark, d, out, prefix="t", shard_size=100)
+    got = {r.value: r.shard_idx for r in rows.collect()}
+    assert got == {f"r{i}": (i - 1) // 100 for i in range(1, 251)}
+    assert sorted(x for x in os.listdir(out) if x.startswith("shard_name=")) == ["shard_name=t_shard-00000", "shard_name=t_shard-00001", "shard_name=t_shard-00002"]
