@@ -118,6 +118,13 @@ PKG = f"""WITH base AS (
  pdd AS (SELECT * FROM ps QUALIFY row_number() OVER (PARTITION BY split, pmid || '_' || fig_id ORDER BY line_no) = 1)"""
 
 ORACLE: dict[str, str] = {
+    "landed_listing": """
+SELECT 'PMC' || conv_id || '-' || turn AS pmcid, CASE WHEN (conv_id + turn) % 3 <> 1 THEN 'landed' ELSE 'pending' END AS state
+FROM conversations""",
+    "xml_scan": """
+SELECT conv_id, turn, (conv_id + turn) % 9 <> 4 AS parsed,
+       CAST(CASE WHEN (conv_id + turn) % 9 = 4 THEN 0 ELSE len(string_split(text, chr(10))) END AS BIGINT) AS n_figures
+FROM conversations""",
     "build_from_packages": PKG + """
 SELECT pmcid || '/' || pmcid || '_fig-' || fig_id || '.jpg' AS image, caption, pmid, pmcid, pmid || '_' || fig_id AS pair_id, split FROM pdd""",
     "build_from_packages_skips": PKG + """

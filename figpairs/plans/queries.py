@@ -481,6 +481,36 @@ def _landed_packages(spark, sf) -> DataFrame:
     return packed.select("path", F.length("content").cast("long").alias("length"), "content").checkpoint(eager=True)
 
 
+def q_landed_listing(spark, sf):
+    """S10 + J3: land every third-but-one package as a file, list the folder without
+    reading content, and plan what is still pending."""
+    root = _roundtrip_dir(spark, "landing")
+    rows = proxy(spark, sf, "package_rows").filter(((F.col("conv_id") + F.col("turn")) % 3) != 1)
+    packed = archive.pack_rows(rows.select(F.regexp_extract("path", r"[^/]+$", 0).alias("name"), "names", "contents"))
+    archive.land_files(packed, root).count()
+    landed = catalogue.list_landed(spark, root)
+    cat = proxy(spark, sf, "package_rows").select("line_no", "pmcid")
+    pending = fetch.pending_fetch(cat, landed).select("pmcid", F.lit("pending").alias("state"))
+    have = landed.select(fetch.package_key("path").alias("pmcid"), F.lit("landed").alias("state"))
+    return have.unionByName(pending)
+
+
+def q_xml_scan(spark, sf):
+    """Article XML files landed in a folder tree, found by a recursive
+    ``*.nxml`` scan and parsed (X1-X3)."""
+    root = _roundtrip_dir(spark, "xml-tree")
+    docs = _xml_docs(spark, sf).select(F.format_string("PMC%d/PMC%d-%d.nxml", "conv_id", "conv_id", "turn").alias("name"), F.col("xml").alias("content"))
+    archive.land_files(docs, root).count()
+    parsed = figures.extract_figures(archive.scan_xml(spark, root))
+    ids = r"PMC(\d+)-(\d+)\.nxml$"
+    return parsed.select(
+        F.regexp_extract("path", ids, 1).cast("bigint").alias("conv_id"),
+        F.regexp_extract("path", ids, 2).cast("bigint").alias("turn"),
+        F.col("parse_error").isNull().alias("parsed"),
+        F.size("figures").cast("bigint").alias("n_figures"),
+    )
+
+
 def _package_build(spark, sf):
     cat = split.assign_split(proxy(spark, sf, "package_rows").select("line_no", "pmcid", "pmid"))
     return build_pairs(cat, _landed_packages(spark, sf))

@@ -275,6 +275,51 @@ def read_members(wanted: DataFrame, path_col: str = "path", pos_col: str = "memb
     return w.mapInArrow(_read_members_batches(path_col, pos_col, to_arrow_schema(schema)), schema)
 
 
+# ---------------------------------------------------------------------------
+# Landing files (fixtures for file-based sources)
+# ---------------------------------------------------------------------------
+def _land_batches(root: str, name_col: str, content_col: str, out_schema: pa.Schema):
+    def fn(batches):
+        import os
+
+        import pyarrow.fs as pafs
+
+        remote = "://" in root and not root.startswith("file:")
+        local_root = root[5:] if root.startswith("file:") else root
+        for b in batches:
+            names = b.column(name_col).to_pylist()
+            datas = b.column(content_col).to_pylist()
+            sizes = []
+            for n, d in zip(names, datas):
+                d = d or b""
+                if remote:
+                    fs, base = pafs.FileSystem.from_uri(root)
+                    target = f"{base.rstrip('/')}/{n}"
+                    fs.create_dir(target.rsplit("/", 1)[0], recursive=True)
+                    with fs.open_output_stream(target) as f:
+                        f.write(d)
+                else:
+                    target = os.path.join(local_root, n)
+                    os.makedirs(os.path.dirname(target), exist_ok=True)
+                    tmp = target + ".inprogress"
+                    with open(tmp, "wb") as f:
+                        f.write(d)
+                    os.replace(tmp, target)  # a retried task rewrites the file whole
+                sizes.append(len(d))
+            yield pa.RecordBatch.from_arrays([b.column(name_col), pa.array(sizes, type=pa.int64())], schema=out_schema)
+
+    return fn
+
+
+def land_files(df: DataFrame, root: str, name_col: str = "name", content_col: str = "content") -> DataFrame:
+    """Write each row's bytes to ``root/<name>`` from the task that holds the row
+    (no shuffle); returns ``name, n_bytes``.  Used to land fixture packages and
+    XML files for the file-based sources."""
+    schema = T.StructType([T.StructField(name_col, T.StringType()), T.StructField("n_bytes", T.LongType())])
+    src = df.select(name_col, content_col)
+    return src.mapInArrow(_land_batches(root, name_col, content_col, to_arrow_schema(schema)), schema)
+
+
 # ---------------------------------------------------------------------------
 # Packing (K7 and round trips)
 # ---------------------------------------------------------------------------
