@@ -118,6 +118,8 @@ PKG = f"""WITH base AS (
  pdd AS (SELECT * FROM ps QUALIFY row_number() OVER (PARTITION BY split, pmid || '_' || fig_id ORDER BY line_no) = 1)"""
 
 ORACLE: dict[str, str] = {
+    "image_valid": """
+SELECT conv_id, turn, turn + 1 AS width, conv_id % 5 + 1 AS height FROM conversations WHERE (conv_id + turn) % 7 <> 3""",
     "landed_listing": """
 SELECT 'PMC' || conv_id || '-' || turn AS pmcid, CASE WHEN (conv_id + turn) % 3 <> 1 THEN 'landed' ELSE 'pending' END AS state
 FROM conversations""",

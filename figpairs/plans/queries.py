@@ -511,6 +511,55 @@ def q_xml_scan(spark, sf):
     )
 
 
+def _png_batches(out_schema):
+    import struct
+    import zlib
+
+    import pyarrow as pa
+
+    def png(w: int, h: int, shade: int) -> bytes:
+        def chunk(t, d):
+            return struct.pack(">I", len(d)) + t + d + struct.pack(">I", zlib.crc32(t + d) & 0xFFFFFFFF)
+
+        raw = b"".join(b"\x00" + bytes([shade, 255 - shade, 0]) * w for _ in range(h))
+        return (b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, 2, 0, 0, 0))
+                + chunk(b"IDAT", zlib.compress(raw)) + chunk(b"IEND", b""))
+
+    def fn(batches):
+        for b in batches:
+            d = b.to_pydict()
+            out = []
+            for w, h, shade, cut in zip(d["w"], d["h"], d["shade"], d["cut"]):
+                data = png(w, h, shade)
+                out.append(data[: len(data) // 2] if cut else data)
+            yield pa.RecordBatch.from_arrays([b.column("name"), pa.array(out, type=pa.binary())], schema=out_schema)
+
+    return fn
+
+
+def q_image_valid(spark, sf):
+    """I1 on landed files: small PNGs per conversation row (every seventh cut in
+    half) decoded by Spark's image source; undecodable files are dropped."""
+    from pyspark.sql import types as T
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    root = _roundtrip_dir(spark, "images")
+    c = table(spark, sf, "conversations").select(
+        F.format_string("PMC%d/g%d.png", "conv_id", "turn").alias("name"),
+        (F.col("turn") + 1).cast("int").alias("w"), (F.col("conv_id") % 5 + 1).cast("int").alias("h"),
+        (F.length("text") % 256).cast("int").alias("shade"), (((F.col("conv_id") + F.col("turn")) % 7) == 3).alias("cut"))
+    schema = T.StructType([T.StructField("name", T.StringType()), T.StructField("content", T.BinaryType())])
+    files = c.mapInArrow(_png_batches(to_arrow_schema(schema)), schema)
+    archive.land_files(files, root).count()
+    imgs = images.read_images(spark, root + "/*/*.png")
+    ids = r"PMC(\d+)/g(\d+)\.png$"
+    return imgs.select(
+        F.regexp_extract("origin", ids, 1).cast("bigint").alias("conv_id"),
+        F.regexp_extract("origin", ids, 2).cast("bigint").alias("turn"),
+        F.col("width").cast("bigint").alias("width"), F.col("height").cast("bigint").alias("height"),
+    )
+
+
 def _package_build(spark, sf):
     cat = split.assign_split(proxy(spark, sf, "package_rows").select("line_no", "pmcid", "pmid"))
     return build_pairs(cat, _landed_packages(spark, sf))
