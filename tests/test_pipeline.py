@@ -159,3 +159,18 @@ def test_write_packed_shards(spark, tmpdir_fresh):
                     seen.append(json.loads(t.extractfile(nm).read())["pair_id"])
     expected = [x.pair_id for x in b.pairs.filter(F.col("split") == "train").orderBy("line_no", "fig_pos").collect()]
     assert seen == expected
+
+
+def test_pairs_written_in_list_order(spark, tmpdir_fresh):
+    import glob
+    import json
+
+    pk, cat_path, P, entries = write_fixture(tmpdir_fresh)
+    cat = split.assign_split(catalogue.read_catalogue(spark, cat_path))
+    b = build_pairs(cat, archive.scan_packages(spark, pk))
+    out = os.path.join(tmpdir_fresh, "ordered")
+    write_build(b, out)
+    expected = [r.pair_id for r in b.pairs.filter(F.col("split") == "train").orderBy("line_no", "fig_pos").collect()]
+    files = sorted(glob.glob(os.path.join(out, "pairs", "split=train", "part-*.json")))
+    got = [json.loads(line)["pair_id"] for f in files for line in open(f)]
+    assert got == expected
