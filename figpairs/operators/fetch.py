@@ -99,3 +99,21 @@ def join_packages(cat: DataFrame, packages: DataFrame, ext: str = PACKAGE_EXT, h
     """
     pk = packages.withColumn("pmcid", package_key("path", ext)).withColumnRenamed("path", "package_path")
     return join_checked(pk, cat, "pmcid", how=how)
+
+
+def plan_fetch(cat: DataFrame, landed: DataFrame | None = None, sizes: DataFrame | None = None, max_mb: int | None = None,
+               require_size: bool = False, ext: str = PACKAGE_EXT) -> DataFrame:
+    """Fetch plan per catalogue entry: URLs (F2/F3), what is not landed yet (J3),
+    and the size rules — unknown sizes pass (F4) unless ``require_size`` (F5).
+
+    ``sizes`` has ``pmcid, size``; ``landed`` is a listing with ``path``.
+    """
+    plan = package_urls(cat, ext)
+    if landed is not None:
+        plan = pending_fetch(plan, landed, ext)
+    if sizes is not None:
+        plan = plan.join(sizes.select("pmcid", "size"), "pmcid", "left")
+        if require_size:
+            plan = size_required(plan)
+        plan = size_guard(plan, max_mb)
+    return plan

@@ -82,6 +82,16 @@ def build_pair_rows(pairs: DataFrame, existing: DataFrame | None = None, scope=(
     return dedupe_first(pairs, scope, order)
 
 
+def to_pairs(matched: DataFrame, existing: DataFrame | None = None, scope=("split",), resume: bool = True,
+             order=("line_no", "fig_pos"), key_on: str = "pmid") -> DataFrame:
+    """Matched figure rows → pair records with resume and first-success dedupe
+    (F10, F11, F13, J4, W1).  ``matched`` carries the figure, its resolved
+    ``pmid``/``pmcid``, ``caption`` and the order and scope columns."""
+    keep = [c for c in (*scope, *order) if c in matched.columns]
+    rows = to_pair_records(matched, keep=tuple(dict.fromkeys(keep)), key_on=key_on)
+    return build_pair_rows(rows, existing=existing, scope=scope, resume=resume, order=order)
+
+
 def append_prior(prior: DataFrame, new: DataFrame) -> DataFrame:
     """The output file after an append run — prior rows then new rows."""
     return prior.unionByName(new)

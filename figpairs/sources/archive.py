@@ -52,6 +52,18 @@ def scan_packages(spark: SparkSession, path, ext: str = PACKAGE_EXT, recursive:
     return df
 
 
+def read_packages(spark: SparkSession, path, want: str = "parsed", ext: str = PACKAGE_EXT, max_mb: int | None = None) -> DataFrame:
+    """Scan packages and unpack them: ``want="parsed"`` (members + figures, one
+    Python stage), ``"index"`` (members + first XML bytes) or ``"members"`` (one
+    row per member with its bytes)."""
+    pk = scan_packages(spark, path, ext=ext, max_mb=max_mb)
+    if want == "members":
+        return unpack_members(pk)
+    if want == "index":
+        return unpack_index(pk)
+    return unpack_and_parse(pk)
+
+
 def scan_xml(spark: SparkSession, root: str, glob: str = "*" + XML_EXT) -> DataFrame:
     """Every ``*.nxml`` under ``root`` (recursive) as ``path, xml``."""
     df = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(root)

@@ -97,3 +97,28 @@ def test_strict_images_in_build(spark, tmpdir_fresh):
     strict = {r.pair_id for r in build_pairs(cat, archive.scan_packages(spark, pk), strict_images=True).pairs.collect()}
     # the fixture's JPEG and TIFF members are signatures only; its PNGs are real
     assert strict == {"11_F2", "_F1"} and strict < loose
+
+
+def test_survey_api_entry_points(spark, tmpdir_fresh):
+    from figpairs.operators import pairs, report
+    from figpairs.operators.fetch import plan_fetch
+    from figpairs.sources import archive
+    from tests.test_pipeline import write_fixture
+
+    pk, cat_path, P, entries = write_fixture(tmpdir_fresh)
+    parsed = archive.read_packages(spark, pk)
+    assert {"members", "figures", "parse_error", "error"} <= set(parsed.columns)
+    assert archive.read_packages(spark, pk, want="members").filter("error is null").count() > 10
+    cat = catalogue.read_catalogue(spark, cat_path)
+    sizes = spark.createDataFrame([("PMC1", 10), ("PMC2", None), ("PMC3", 5 * 1024 * 1024)], "pmcid string, size long")
+    plan = plan_fetch(cat, sizes=sizes, max_mb=1)
+    assert {r.pmcid for r in plan.collect()} == {r.pmcid for r in cat.collect()} - {"PMC3"}
+    strict = plan_fetch(cat, sizes=sizes, max_mb=1, require_size=True)
+    assert {r.pmcid for r in strict.collect()} == {"PMC1"}
+    rows = spark.createDataFrame([("11", "PMC1", "F1", "c", 1, 0, "train"), ("11", "PMC1", "F1", "c2", 2, 0, "train")],
+                                 "pmid string, pmcid string, fig_id string, caption string, line_no long, fig_pos long, split string")
+    out = pairs.to_pairs(rows).collect()
+    assert [(r.pair_id, r.caption) for r in out] == [("11_F1", "c")]
+    ent = spark.createDataFrame([(0, "ok"), (0, "bad_archive"), (1, "no_pair_written")], "shard_idx int, reason string")
+    r = report.shard_report(ent).first()
+    assert (r.n_ok, r.n_fail, r.n_total) == (1, 1, 2)
