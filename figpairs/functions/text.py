@@ -23,6 +23,12 @@ SPLIT_CUTS = (97, 98)
 SPLIT_NAMES = ("train", "dev", "test")
 # Default rows per shard.
 SHARD_SIZE = 10_000
+# Default list-file prefix and the shard list name format (prefix, 5-digit index).
+LIST_PREFIX = "pubmed_open_access_file_list"
+SHARD_NAME_FORMAT = "%s_shard-%05d"
+# Pair image path (pmcid, pmcid, fig_id) and pair id (pmid, fig_id) formats.
+IMAGE_PATH_FORMAT = "%s/%s_fig-%s.jpg"
+PAIR_ID_FORMAT = "%s_%s"
 # Characters that Python's ``str.strip()`` removes (``str.isspace``).
 PY_WHITESPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"  # regex class body
 # ---------------------------------------------------------------------------
@@ -88,7 +94,7 @@ def nonempty_or(a, b) -> Column:
 
 
 def normalize_pmcid(c) -> Column:
-    """Bare-digit article ids get the ``PMC`` prefix (``"15015"`` → ``"PMC15015"``);
+    """Bare-digit article ids get the ``PMC`` prefix (``"12345"`` → ``"PMC12345"``);
     anything else is kept."""
     x = col_(c)
     return F.when(x.rlike(r"^[0-9]+$"), F.concat(F.lit("PMC"), x)).otherwise(x)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from figpairs.functions.text import nonempty_or, py_strip
+from figpairs.functions.text import IMAGE_PATH_FORMAT, PAIR_ID_FORMAT, nonempty_or, py_strip
 from figpairs.schemas import PAIR_FIELDS
 
 
@@ -30,14 +30,16 @@ def article_id_expr(first_value: Column, fallback: Column) -> Column:
 
 def pair_id(pmid_col: str = "pmid", fig_id_col: str = "fig_id") -> Column:
     """``pmid + '_' + fig_id`` (a missing fig_id is the empty string)."""
-    return F.concat(F.coalesce(F.col(pmid_col), F.lit("")), F.lit("_"), F.coalesce(F.col(fig_id_col), F.lit("")))
+    return F.format_string(PAIR_ID_FORMAT, F.coalesce(F.col(pmid_col), F.lit("")), F.coalesce(F.col(fig_id_col), F.lit("")))
 
 
 def image_path(pmcid_col: str = "pmcid", fig_id_col: str = "fig_id") -> Column:
     """``<pmc>/<pmc>_fig-<fig_id>.jpg``; always ``.jpg``."""
     pmc = F.coalesce(F.col(pmcid_col), F.lit(""))
     fid = F.coalesce(F.col(fig_id_col), F.lit(""))
-    return F.concat_ws("/", F.nullif(pmc, F.lit("")), F.format_string("%s_fig-%s.jpg", pmc, fid))
+    path = F.format_string(IMAGE_PATH_FORMAT, pmc, pmc, fid)
+    # an empty pmcid leaves no leading folder (``Path('') / name`` is ``name``)
+    return F.when(pmc == "", F.regexp_replace(path, "^/", "")).otherwise(path)
 
 
 def to_pair_records(df: DataFrame, keep=(), key_on: str = "pmid") -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from figpairs.functions.text import SHARD_SIZE, SPLIT_CUTS, SPLIT_NAMES, fmt05, md5_bucket
+from figpairs.functions.text import SHARD_NAME_FORMAT, SHARD_SIZE, SPLIT_CUTS, SPLIT_NAMES, md5_bucket
 
 
 def split_bucket(key="pmcid") -> "F.Column":
@@ -37,7 +37,7 @@ def assign_shard(df: DataFrame, shard_size: int = SHARD_SIZE, line_col: str = "l
     n = max(int(shard_size), 1)
     out = df.withColumn("shard_idx", F.expr(f"(`{line_col}` - 1) div {n}").cast("int"))
     if prefix is not None:
-        out = out.withColumn("shard_name", F.format_string("%s_shard-%s", F.lit(prefix), fmt05("shard_idx")))
+        out = out.withColumn("shard_name", F.format_string(SHARD_NAME_FORMAT, F.lit(prefix), F.col("shard_idx")))
     return out
 
 
