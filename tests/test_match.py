@@ -71,3 +71,22 @@ def test_relational_match_has_no_pairwise_join(spark):
     mems = spark.createDataFrame([(1, 0, "a.jpg")], "article_id long, pos int, name string")
     plan = match.match_images(figs, mems)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_hot_keys_are_combined_before_the_shuffle(spark):
+    from figpairs.operators import pairs
+
+    # one pair_id holds a third of all rows; one article a third of all members
+    n = 30_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id").cast("string"))).alias("pair_id"),
+        F.col("id").alias("line_no"), F.lit(0).alias("fig_pos"), F.lit("x").alias("caption"))
+    d = pairs.dedupe_first(df)
+    plan = d._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min_by" in plan  # map-side combine: the hot key reaches its reducer pre-aggregated
+    assert d.filter(F.col("pair_id") == "hot").first().line_no == 0
+    assert d.count() == 1 + (n - n // 3)
+    mem = spark.range(n).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("article_id"),
+                                F.col("id").cast("int").alias("pos"), F.format_string("a/img%d.jpg", F.col("id") % 7).alias("name"))
+    plan = match.image_map(mem)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min" in plan and "partial_max" in plan
