@@ -176,3 +176,24 @@ def test_shard_catalogue_spans_block_files(spark, tmpdir_fresh):
     got = {r.value: r.shard_idx for r in rows.collect()}
     assert got == {f"r{i}": (i - 1) // 100 for i in range(1, 251)}
     assert sorted(x for x in os.listdir(out) if x.startswith("shard_name=")) == ["shard_name=t_shard-00000", "shard_name=t_shard-00001", "shard_name=t_shard-00002"]
+
+
+def test_read_shard_lists_numbers_files_from_one(spark, tmpdir_fresh):
+    d = os.path.join(tmpdir_fresh, "shards_train")
+    os.makedirs(d)
+    write(os.path.join(d, "list_shard-00001.txt"), "H\np\tt\tPMC3\t3\tc\n")
+    write(os.path.join(d, "list_shard-00000.txt"), "H\np\tt\tPMC1\t1\tc\np\tt\tPMC2\t2\tc\n")
+    write(os.path.join(d, "notes.md"), "ignored\n")
+    got = sorted((r.shard_idx, r.line_no, r.pmcid) for r in catalogue.read_shard_lists(spark, d).collect())
+    assert got == [(1, 1, "PMC1"), (1, 2, "PMC2"), (2, 1, "PMC3")]
+
+
+def test_article_ids_from_first_figure(spark):
+    from figpairs.operators.figures import with_article_ids
+
+    df = spark.createDataFrame(
+        [("PMC1", "1", [("", "9"), ("7", "8")]), ("PMC2", "2", [("5", None)]), ("PMC3", "3", [])],
+        "pmcid string, pmid string, figures array<struct<pmid:string,pmc:string>>")
+    got = {r.pmcid: r.pmid for r in with_article_ids(df).collect()}
+    # first figure only: empty or missing ids fall back to the catalogue's
+    assert got == {"9": "1", "PMC2": "5", "PMC3": "3"}
