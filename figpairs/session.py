@@ -22,8 +22,10 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Packages are large blobs: keep Arrow batches small so a batch of
-    # archives fits in Python worker memory.
+    # archives fits in Python worker memory — at most 64 rows and at most
+    # 256 MiB per batch, whichever comes first.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "64",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(256 * 1024 * 1024),
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
