@@ -31,6 +31,15 @@ WS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"  # ASCII strip
 # ---------------------------------------------------------------------------
 # Shared building blocks (Spark)
 # ---------------------------------------------------------------------------
+def _spread(df: DataFrame) -> DataFrame:
+    """Spread small source rows over the cluster before a Python-heavy stage.
+
+    A small table scans as one split, which would put every archive or XML
+    document in one task; the rows moved here are the fixture's source rows,
+    never archive bytes (a real landing scans as many splits anyway)."""
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, 1) * 2)
+
+
 def _cat(spark, sf) -> DataFrame:
     return catalogue.parse_catalogue(proxy(spark, sf, "raw_list"), "skip")
 
@@ -51,7 +60,7 @@ def _pair_rows(spark, sf) -> DataFrame:
 def _xml_docs(spark, sf) -> DataFrame:
     """One article XML per conversation row; every text line becomes a figure.
     Every ninth document is cut short (a parse failure)."""
-    c = table(spark, sf, "conversations")
+    c = _spread(table(spark, sf, "conversations"))
     esc = lambda x: F.regexp_replace(F.regexp_replace(F.regexp_replace(x, "&", "&amp;"), "<", "&lt;"), ">", "&gt;")
     figs = F.transform(
         F.split(F.col("text"), "\n", -1),
@@ -348,7 +357,7 @@ def q_append_resume_off(spark, sf):
 
 
 def _content(spark, sf):
-    return proxy(spark, sf, "members_content")
+    return _spread(proxy(spark, sf, "members_content"))
 
 
 def q_image_sniff(spark, sf):
@@ -475,7 +484,7 @@ def _landed_packages(spark, sf) -> DataFrame:
     """Real ``.tar.gz`` packages, one per conversation row, written once to the
     checkpoint folder (the fixture's "landing" area)."""
     checkpoint_dir(spark)
-    rows = proxy(spark, sf, "package_rows")
+    rows = _spread(proxy(spark, sf, "package_rows"))
     packed = archive.pack_rows(rows.select("path", "corrupt", "names", "contents"))
     packed = packed.withColumn("content", F.when(F.col("corrupt"), F.substring("content", 1, 20)).otherwise(F.col("content")))
     return packed.select("path", F.length("content").cast("long").alias("length"), "content").checkpoint(eager=True)

@@ -74,8 +74,10 @@ def _open(content: bytes) -> tarfile.TarFile:
     return tarfile.open(fileobj=io.BytesIO(content), mode="r:gz")
 
 
-def _index_one(content):
-    """(members, xml, error) for one archive."""
+def _index_one(content, validate: bool = False):
+    """(members, xml, error) for one archive.  ``validate`` runs the structural
+    image check on each image member (reads its whole bytes); otherwise only
+    the leading bytes are read for the signature."""
     if content is None:
         return None, None, "no_content"
     members, xml = [], None
@@ -89,8 +91,11 @@ def _index_one(content):
                 fmt = valid = None
                 if m.isfile() and low.endswith(IMAGE_EXTS):
                     f = tar.extractfile(m)
-                    data = f.read() if f else b""
-                    fmt, valid = sniff_format(data[:64]), decodable_bytes(data)
+                    if validate:
+                        data = f.read() if f else b""
+                        fmt, valid = sniff_format(data[:64]), decodable_bytes(data)
+                    else:
+                        fmt = sniff_format(f.read(64) if f else b"")
                 members.append({"pos": pos, "name": m.name, "isfile": m.isfile(), "size": int(m.size), "fmt": fmt, "valid": valid})
                 if not xml_seen and low.endswith(XML_EXT):
                     xml_seen = True
@@ -103,14 +108,14 @@ def _index_one(content):
     return members, xml, None
 
 
-def _index_batches(content_col: str, out_schema: pa.Schema):
+def _index_batches(content_col: str, out_schema: pa.Schema, validate: bool = False):
     mtype = out_schema.field("members").type
 
     def fn(batches):
         for b in batches:
             ms, xs, es = [], [], []
             for c in b.column(content_col).to_pylist():
-                m, x, e = _index_one(c)
+                m, x, e = _index_one(c, validate)
                 ms.append(m)
                 xs.append(x)
                 es.append(e)
@@ -121,7 +126,7 @@ def _index_batches(content_col: str, out_schema: pa.Schema):
     return fn
 
 
-def unpack_index(packages: DataFrame, content_col: str = "content") -> DataFrame:
+def unpack_index(packages: DataFrame, content_col: str = "content", validate: bool = False) -> DataFrame:
     """Per package the member list, the first XML and an error (``bad_archive``).
 
     Output: the input columns without ``content`` + ``members``, ``xml``, ``error``.
@@ -129,10 +134,10 @@ def unpack_index(packages: DataFrame, content_col: str = "content") -> DataFrame
     keep = [f for f in packages.schema.fields if f.name != content_col]
     schema = T.StructType(keep + [T.StructField("members", T.ArrayType(MEMBER_T)), T.StructField("xml", T.BinaryType()), T.StructField("error", T.StringType())])
     src = packages.select(*[f.name for f in keep], content_col)
-    return src.mapInArrow(_index_batches(content_col, to_arrow_schema(schema)), schema)
+    return src.mapInArrow(_index_batches(content_col, to_arrow_schema(schema), validate), schema)
 
 
-def _index_parse_batches(content_col: str, out_schema: pa.Schema):
+def _index_parse_batches(content_col: str, out_schema: pa.Schema, validate: bool = False):
     from figpairs.operators.figures import parse_figures_xml
 
     mtype = out_schema.field("members").type
@@ -142,7 +147,7 @@ def _index_parse_batches(content_col: str, out_schema: pa.Schema):
         for b in batches:
             ms, hx, fs, pe, es = [], [], [], [], []
             for c in b.column(content_col).to_pylist():
-                m, x, e = _index_one(c)
+                m, x, e = _index_one(c, validate)
                 figs, perr = parse_figures_xml(x) if (e is None and x is not None) else ([], None)
                 ms.append(m)
                 hx.append(x is not None)
@@ -157,10 +162,11 @@ def _index_parse_batches(content_col: str, out_schema: pa.Schema):
     return fn
 
 
-def unpack_and_parse(packages: DataFrame, content_col: str = "content") -> DataFrame:
+def unpack_and_parse(packages: DataFrame, content_col: str = "content", validate: bool = False) -> DataFrame:
     """S5 + X4 + X1 in one Python stage: per package the member list, whether it
     has an XML member, the parsed figures of the first one, and the errors.
-    The XML bytes never leave the task."""
+    The XML bytes never leave the task.  ``validate`` fills ``members.valid``
+    with the structural image check (otherwise NULL)."""
     from figpairs.schemas import FIGURE
 
     keep = [f for f in packages.schema.fields if f.name != content_col]
@@ -172,7 +178,7 @@ def unpack_and_parse(packages: DataFrame, content_col: str = "content") -> DataF
         T.StructField("error", T.StringType()),
     ])
     src = packages.select(*[f.name for f in keep], content_col)
-    return src.mapInArrow(_index_parse_batches(content_col, to_arrow_schema(schema)), schema)
+    return src.mapInArrow(_index_parse_batches(content_col, to_arrow_schema(schema), validate), schema)
 
 
 def _members_batches(content_col: str, out_schema: pa.Schema, keep_names: list[str]):
