@@ -34,3 +34,12 @@ def join_checked(big: DataFrame, small: DataFrame, on, how: str = "inner", max_r
     if n <= max_rows:
         small = F.broadcast(small)
     return big.join(small, on, how)
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin the rows when the input has fewer partitions than the cluster
+    has cores (e.g. a table stored as one large row group, which scans as one
+    task).  On inputs that already have enough partitions — any large table — this
+    is a no-op, so it never adds a shuffle at scale."""
+    target = min_partitions or max(df.sparkSession.sparkContext.defaultParallelism, 1)
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df

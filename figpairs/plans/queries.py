@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from figpairs.functions.text import split_tabs
 from figpairs.operators import fetch, figures, images, match, pairs, report, split
 from figpairs.plans import sinks
+from figpairs.plans.joins import ensure_parallelism
 from figpairs.plans.pipeline import build_pairs
 from figpairs.plans.proxies import proxy, table
 from figpairs.session import checkpoint_dir, scratch_path
@@ -36,8 +37,8 @@ def _spread(df: DataFrame) -> DataFrame:
 
     A small table scans as one split, which would put every archive or XML
     document in one task; the rows moved here are the fixture's source rows,
-    never archive bytes (a real landing scans as many splits anyway)."""
-    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, 1) * 2)
+    never archive bytes, and only when the input is narrower than the cluster."""
+    return ensure_parallelism(df, max(df.sparkSession.sparkContext.defaultParallelism, 1) * 2)
 
 
 def _cat(spark, sf) -> DataFrame:
@@ -295,7 +296,7 @@ def q_dedupe_first(spark, sf):
 
 
 def q_dedupe_first_lineitem(spark, sf):
-    li = table(spark, sf, "lineitem").withColumn("pair_id", F.concat_ws("_", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")))
+    li = ensure_parallelism(table(spark, sf, "lineitem")).withColumn("pair_id", F.concat_ws("_", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")))
     order = ("l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linestatus")
     d = pairs.dedupe_first(li.select("l_returnflag", "pair_id", *order), scope=("l_returnflag",), order=order)
     return d.select("l_returnflag", "pair_id", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
