@@ -2,7 +2,8 @@
 
 Every query reads the driver tables through the proxy views in
 :mod:`figpairs.plans.proxies` and runs the library's operator on the whole
-table.  ``ORACLE`` holds the equivalent SQL; column names match exactly.
+table.  :mod:`figpairs.plans.oracles` holds the equivalent DuckDB SQL; column
+names match exactly.
 """
 
 from __future__ import annotations
