@@ -248,34 +248,56 @@ def _read_file(path: str) -> bytes:
         return f.read()
 
 
-def _read_members_batches(path_col: str, pos_col: str, out_schema: pa.Schema):
-    def fn(batches):
-        cur_path, cur_tar, cur_members = None, None, None
+def _read_members_batches(path_col: str, pos_col: str, out_schema: pa.Schema, max_rows: int = 256, max_bytes: int = 64 << 20):
+
+    def extract(path, wanted):
+        """Bytes of the wanted member positions: one forward pass over the
+        archive that stops after the last wanted member."""
+        got = {}
+        if path is None or not wanted:
+            return got
+        last = max(wanted)
         try:
-            for b in batches:
-                paths = b.column(path_col).to_pylist()
-                poss = b.column(pos_col).to_pylist()
-                out = []
-                for p, pos in zip(paths, poss):
-                    if p != cur_path:
-                        if cur_tar is not None:
-                            cur_tar.close()
-                        cur_path, cur_tar, cur_members = p, None, None
-                        try:
-                            cur_tar = _open(_read_file(p))
-                            cur_members = cur_tar.getmembers()
-                        except (tarfile.ReadError, EOFError, OSError, ValueError):
-                            cur_tar = None
-                    data = None
-                    if cur_tar is not None and pos is not None and 0 <= pos < len(cur_members):
-                        f = cur_tar.extractfile(cur_members[pos])
-                        data = f.read() if f else None
-                    out.append(data)
-                cols = [b.column(n) for n in out_schema.names if n != "content"] + [pa.array(out, type=pa.binary())]
-                yield pa.RecordBatch.from_arrays(cols, schema=out_schema)
-        finally:
-            if cur_tar is not None:
-                cur_tar.close()
+            with _open(_read_file(path)) as tar:
+                for i, m in enumerate(tar):
+                    if i in wanted:
+                        f = tar.extractfile(m)
+                        got[i] = f.read() if f else None
+                    if i >= last:
+                        break
+        except (tarfile.ReadError, EOFError, OSError, ValueError):
+            pass
+        return got
+
+    def fn(batches):
+        out, out_bytes, group, cur = [], 0, [], object()
+
+        def flush_group():
+            nonlocal out_bytes
+            wanted = {r[pos_col] for r in group if r[pos_col] is not None and r[pos_col] >= 0}
+            got = extract(group[0][path_col], wanted)
+            for r in group:
+                r["content"] = got.get(r[pos_col])
+                out_bytes += len(r["content"] or b"")
+                out.append(r)
+
+        def batch():
+            return pa.RecordBatch.from_pylist(out, schema=out_schema)
+
+        for b in batches:
+            for r in b.to_pylist():
+                if r[path_col] != cur and group:
+                    flush_group()
+                    group = []
+                    if len(out) >= max_rows or out_bytes >= max_bytes:
+                        yield batch()
+                        out, out_bytes = [], 0
+                cur = r[path_col]
+                group.append(r)
+        if group:
+            flush_group()
+        if out:
+            yield batch()
 
     return fn
 
@@ -284,7 +306,8 @@ def read_members(wanted: DataFrame, path_col: str = "path", pos_col: str = "memb
     """Add ``content`` for the (package path, member position) rows in ``wanted``.
 
     Only the small ``wanted`` rows are shuffled — hash-partitioned by package and
-    sorted, so each task opens each package it owns once and streams its
+    sorted, so each task opens each package it owns once, decompresses it in
+    one forward pass that stops after the last wanted member, and streams the
     members straight into the writer.
     """
     parts = [partitions] if partitions else []

@@ -174,3 +174,14 @@ def test_pairs_written_in_list_order(spark, tmpdir_fresh):
     files = sorted(glob.glob(os.path.join(out, "pairs", "split=train", "part-*.json")))
     got = [json.loads(line)["pair_id"] for f in files for line in open(f)]
     assert got == expected
+
+
+def test_written_image_bytes_equal_source_members(spark, tmpdir_fresh):
+    pk, cat_path, P, entries = write_fixture(tmpdir_fresh)
+    cat = split.assign_split(catalogue.read_catalogue(spark, cat_path))
+    out = os.path.join(tmpdir_fresh, "out")
+    write_build(build_pairs(cat, archive.scan_packages(spark, pk)), out)
+    got = {r.pair_id: bytes(r.content) for r in spark.read.parquet(os.path.join(out, "images")).collect()}
+    assert got["11_F1"] == JPG and got["11_F2"] == PNG          # two members of one package
+    assert got["22_F1"] == JPG                                  # last of two equal basenames
+    assert got["1010_F1"] == JPG                                # second occurrence, first undecodable
