@@ -316,6 +316,57 @@ def read_members(wanted: DataFrame, path_col: str = "path", pos_col: str = "memb
     return w.mapInArrow(_read_members_batches(path_col, pos_col, to_arrow_schema(schema)), schema)
 
 
+def _extract_rows_batches(path_col: str, pos_col: str, rows_col: str, out_schema: pa.Schema):
+    def fn(batches):
+        for b in batches:
+            out = []
+            paths = b.column(path_col).to_pylist()
+            contents = b.column("content").to_pylist()
+            groups = b.column(rows_col).to_pylist()
+            for path, content, rows in zip(paths, contents, groups):
+                wanted = {r[pos_col] for r in rows if r[pos_col] is not None and r[pos_col] >= 0}
+                got = {}
+                if content is not None and wanted:
+                    last = max(wanted)
+                    try:
+                        with _open(content) as tar:
+                            for i, m in enumerate(tar):
+                                if i in wanted:
+                                    f = tar.extractfile(m)
+                                    got[i] = f.read() if f else None
+                                if i >= last:
+                                    break
+                    except (tarfile.ReadError, EOFError, OSError, ValueError):
+                        pass
+                for r in rows:
+                    r = dict(r)
+                    r[path_col] = path
+                    r["content"] = got.get(r[pos_col])
+                    out.append(r)
+            yield pa.RecordBatch.from_pylist(out, schema=out_schema)
+
+    return fn
+
+
+def read_members_from(wanted: DataFrame, packages: DataFrame, path_col: str = "path", pos_col: str = "member_pos") -> DataFrame:
+    """I2 without task-side filesystem access: re-read the archives with Spark.
+
+    ``wanted`` rows are grouped per package (a group is bounded by the figures of
+    one archive) and joined to the ``binaryFile`` scan ``packages``.  The grouped
+    side is broadcast when its measured size allows, so archive bytes stay in
+    their scan tasks; beyond that the join is a shuffle join, which moves archive
+    bytes — use :func:`read_members` where executors can open the files.
+    """
+    from figpairs.plans.joins import join_checked
+
+    others = [c for c in wanted.columns if c != path_col]
+    per_pkg = wanted.groupBy(path_col).agg(F.collect_list(F.struct(*others)).alias("_rows"))
+    j = join_checked(packages.select(F.col("path").alias(path_col), "content"), per_pkg, [path_col])
+    schema = T.StructType([f for f in wanted.schema.fields] + [T.StructField("content", T.BinaryType())])
+    return j.select(path_col, "content", "_rows").mapInArrow(
+        _extract_rows_batches(path_col, pos_col, "_rows", to_arrow_schema(schema)), schema)
+
+
 # ---------------------------------------------------------------------------
 # Landing files (fixtures for file-based sources)
 # ---------------------------------------------------------------------------

@@ -185,3 +185,13 @@ def test_written_image_bytes_equal_source_members(spark, tmpdir_fresh):
     assert got["11_F1"] == JPG and got["11_F2"] == PNG          # two members of one package
     assert got["22_F1"] == JPG                                  # last of two equal basenames
     assert got["1010_F1"] == JPG                                # second occurrence, first undecodable
+
+
+def test_spark_side_member_read_equals_task_side(spark, tmpdir_fresh):
+    pk, cat_path, P, entries = write_fixture(tmpdir_fresh)
+    cat = split.assign_split(catalogue.read_catalogue(spark, cat_path))
+    b = build_pairs(cat, archive.scan_packages(spark, pk))
+    wanted = b.pairs.select("pair_id", "package_path", "member_pos")
+    task_side = {r.pair_id: bytes(r.content) for r in archive.read_members(wanted, "package_path", "member_pos").collect()}
+    spark_side = {r.pair_id: bytes(r.content) for r in archive.read_members_from(wanted, archive.scan_packages(spark, pk), "package_path").collect()}
+    assert task_side == spark_side and len(task_side) == b.pairs.count()
