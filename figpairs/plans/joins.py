@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast only when its row count, measured after it has been
-# materialised, is at most this many rows.  The tables we pass here are narrow
-# (a path or two and a few longs), so this keeps broadcasts well under 100 MB.
+# A side is broadcast only when, measured after it has been materialised, it
+# has at most this many rows and its rows, serialised as JSON, at most this many
+# bytes (a conservative proxy for its in-memory size).
 BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
-def materialise_small(df: DataFrame) -> tuple[DataFrame, int]:
-    """Checkpoint a (usually small) derived table and return it with its row count.
+def materialise_small(df: DataFrame) -> tuple[DataFrame, int, int]:
+    """Checkpoint a (usually small) derived table; return it with its row count
+    and approximate byte size, both measured in one aggregate.
 
     ``checkpoint()`` writes to the shared ``spark.checkpoint.dir`` so the table
     survives executor loss and its lineage is cut.
@@ -21,17 +23,19 @@ def materialise_small(df: DataFrame) -> tuple[DataFrame, int]:
 
     checkpoint_dir(df.sparkSession)
     df = df.checkpoint(eager=True)
-    return df, df.count()
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))).alias("b")).first()
+    return df, int(row.n), int(row.b or 0)
 
 
-def join_checked(big: DataFrame, small: DataFrame, on, how: str = "inner", max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def join_checked(big: DataFrame, small: DataFrame, on, how: str = "inner", max_rows: int = BROADCAST_MAX_ROWS,
+                 max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Join ``big`` with ``small``; broadcast ``small`` only if its measured size allows.
 
-    Beyond the limit the join is left to the planner (sort-merge with AQE skew
-    handling), so the plan stays correct at any size.
+    Beyond either limit the join is left to the planner (sort-merge with AQE
+    skew handling), so the plan stays correct at any size.
     """
-    small, n = materialise_small(small)
-    if n <= max_rows:
+    small, n, nbytes = materialise_small(small)
+    if n <= max_rows and nbytes <= max_bytes:
         small = F.broadcast(small)
     return big.join(small, on, how)
 

@@ -122,3 +122,21 @@ def test_survey_api_entry_points(spark, tmpdir_fresh):
     ent = spark.createDataFrame([(0, "ok"), (0, "bad_archive"), (1, "no_pair_written")], "shard_idx int, reason string")
     r = report.shard_report(ent).first()
     assert (r.n_ok, r.n_fail, r.n_total) == (1, 1, 2)
+
+
+def test_join_checked_measures_rows_and_bytes(spark):
+    from figpairs.plans.joins import join_checked
+
+    big = spark.range(100).withColumnRenamed("id", "k")
+    small = spark.range(10).withColumnRenamed("id", "k").withColumn("pad", F.lit("x" * 1000))
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert "BroadcastHashJoin" in plan(join_checked(big, small, "k"))
+        assert "BroadcastHashJoin" not in plan(join_checked(big, small, "k", max_bytes=5_000))
+        assert "BroadcastHashJoin" not in plan(join_checked(big, small, "k", max_rows=5))
+        assert join_checked(big, small, "k", max_bytes=5_000).count() == 10
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
