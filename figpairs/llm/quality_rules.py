@@ -163,3 +163,13 @@ def without_frequent_lines(docs: DataFrame, id_col: str = "doc_id", text_col: st
                         & (F.col("k.__content") == F.col("l.content")), "left")
     return joined.select(*(cleaned(F.col(f"k.{c}").cast("string"), F.col("__drop")).alias(c) if c == text_col else F.col(f"k.`{c}`")
                            for c in docs.columns))
+
+
+def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", **limits) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, as they are.
+
+    Rejected ids are taken out by an anti-join on id; among rows of one id
+    (null counts as one id) all go if one is rejected.
+    """
+    gone = quality_rules(docs, id_col, text_col, host_col, **limits).where("not kept").select(F.col(id_col).alias("__gone")).distinct()
+    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("__gone")), "left_anti")
