@@ -52,3 +52,90 @@ def spread(df: DataFrame, rows_per_part: int = 4096) -> DataFrame:
     have = df.rdd.getNumPartitions()
     want = spark.sparkContext.defaultParallelism
     return df if have >= want else df.repartition(want)
+
+
+class WordTable:
+    """Rows of numbers per distinct word, computed once per Python worker.
+
+    ``learn(words) -> array [len(words), width]``.  Holds at most ``most``
+    words; a full table is emptied, so memory stays bounded over any corpus.
+    """
+
+    def __init__(self, learn, width: int, most: int = 400_000):
+        import numpy as np
+
+        self.learn, self.width, self.most = learn, width, most
+        self.at: dict[bytes, int] = {}
+        self.rows = np.zeros((1024, width), np.float32)
+
+    def lookup(self, texts: list[list[bytes]]):
+        """Per text, the indices of its words in ``rows``."""
+        import numpy as np
+
+        new = set().union(*texts).difference(self.at)
+        if len(self.at) + len(new) > self.most:
+            self.at.clear()
+            new = set().union(*texts)
+        if new:
+            words = sorted(new)
+            n = len(self.at)
+            if n + len(words) > len(self.rows):
+                grown = np.zeros((max(2 * len(self.rows), n + len(words)), self.width), np.float32)
+                grown[:n] = self.rows[:n]
+                self.rows = grown
+            self.rows[n:n + len(words)] = self.learn(words)
+            self.at.update(zip(words, range(n, n + len(words))))
+        get = self.at.__getitem__
+        return [np.fromiter(map(get, ws), np.int64, len(ws)) for ws in texts]
+
+
+def crc_mod(c: Column, n: int) -> Column:
+    """crc32 of the id as text, modulo n; a null id counts as an empty text."""
+    return F.crc32(F.coalesce(c.cast("string"), F.lit("")).cast("binary")) % n
+
+
+def runs_of(batches, keys: list[str], wide: tuple[str, ...] = ()):
+    """Groups of consecutive rows with equal ``keys`` from sorted Arrow batches, as dicts of arrays.
+
+    List columns of one length become 2-D arrays; columns in ``wide`` become
+    lists of bytes.  Only the group at hand is held beyond its batch.
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    def arrays(b):
+        out = {}
+        for name, col in zip(b.schema.names, b.columns):
+            if name in wide or pa.types.is_binary(col.type) or pa.types.is_string(col.type):
+                out[name] = np.array([*col.to_pylist(), None], dtype=object)[:-1]
+            elif pa.types.is_list(col.type):
+                flat = col.flatten().to_numpy(zero_copy_only=False)
+                out[name] = flat.reshape(len(col), -1)
+            else:
+                out[name] = col.to_numpy(zero_copy_only=False)
+        return out
+
+    held: list[dict] = []
+
+    def joined():
+        return held[0] if len(held) == 1 else {k: np.concatenate([h[k] for h in held]) for k in held[0]}
+
+    for b in batches:
+        if not b.num_rows:
+            continue
+        a = arrays(b)
+        change = np.zeros(b.num_rows, bool)
+        for k in keys:
+            change[1:] |= a[k][1:] != a[k][:-1]
+        if held and any(held[-1][k][-1] != a[k][0] for k in keys):
+            yield joined()
+            held = []
+        cuts = [0, *np.flatnonzero(change).tolist(), b.num_rows]
+        for s, e in zip(cuts[:-1], cuts[1:]):
+            part = {k: v[s:e] for k, v in a.items()}
+            held.append(part)
+            if e < b.num_rows:
+                yield joined()
+                held = []
+    if held:
+        yield joined()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from figpairs.llm.common import table
+from figpairs.llm.common import crc_mod, table
 
 # The rules that op3 applies: host, path, verdict.
 URL_RULES = [
@@ -22,6 +22,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from figpairs.llm.near_dup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), width=2)
+
+
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     from figpairs.llm.url_filters import url_verdicts
 
@@ -35,12 +41,30 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from figpairs.llm.toxicity import learn, toxicity
+
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = crc_mod(F.col("doc_id"), 3) == 1
+    model = learn(docs, labels, ~held_out)
+    return toxicity(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from figpairs.llm.quality_rules import quality_rules
 
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from figpairs.llm.language_id import language_spans, learn
+
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_mod(F.col("doc_id"), 4) == 2
+    found = language_spans(docs, learn(docs, ~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", F.size("spans").cast("long").alias("n_spans"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from figpairs.llm.mixing import mix
 
@@ -49,9 +73,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_near_duplicates": op1_near_duplicates,
     "op3_url_filters": op3_url_filters,
     "op4_token_files": op4_token_files,
+    "op5_toxicity": op5_toxicity,
     "op8_quality_rules": op8_quality_rules,
+    "op9_language_id": op9_language_id,
     "op10_mixing": op10_mixing,
 }
 
