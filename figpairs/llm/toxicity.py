@@ -10,16 +10,21 @@ runs of three or more single characters ("i d i o t") are read as one word.
 Learning: a bounded sample of labelled rows (``sample`` of each class, in the
 order of the md5 of their ids) is split into sentences.  A label belongs to a
 whole document, so the sentences of a toxic document that hold one of the
-words that occur in toxic documents beyond chance are the positive ones, and
+words that occur in such sentences beyond chance are the positive ones, and
 their most telling words the witnesses; all sentences of clean documents are
-negative.  Nystrom landmarks, half of them witnesses, half clean words, map
-words into a space where a linear support vector machine is trained.  As the
+negative.  Equal sentences count once, else copied documents would make any
+word of theirs telling.  Nystrom landmarks, half of them witnesses, half clean words, map
+words into a space where a linear support vector machine is trained; clean
+words that it takes for toxic join its negatives and landmarks and it is
+trained again, a few times over.  As the
 kernel is a dot product of triple weights, the machine's function of a word is
 one table of triple weights; triples are hashed into ``SLOTS`` slots, which
 bounds what goes to the executors.
 
-A sentence scores as its worst word, a document as its worst sentence; a
-logistic fit on the sample's documents turns that into 0 to 1.
+A sentence's score is its worst word's.  A document's score, 0 to 1, comes from
+its three worst words and its length by a logistic fit on the sample's
+documents: clean documents hold a word that looks like an insult now and then,
+the more so the longer they are, but seldom several.
 
 Defined results:
 * null and empty texts score as a text without any telling word;
@@ -112,42 +117,40 @@ def beyond_chance(hits: int, n: int, share: float) -> float:
     return min(1.0, sum(map(math.exp, logs)))
 
 
-def platt(f: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Logistic fit of labels on scores, with smoothed targets."""
+def logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Logistic fit of 0/1 labels on the columns of ``x`` (the last is 1), with smoothed targets."""
     pos, neg = (y > 0).sum(), (y <= 0).sum()
     t = np.where(y > 0, (pos + 1) / (pos + 2), 1 / (neg + 2))
-    scale = np.where(y > 0, 0.5 / pos, 0.5 / neg) * len(y)
-    a = np.zeros(2)
-    x = np.stack([f, np.ones_like(f)], 1)
+    a = np.zeros(x.shape[1])
+    ridge = 1e-2 * np.eye(x.shape[1])
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ a, -30, 30)))
-        g = x.T @ (scale * (t - p)) - 1e-3 * a
-        h = (x * (scale * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x + 1e-3 * np.eye(2)
-        step = np.linalg.solve(h, g)
-        a += np.clip(step, -5, 5)
+        step = np.linalg.solve((x * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ x + ridge, x.T @ (t - p) - ridge @ a)
+        a += np.clip(step, -3, 3)
         if np.abs(step).max() < 1e-9:
             break
-    return float(a[0]), float(a[1])
+    return a
 
 
-def fit(texts: list[bytes], toxic: np.ndarray, landmarks: int = 128, clean_words: int = 6000) -> dict | None:
+def fit(texts: list[bytes], toxic: np.ndarray, landmarks: int = 256, clean_words: int = 4000, mining: int = 3) -> dict | None:
     """The model from labelled texts; None if a class is missing."""
     n_pos, n_neg = int(toxic.sum()), int((~toxic).sum())
     if not n_pos or not n_neg:
         return None
     in_pos: dict[str, int] = {}
     in_neg: dict[str, int] = {}
-    sentences = []  # (words, is its document toxic)
     sizes = [0, 0]
+    met: dict[bytes, bool] = {}  # distinct sentences, so that copied documents count once
     for text, bad in zip(texts, toxic):
-        own: set[str] = set()
         for part in SENTENCE.split(text):
-            words = {p for w in part.split() if len(p := plain(w)) > 1}
-            sentences.append((words, bool(bad)))
-            own |= words
+            met[part] = met.get(part, True) and bool(bad)
+    sentences = []  # (words, are all its documents toxic)
+    for part, bad in met.items():
+        words = {p for w in part.split() if len(p := plain(w)) > 1}
+        sentences.append((words, bad))
         tally = in_pos if bad else in_neg
-        sizes[int(bad)] += len(own)
-        for w in own:
+        sizes[int(bad)] += len(words)
+        for w in words:
             tally[w] = tally.get(w, 0) + 1
     share = min(max(sizes[1] / max(sum(sizes), 1), 1e-6), 1 - 1e-6)
     telling = {w: n for w, n in in_pos.items()
@@ -164,23 +167,31 @@ def fit(texts: list[bytes], toxic: np.ndarray, landmarks: int = 128, clean_words
     often = [w for w in often if w not in witness]
     step = max(1, len(often) // clean_words)
     negatives = often[:1000] + often[1000::step][:clean_words]
+    clean = [w for w in in_neg if w not in witness]
     half = landmarks // 2
-    marks = positives[:half] + negatives[::max(1, len(negatives) // half)][:half]
-    k = kernel(marks, marks)
-    value, vector = np.linalg.eigh((k + k.T) / 2)
-    good = value > 1e-6
-    to_space = vector[:, good] / np.sqrt(value[good])
-    words = positives + negatives
-    y = np.array([1.0] * len(positives) + [-1.0] * len(negatives))
-    weight = np.where(y > 0, 0.5 / len(positives), 0.5 / len(negatives)) * len(y)
-    w = linear_svm(kernel(words, marks) @ to_space, y, weight)
-    beta = to_space @ w[:-1]
-    table = np.zeros(SLOTS)
-    s, t, owner = triples(marks)
-    np.add.at(table, s, t * beta[owner])
-    model = {"table": table.astype(np.float32), "bias": float(w[-1])}
-    worst = document_scores(model, texts)
-    model["platt"] = platt(worst, np.where(toxic, 1, -1))
+    model = {}
+    for round_ in range(mining + 1):
+        marks = positives[:half] + negatives[:half // 2] + negatives[half // 2::max(1, len(negatives) // (half - half // 2))][:half - half // 2]
+        k = kernel(marks, marks)
+        value, vector = np.linalg.eigh((k + k.T) / 2)
+        good = value > 1e-6
+        to_space = vector[:, good] / np.sqrt(value[good])
+        words = positives + negatives
+        y = np.array([1.0] * len(positives) + [-1.0] * len(negatives))
+        weight = np.where(y > 0, 0.5 / len(positives), 0.5 / len(negatives)) * len(y)
+        w = linear_svm(kernel(words, marks) @ to_space, y, weight)
+        table = np.zeros(SLOTS)
+        s, t, owner = triples(marks)
+        np.add.at(table, s, t * (to_space @ w[:-1])[owner])
+        model.update(table=table.astype(np.float32), bias=float(w[-1]))
+        # clean words that the machine takes for toxic become its next negatives, first in the list
+        wrong = np.concatenate([plain_scores(model, clean[at:at + 20_000]) for at in range(0, len(clean), 20_000)] or [np.zeros(0)])
+        listed = set(negatives)
+        hard = [clean[j] for j in np.argsort(-wrong, kind="stable")[:clean_words] if wrong[j] > -0.7 and clean[j] not in listed]
+        if not hard:
+            break
+        negatives = hard + negatives
+    model["logistic"] = logistic(document_features(model, texts), toxic.astype(int))
     return model
 
 
@@ -198,27 +209,31 @@ def word_scores(model: dict, words: list[bytes]) -> np.ndarray:
     return out
 
 
-def document_scores(model: dict, texts: list[bytes], table: WordTable | None = None) -> np.ndarray:
-    """The worst word of each text."""
+def document_features(model: dict, texts: list[bytes], table: WordTable | None = None) -> np.ndarray:
+    """Per text: the scores of its three worst words, the logarithm of its length, 1."""
     table = table or WordTable(lambda ws: word_scores(model, ws), 1)
-    out = np.full(len(texts), model["bias"])
+    out = np.full((len(texts), 5), -2.0)
+    out[:, 4] = 1
     for at in range(0, len(texts), 256):
         split = [t.split() for t in texts[at:at + 256]]
         for k, (words, index) in enumerate(zip(split, table.lookup(split))):
             f = table.rows[index, 0]
-            if not len(f):
-                continue
-            best = max(float(f.max()), model["bias"] - 1)
             single = np.flatnonzero(f == np.float32(SINGLE))
             if len(single) > 2:
                 run = np.split(single, np.flatnonzero(np.diff(single) > 1) + 1)
                 spelt = ["".join(plain(words[j]) for j in r) for r in run if len(r) > 2]
                 if spelt:
-                    best = max(best, float(plain_scores(model, spelt).max()))
-            out[at + k] = best
+                    f = np.concatenate([f, plain_scores(model, spelt)])
+            worst = -np.sort(-(np.partition(f, len(f) - 3)[-3:] if len(f) > 3 else f))
+            out[at + k, :len(worst)] = np.clip(worst, -2, 1.5)
+            out[at + k, 3] = np.log1p(len(f))
     return out
 
 
+def scores(model: dict, features: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(features @ model["logistic"], -30, 30)))
+
+
 def learn(docs: DataFrame, labels: DataFrame, train: Column, sample: int = 3000, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic") -> dict | None:
     """Fit on at most ``sample`` toxic and 4 * ``sample`` clean labelled rows for which ``train`` holds."""
@@ -252,10 +267,8 @@ def toxicity(docs: DataFrame, model: dict | None, id_col: str = "doc_id", text_c
         if held.get("key") != key:
             held.clear()
             held.update(key=key, words=WordTable(lambda ws: word_scores(m, ws), 1))
-        a, c = m["platt"]
         for b in batches:
-            f = document_scores(m, [(t or "").encode() for t in b.column(1).to_pylist()], held["words"])
-            score = 1 / (1 + np.exp(-np.clip(a * f + c, -30, 30)))
+            score = scores(m, document_features(m, [(t or "").encode() for t in b.column(1).to_pylist()], held["words"]))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(score, pa.float64())], ["id", "score"])
 
     return d.mapInArrow(run, f"id {id_type}, score double").withColumnRenamed("id", id_col)
