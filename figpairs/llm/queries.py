@@ -50,6 +50,12 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op6_long_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from figpairs.llm.long_matches import remove_long_matches
+
+    return remove_long_matches(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from figpairs.llm.quality_rules import quality_rules
 
@@ -77,6 +83,7 @@ QUERIES = {
     "op3_url_filters": op3_url_filters,
     "op4_token_files": op4_token_files,
     "op5_toxicity": op5_toxicity,
+    "op6_long_matches": op6_long_matches,
     "op8_quality_rules": op8_quality_rules,
     "op9_language_id": op9_language_id,
     "op10_mixing": op10_mixing,
