@@ -56,6 +56,12 @@ def op6_long_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_long_matches(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op7_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from figpairs.llm.decontaminate import find_leaks
+
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from figpairs.llm.quality_rules import quality_rules
 
@@ -84,6 +90,7 @@ QUERIES = {
     "op4_token_files": op4_token_files,
     "op5_toxicity": op5_toxicity,
     "op6_long_matches": op6_long_matches,
+    "op7_benchmark_leaks": op7_benchmark_leaks,
     "op8_quality_rules": op8_quality_rules,
     "op9_language_id": op9_language_id,
     "op10_mixing": op10_mixing,
