@@ -28,6 +28,12 @@ def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=2)
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from figpairs.llm.lm_scoring import lm_scores, quality_target
+
+    return lm_scores(table(spark, sf_dir, "documents"), quality_target(table(spark, sf_dir, "labels")))
+
+
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     from figpairs.llm.url_filters import url_verdicts
 
@@ -86,6 +92,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
+    "op2_lm_scoring": op2_lm_scoring,
     "op3_url_filters": op3_url_filters,
     "op4_token_files": op4_token_files,
     "op5_toxicity": op5_toxicity,
