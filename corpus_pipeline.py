@@ -7,7 +7,6 @@ written as Parquet and read again as the next stage's documents.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from figpairs.llm.common import stored, table
 
@@ -19,6 +18,20 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept_documents(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 1: of each group of near duplicates (five words, 80 %) the document of smallest id stays."""
+    from figpairs.llm.near_dup import without_near_duplicates
+
+    return without_near_duplicates(docs, width=5, percent=80)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 7: documents that hold a benchmark item go."""
+    from figpairs.llm.decontaminate import without_leaks
+
+    return without_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10: the mix's documents, a row per copy, in training order."""
     from figpairs.llm.mixing import training_order
@@ -34,9 +47,16 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return token_files(docs, tokenizer_path())
 
 
-STAGES = [("quality_rules", quality), ("mixing", mixture), ("token_files", tokens)]
+STAGES = [
+    ("quality_rules", quality),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("mixing", mixture),
+    ("token_files", tokens),
+]
 
-# Near-duplicate signatures, latent retrieval and the tokenizer are beyond SQL.
+# Near-duplicate components, latent retrieval and the tokenizer are beyond SQL;
+# tests/llm/test_pipeline.py compares the stages with brute force.
 ORACLE_SQL = None
 
 
