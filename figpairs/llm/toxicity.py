@@ -5,7 +5,8 @@ order in both (word ends count as characters, at most ``SPAN`` apart), the
 product of their weights ``DECAY ** length spanned``; it is divided by a factor
 of each word's length.  So ``idi-ot`` and ``idxiot`` still share most of
 ``idiot``'s triples.  Characters other than letters and digits are dropped, and
-runs of three or more single characters ("i d i o t") are read as one word.
+runs of three or more single characters ("i d i o t") are read as the words
+that their best pieces make.
 
 Learning: a bounded sample of labelled rows (``sample`` of each class, in the
 order of the md5 of their ids) is split into sentences.  A label belongs to a
@@ -153,14 +154,15 @@ def fit(texts: list[bytes], toxic: np.ndarray, landmarks: int = 256, clean_words
         for w in words:
             tally[w] = tally.get(w, 0) + 1
     share = min(max(sizes[1] / max(sum(sizes), 1), 1e-6), 1 - 1e-6)
-    telling = {w: n for w, n in in_pos.items()
-               if n >= 2 and n > 4 * share * (n + in_neg.get(w, 0)) * 0.999 and beyond_chance(n, n + in_neg.get(w, 0), share) < 1e-3 / math.sqrt(len(in_pos) + 1)}
+    chance = 1e-3 / math.sqrt(len(in_pos) + 1)
+    telling = {w for w, n in in_pos.items()
+               if n >= 2 and n / (n + in_neg.get(w, 0)) >= (1 + share) / 2 and beyond_chance(n, n + in_neg.get(w, 0), share) < chance}
     if not telling:
         return None
     witness: dict[str, int] = {}
     for words, bad in sentences:
         if bad:
-            for w in words & telling.keys():
+            for w in words & telling:
                 witness[w] = witness.get(w, 0) + 1
     positives = sorted(witness, key=lambda w: (-witness[w], w))
     often = sorted(in_neg, key=lambda w: (-in_neg[w], w))
@@ -209,6 +211,19 @@ def word_scores(model: dict, words: list[bytes]) -> np.ndarray:
     return out
 
 
+def spelt_scores(model: dict, letters: str) -> np.ndarray:
+    """Scores of the words spelt out by a run of single letters: the best pieces of 3 to 12 letters that do not overlap."""
+    pieces = [(at, n) for n in range(3, 13) for at in range(len(letters) - n + 1)]
+    f = plain_scores(model, [letters[at:at + n] for at, n in pieces])
+    taken, out = np.zeros(len(letters), bool), []
+    for k in np.argsort(-f, kind="stable"):
+        at, n = pieces[k]
+        if not taken[at:at + n].any():
+            taken[at:at + n] = True
+            out.append(f[k])
+    return np.array(out)
+
+
 def document_features(model: dict, texts: list[bytes], table: WordTable | None = None) -> np.ndarray:
     """Per text: the scores of its three worst words, the logarithm of its length, 1."""
     table = table or WordTable(lambda ws: word_scores(model, ws), 1)
@@ -221,9 +236,7 @@ def document_features(model: dict, texts: list[bytes], table: WordTable | None =
             single = np.flatnonzero(f == np.float32(SINGLE))
             if len(single) > 2:
                 run = np.split(single, np.flatnonzero(np.diff(single) > 1) + 1)
-                spelt = ["".join(plain(words[j]) for j in r) for r in run if len(r) > 2]
-                if spelt:
-                    f = np.concatenate([f, plain_scores(model, spelt)])
+                f = np.concatenate([f, *(spelt_scores(model, "".join(plain(words[j]) for j in r)) for r in run if len(r) > 2)])
             worst = -np.sort(-(np.partition(f, len(f) - 3)[-3:] if len(f) > 3 else f))
             out[at + k, :len(worst)] = np.clip(worst, -2, 1.5)
             out[at + k, 3] = np.log1p(len(f))

@@ -1,0 +1,100 @@
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from figpairs.llm.common import crc_mod
+from figpairs.llm.toxicity import document_features, fit, kernel, learn, plain_scores, scores, toxicity
+from tests.llm.conftest import documents
+
+INSULTS = ["idiot", "moron", "scum", "worthless", "pathetic", "disgusting"]
+
+
+def corpus(n=900, seed=4):
+    import random
+
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice(["the", "an", "er", "on", "re", "st", "ou", "in"]) for _ in range(rng.randint(1, 3)))
+    rows, labels = [], []
+    for i in range(n):
+        w = [word() + ("." if rng.random() < 0.1 else "") for _ in range(rng.randint(20, 120))]
+        bad = rng.random() < 0.25
+        if bad:
+            for _ in range(rng.randint(2, 5)):
+                w.insert(rng.randrange(len(w)), rng.choice(INSULTS))
+        rows.append((i, " ".join(w), "en", "s"))
+        labels.append((i, int(bad)))
+    return rows, labels
+
+
+@pytest.fixture(scope="module")
+def model():
+    rows, labels = corpus()
+    return fit([t.encode() for _, t, *_ in rows], np.array([y == 1 for _, y in labels]))
+
+
+def brute_kernel(a, b):
+    from figpairs.llm.toxicity import DECAY, SPAN
+
+    def triples(w):
+        w = f"\0{w}\0"
+        out = {}
+        for i in range(len(w)):
+            for j in range(i + 1, len(w)):
+                for k in range(j + 1, min(len(w), i + SPAN + 1)):
+                    out.setdefault(w[i] + w[j] + w[k], []).append(DECAY ** (k - i + 1))
+        return out
+
+    x, y = triples(a), triples(b)
+    norm = lambda t: sum(v * v for vs in t.values() for v in vs) ** 0.5
+    return sum(sum(x[t]) * sum(y[t]) for t in x.keys() & y.keys()) / norm(x) / norm(y)
+
+
+def test_kernel_is_the_gap_weighted_subsequence_kernel():
+    words = ["idiot", "idxiot", "clown", "a", "aaaa"]
+    got = kernel(words, words)
+    assert np.allclose(got, [[brute_kernel(a, b) for b in words] for a in words], atol=1e-5)
+
+
+def test_gapped_insults_are_found(model):
+    f = plain_scores(model, ["idiot", "idxiot", "idiiot", "worthhless", "ther", "reon", "inerst"])
+    assert (f[:4] > f[4:].max() + 0.5).all()
+    filler = "the ther reon inerst on an " * 8
+    texts = ["idiot moron scum", "i d i o t  m o r o n  s c u m", "id-iot mo.ron s*c*u*m", "idiiot moroon scumm", "the an er"]
+    s = scores(model, document_features(model, [(filler + t).encode() for t in texts]))
+    assert (s[:3] >= 0.7).all() and s[3] > 0.5 and s[4] < 0.2, s
+
+
+def test_held_out_accuracy(spark):
+    rows, labels = corpus()
+    df = documents(spark, rows)
+    lab = spark.createDataFrame(labels, "doc_id long, toxic int")
+    held_out = crc_mod(F.col("doc_id"), 3) == 1
+    got = toxicity(df, learn(df, lab, ~held_out)).collect()
+    y = dict(labels)
+    test = [(r.score >= 0.7, y[r.doc_id] == 1) for r in got if zlib.crc32(str(r.doc_id).encode()) % 3 == 1]
+    assert len(test) > 200 and sum(a == b for a, b in test) / len(test) > 0.97
+
+
+def test_labels_of_held_out_rows_do_not_matter(spark):
+    rows, labels = corpus(300)
+    df = documents(spark, rows)
+    held_out = crc_mod(F.col("doc_id"), 3) == 1
+    flipped = [(i, 1 - y if zlib.crc32(str(i).encode()) % 3 == 1 else y) for i, y in labels]
+    a, b = (learn(df, spark.createDataFrame(x, "doc_id long, toxic int"), ~held_out) for x in (labels, flipped))
+    assert np.array_equal(a["table"], b["table"]) and np.array_equal(a["logistic"], b["logistic"])
+
+
+def test_edge_rows(spark, docs, no_docs, model):
+    got = toxicity(docs, model).collect()
+    assert len(got) == docs.count() and all(0 <= r.score <= 1 for r in got)
+    assert len({r.score for r in got if r.doc_id in (3, 4, 5)}) == 1
+    a, b = [r.score for r in got if r.doc_id == 7]
+    assert a == b
+    assert toxicity(no_docs, model).count() == 0
+    labels = spark.createDataFrame([(0, 1), (None, 1), (1, None), (77, 0)], "doc_id long, toxic int")
+    for d in (docs, no_docs):
+        m = learn(d, labels, F.lit(True))
+        assert m is None
+        assert {r.score for r in toxicity(d, m).collect()} <= {0.0}
