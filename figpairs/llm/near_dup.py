@@ -112,11 +112,25 @@ def _signed(docs: DataFrame, id_type: str, width: int) -> DataFrame:
 
 
 def _sketch(classes: DataFrame) -> np.ndarray:
-    """How often a coordinate-value pair occurs, at least; a fixed number of counters."""
+    """log2 of how often a coordinate-value pair occurs, at most; one byte for each of SKETCH counters.
+
+    A counter of 0 says that the pair occurs once.
+    """
+    chunk = 1 << 12
     slot = F.col("v").bitwiseXOR(F.col("c") * 40503).bitwiseAND(SKETCH - 1)
-    rows = classes.select(F.posexplode("sig").alias("c", "v")).groupBy(slot.alias("slot")).agg(F.count("*").alias("k")).where("k > 1").toPandas()
-    out = np.ones(SKETCH, np.int32)
-    out[rows["slot"].to_numpy(np.int64)] = np.minimum(rows["k"].to_numpy(np.int64), 1 << 30)
+    counts = classes.select(F.posexplode("sig").alias("c", "v")).groupBy(slot.alias("slot")).agg(F.count("*").alias("k")).where("k > 1")
+    counts = counts.select(F.expr(f"slot div {chunk}").alias("chunk"), (F.col("slot") % chunk).alias("at"), F.ceil(F.log2("k")).cast("int").alias("level"))
+
+    def pack(pdf):
+        import pandas as pd
+
+        levels = np.zeros(chunk, np.uint8)
+        levels[pdf["at"].to_numpy()] = pdf["level"].to_numpy()
+        return pd.DataFrame({"chunk": [int(pdf["chunk"].iloc[0])], "levels": [levels.tobytes()]})
+
+    out = np.zeros(SKETCH, np.uint8)
+    for r in counts.groupBy("chunk").applyInPandas(pack, "chunk long, levels binary").collect():  # SKETCH bytes in all
+        out[r["chunk"] * chunk:(r["chunk"] + 1) * chunk] = np.frombuffer(r["levels"], np.uint8)
     return out
 
 
@@ -138,8 +152,8 @@ def _postings(classes: DataFrame, sketch: np.ndarray, id_type: str) -> DataFrame
             inside = np.zeros(sig.shape, bool)
             np.put_along_axis(inside, rank[:, :keep], True, axis=1)
             mask = (inside.astype(np.int64) << coord).sum(1)
-            typical = np.log2(seen).sum(1).astype(np.float32)
-            row, col = np.nonzero(inside & (seen > 1))
+            typical = seen.sum(1).astype(np.float32)
+            row, col = np.nonzero(inside & (seen > 0))
             take = pa.array(row)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(token[row, col]), *(b.column(k).take(take) for k in range(4)), pa.array(mask[row]), pa.array(typical[row])],
