@@ -49,7 +49,7 @@ SKIPPABLE_SEEK = 0x184D2A5E
 SEEKABLE_MAGIC = 0x8F92EAB1
 CHECKSUM_FLAG = 0x80
 
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
 
 
 def encoder(tokenizer_path: str):
@@ -84,7 +84,7 @@ def encoder(tokenizer_path: str):
         split = [(t or "").encode().split() for t in texts]
         if len(known) > CACHE_WORDS:
             known.clear()
-        new = {w for ws in split for w in ws if w not in known}
+        new = set().union(*split).difference(known)
         if new:
             learn(sorted(new))
         get = known.__getitem__
