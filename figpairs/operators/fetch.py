@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from figpairs.functions.text import PACKAGE_EXT, basename, with_ext
-from figpairs.plans.joins import join_checked
 
 # ---------------------------------------------------------------------------
 # Public open-access package locations, primary then fallback.
@@ -98,7 +97,7 @@ def join_packages(cat: DataFrame, packages: DataFrame, ext: str = PACKAGE_EXT, h
     otherwise a sort-merge join on ``pmcid`` with AQE.
     """
     pk = packages.withColumn("pmcid", package_key("path", ext)).withColumnRenamed("path", "package_path")
-    return join_checked(pk, cat, "pmcid", how=how)
+    return pk.join(cat, "pmcid", how)
 
 
 def plan_fetch(cat: DataFrame, landed: DataFrame | None = None, sizes: DataFrame | None = None, max_mb: int | None = None,

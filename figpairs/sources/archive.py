@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import io
 import tarfile
+import zlib
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -70,6 +71,11 @@ def scan_xml(spark: SparkSession, root: str, glob: str = "*" + XML_EXT) -> DataF
     return df.select("path", F.col("content").alias("xml"))
 
 
+# What a damaged archive raises; its bytes are already in memory, so none of
+# these can be a failed read of the storage.
+ARCHIVE_ERRORS = (tarfile.TarError, EOFError, OSError, ValueError, zlib.error)
+
+
 def _open(content: bytes) -> tarfile.TarFile:
     return tarfile.open(fileobj=io.BytesIO(content), mode="r:gz")
 
@@ -101,10 +107,10 @@ def _index_one(content, validate: bool = False):
                     xml_seen = True
                     f = tar.extractfile(m) if m.isfile() else None
                     xml = f.read() if f else b""
-    except tarfile.ReadError:
-        return None, None, "bad_archive"
-    except (EOFError, OSError, ValueError):
+    except ARCHIVE_ERRORS:
         return None, None, "bad_archive"
+    except Exception as e:  # noqa: BLE001 - one archive's failure is counted, the job goes on
+        return None, None, f"other: {type(e).__name__}"
     return members, xml, None
 
 
@@ -181,31 +187,28 @@ def unpack_and_parse(packages: DataFrame, content_col: str = "content", validate
     return src.mapInArrow(_index_parse_batches(content_col, to_arrow_schema(schema), validate), schema)
 
 
-def _members_batches(content_col: str, out_schema: pa.Schema, keep_names: list[str]):
+def _members_batches(content_col: str, out_schema: pa.Schema, keep_names: list[str], max_bytes: int = 64 << 20):
+    """Members of one archive after another, in batches of about ``max_bytes``."""
     def fn(batches):
         for b in batches:
-            rows = {n: [] for n in out_schema.names}
-            passthru = {n: b.column(n).to_pylist() for n in keep_names}
+            passthru = {n: b.column(n) for n in keep_names}
             for i, c in enumerate(b.column(content_col).to_pylist()):
+                kept = {n: passthru[n][i].as_py() for n in keep_names}
+                rows, size = [], 0
                 try:
                     with _open(c) as tar:
                         for pos, m in enumerate(tar):
                             f = tar.extractfile(m) if m.isfile() else None
                             data = f.read() if f else None
-                            for n in keep_names:
-                                rows[n].append(passthru[n][i])
-                            rows["pos"].append(pos)
-                            rows["name"].append(m.name)
-                            rows["isfile"].append(m.isfile())
-                            rows["size"].append(int(m.size))
-                            rows["content"].append(data)
-                            rows["error"].append(None)
-                except (tarfile.ReadError, EOFError, OSError, ValueError, TypeError):
-                    for n in keep_names:
-                        rows[n].append(passthru[n][i])
-                    for n, v in (("pos", None), ("name", None), ("isfile", None), ("size", None), ("content", None), ("error", "bad_archive")):
-                        rows[n].append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(rows[n], type=out_schema.field(n).type) for n in out_schema.names], schema=out_schema)
+                            rows.append({**kept, "pos": pos, "name": m.name, "isfile": m.isfile(), "size": int(m.size), "content": data, "error": None})
+                            size += len(data or b"")
+                            if size >= max_bytes:
+                                yield pa.RecordBatch.from_pylist(rows, schema=out_schema)
+                                rows, size = [], 0
+                except (*ARCHIVE_ERRORS, TypeError):
+                    rows.append({**kept, "pos": None, "name": None, "isfile": None, "size": None, "content": None, "error": "bad_archive"})
+                if rows:
+                    yield pa.RecordBatch.from_pylist(rows, schema=out_schema)
 
     return fn
 
@@ -241,7 +244,10 @@ def _read_file(path: str) -> bytes:
         while path.startswith("//"):
             path = path[1:]
     if "://" in path:
-        fs, p = pafs.FileSystem.from_uri(path)
+        try:
+            fs, p = pafs.FileSystem.from_uri(path)
+        except (ValueError, NotImplementedError) as e:
+            raise ValueError(f"tasks cannot open {path}; pass the binaryFile scan as packages= so that Spark reads it") from e
         with fs.open_input_stream(p) as f:
             return f.read()
     with open(path, "rb") as f:
@@ -257,16 +263,16 @@ def _read_members_batches(path_col: str, pos_col: str, out_schema: pa.Schema, ma
         if path is None or not wanted:
             return got
         last = max(wanted)
-        try:
-            with _open(_read_file(path)) as tar:
-                for i, m in enumerate(tar):
-                    if i in wanted:
-                        f = tar.extractfile(m)
-                        got[i] = f.read() if f else None
-                    if i >= last:
-                        break
-        except (tarfile.ReadError, EOFError, OSError, ValueError):
-            pass
+        data = _read_file(path)  # a failed read fails the task: a winner's image must not vanish
+        with _open(data) as tar:
+            for i, m in enumerate(tar):
+                if i in wanted:
+                    f = tar.extractfile(m)
+                    got[i] = f.read() if f else None
+                if i >= last:
+                    break
+        if wanted - got.keys():
+            raise ValueError(f"{path}: members {sorted(wanted - got.keys())} are gone since the index was made")
         return got
 
     def fn(batches):
@@ -328,16 +334,13 @@ def _extract_rows_batches(path_col: str, pos_col: str, rows_col: str, out_schema
                 got = {}
                 if content is not None and wanted:
                     last = max(wanted)
-                    try:
-                        with _open(content) as tar:
-                            for i, m in enumerate(tar):
-                                if i in wanted:
-                                    f = tar.extractfile(m)
-                                    got[i] = f.read() if f else None
-                                if i >= last:
-                                    break
-                    except (tarfile.ReadError, EOFError, OSError, ValueError):
-                        pass
+                    with _open(content) as tar:
+                        for i, m in enumerate(tar):
+                            if i in wanted:
+                                f = tar.extractfile(m)
+                                got[i] = f.read() if f else None
+                            if i >= last:
+                                break
                 for r in rows:
                     r = dict(r)
                     r[path_col] = path
@@ -352,16 +355,13 @@ def read_members_from(wanted: DataFrame, packages: DataFrame, path_col: str = "p
     """I2 without task-side filesystem access: re-read the archives with Spark.
 
     ``wanted`` rows are grouped per package (a group is bounded by the figures of
-    one archive) and joined to the ``binaryFile`` scan ``packages``.  The grouped
-    side is broadcast when its measured size allows, so archive bytes stay in
-    their scan tasks; beyond that the join is a shuffle join, which moves archive
-    bytes — use :func:`read_members` where executors can open the files.
+    one archive) and joined to the ``binaryFile`` scan ``packages``; how, the
+    planner decides.  Where it shuffles, archive bytes move: use
+    :func:`read_members` where executors can open the files.
     """
-    from figpairs.plans.joins import join_checked
-
     others = [c for c in wanted.columns if c != path_col]
     per_pkg = wanted.groupBy(path_col).agg(F.collect_list(F.struct(*others)).alias("_rows"))
-    j = join_checked(packages.select(F.col("path").alias(path_col), "content"), per_pkg, [path_col])
+    j = packages.select(F.col("path").alias(path_col), "content").join(per_pkg, [path_col])
     schema = T.StructType([f for f in wanted.schema.fields] + [T.StructField("content", T.BinaryType())])
     return j.select(path_col, "content", "_rows").mapInArrow(
         _extract_rows_batches(path_col, pos_col, "_rows", to_arrow_schema(schema)), schema)
