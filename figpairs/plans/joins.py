@@ -3,41 +3,25 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# A side is broadcast only when, measured after it has been materialised, it
-# has at most this many rows and its rows, serialised as JSON, at most this many
-# bytes (a conservative proxy for its in-memory size).
+# Only tables with a row per file or file split are joined this way; one is
+# broadcast if it has at most this many rows, counted.
 BROADCAST_MAX_ROWS = 1_000_000
-BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
-def materialise_small(df: DataFrame) -> tuple[DataFrame, int, int]:
-    """Checkpoint a (usually small) derived table; return it with its row count
-    and approximate byte size, both measured in one aggregate.
+def join_checked(big: DataFrame, small: DataFrame, on, how: str = "inner", max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Join ``big`` with a narrow table of one row per file or split.
 
-    ``checkpoint()`` writes to the shared ``spark.checkpoint.dir`` so the table
-    survives executor loss and its lineage is cut.
+    ``small`` is checkpointed and counted; beyond the limit the join is left to
+    the planner, so the plan stays correct at any size.
     """
-    from figpairs.session import checkpoint_dir
-
-    checkpoint_dir(df.sparkSession)
-    df = df.checkpoint(eager=True)
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))).alias("b")).first()
-    return df, int(row.n), int(row.b or 0)
-
+    from pyspark.sql import functions as F
 
-def join_checked(big: DataFrame, small: DataFrame, on, how: str = "inner", max_rows: int = BROADCAST_MAX_ROWS,
-                 max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """Join ``big`` with ``small``; broadcast ``small`` only if its measured size allows.
+    from figpairs.session import checkpoint_dir
 
-    Beyond either limit the join is left to the planner (sort-merge with AQE
-    skew handling), so the plan stays correct at any size.
-    """
-    small, n, nbytes = materialise_small(small)
-    if n <= max_rows and nbytes <= max_bytes:
-        small = F.broadcast(small)
-    return big.join(small, on, how)
+    checkpoint_dir(small.sparkSession)
+    small = small.checkpoint(eager=True)
+    return big.join(F.broadcast(small) if small.count() <= max_rows else small, on, how)
 
 
 def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:

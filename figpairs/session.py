@@ -26,6 +26,8 @@ DEFAULTS = {
     # 256 MiB per batch, whichever comes first.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "64",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(256 * 1024 * 1024),
+    # checkpoints go when the tables they hold are no longer referenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -51,11 +53,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     Uses ``spark.checkpoint.dir`` when the cluster names one.  Only when it is
-    unset (local tests) a fresh folder under the system temp dir is made.
+    unset on a local master (tests) a fresh folder under the system temp dir is
+    made; on a cluster that is an error.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="figpairs-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not sc.getCheckpointDir():

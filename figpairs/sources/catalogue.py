@@ -11,6 +11,7 @@ and sharding count.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -22,27 +23,32 @@ from figpairs.schemas import CATALOGUE_FIELDS
 def with_line_numbers(scan: DataFrame, name: str = "line_no", start: int = 0) -> DataFrame:
     """Number the rows of a file scan in file order, per file, without a global sort.
 
-    Pass 1 counts rows per file split (``_metadata.file_block_start``) — one tiny
-    row per split, partially aggregated on the map side.  A window over that
-    small table gives each split its offset within the file.  Pass 2 joins the
-    offsets back (broadcast when the measured split count allows) and adds the
-    position inside the split, which ``monotonically_increasing_id`` gives
-    directly because a split is read sequentially by one task.  No row of the
-    scan is shuffled.  Works for ``text`` and ``parquet`` scans alike.
+    A parquet scan knows each row's place (``_metadata.row_index``).  For other
+    sources the scan is checkpointed once with each row's file split and place
+    in its task, so that counting and numbering see the same splits whatever
+    happens to the cluster in between: each split's row count (one tiny row,
+    partially aggregated on the map side) gives its offset in the file, which is
+    joined back.  No row of the scan is shuffled.  A row whose split has no offset
+    ends the job.
 
     Output adds ``file_path`` and ``name``; the first row of each file gets ``start``.
     """
-    src = scan.select(
-        "*",
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_block_start").alias("_blk"),
-        F.monotonically_increasing_id().alias("_mid"),
-    )
+    path = F.col("_metadata.file_path").alias("file_path")
+    try:
+        return scan.select("*", path, (F.col("_metadata.row_index") + F.lit(start)).alias(name))
+    except AnalysisException:  # not a parquet scan
+        pass
+    from figpairs.session import checkpoint_dir
+
+    checkpoint_dir(scan.sparkSession)
+    src = scan.select("*", path, F.col("_metadata.file_block_start").alias("_blk"), F.monotonically_increasing_id().alias("_mid"))
+    src = src.checkpoint(eager=True)
     blocks = src.groupBy("file_path", "_blk").agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("file_path").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select("file_path", "_blk", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
-    out = join_checked(src, offsets, ["file_path", "_blk"])
-    out = out.withColumn(name, F.col("_base") + F.col("_mid") - F.col("_first") + F.lit(start))
+    out = join_checked(src, offsets, ["file_path", "_blk"], how="left")
+    base = F.coalesce("_base", F.raise_error(F.concat(F.lit("no offset for a split of "), F.col("file_path"))).cast("long"))
+    out = out.withColumn(name, base + F.col("_mid") - F.col("_first") + F.lit(start))
     return out.drop("_blk", "_mid", "_first", "_base")
 
 
