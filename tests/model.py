@@ -1,5 +1,8 @@
-"""Independent plain-Python restatement of the build rules (written from the
-survey's rule list, not from any other code).  Used to check the Spark plans."""
+"""The build's rules as sets and minima, to check the Spark plans against.
+
+A result is stated by what holds of it: of all figure-image pairs that the
+rules allow, each id keeps the least one in (line, figure) order.
+"""
 
 from __future__ import annotations
 
@@ -8,44 +11,44 @@ import io
 import struct
 import tarfile
 import zlib
+from itertools import groupby
 from pathlib import PurePosixPath
 
 EXTS = (".jpg", ".jpeg", ".png", ".tif", ".tiff")
 # Leading bytes of the image formats we accept as decodable.
 SIGS = (b"\xff\xd8\xff", b"\x89PNG\r\n\x1a\n", b"II*\x00", b"MM\x00*", b"GIF8", b"BM")
+# Upper ends of the splits' buckets.
+SPLITS = ((97, "train"), (98, "dev"), (100, "test"))
 
 
 def bucket(key: str) -> int:
-    return int(hashlib.md5(key.encode("utf-8")).hexdigest()[:8], 16) % 100
+    return int.from_bytes(hashlib.md5(key.encode()).digest()[:4], "big") % 100
 
 
 def split_of(key: str) -> str:
-    b = bucket(key)
-    return "train" if b < 97 else ("dev" if b < 98 else "test")
+    return min(s for s in SPLITS if bucket(key) < s[0])[1]
+
 
+def places(names) -> dict[str, list[int]]:
+    """Lower-cased base name of each image file -> its positions, ascending."""
+    images = sorted((PurePosixPath(n).name.lower(), p) for p, n, is_file in names if is_file and PurePosixPath(n.lower()).name.endswith(EXTS))
+    return {key: [p for _, p in group] for key, group in groupby(images, key=lambda x: x[0])}
 
-def image_map(names):
-    """names: list of (pos, name, isfile). dict key -> pos of last member, in first-seen key order."""
-    m = {}
-    for pos, name, isfile in names:
-        if isfile and name.lower().endswith(EXTS):
-            m[PurePosixPath(name).name.lower()] = pos
-    return m
+
+def image_map(names) -> dict[str, int]:
+    """Each image name stands for its last file; names in the order of their first one."""
+    at = places(names)
+    return {key: at[key][-1] for key in sorted(at, key=at.get)}
 
 
 def match(imap: dict, ref: str, strict: bool = False):
+    """The image of least rank: (0, candidate number) if its name is a candidate, (1, order) if it holds the stem."""
     base = PurePosixPath(ref).name
-    st = PurePosixPath(base).stem
-    cands = [base.lower()] + [(st + e).lower() for e in EXTS]
-    for c in cands:
-        if c in imap:
-            return imap[c]
-    if strict:
-        return None
-    for k in imap:
-        if st in k:
-            return imap[k]
-    return None
+    stem = PurePosixPath(base).stem
+    wanted = {name.lower(): k for k, name in reversed([*enumerate([base, *(stem + e for e in EXTS)])])}
+    ranks = [(0, wanted[key]) if key in wanted else (1, order) for order, key in enumerate(imap)]
+    able = [(rank, pos) for rank, (key, pos) in zip(ranks, imap.items()) if rank[0] == 0 or not strict and stem in key]
+    return min(able)[1] if able else None
 
 
 def png_bytes(w: int = 3, h: int = 2) -> bytes:
@@ -86,50 +89,31 @@ def article_xml(pmid, pmc, figs, extra="") -> bytes:
     return "".join(parts).encode("utf-8")
 
 
+def contents(package) -> list[tuple[str, bool, bytes]] | None:
+    """(name, is a file, bytes) of each member in order; None for what is no archive."""
+    try:
+        with tarfile.open(fileobj=io.BytesIO(package or b""), mode="r:gz") as tar:
+            return [(m.name, m.isfile(), tar.extractfile(m).read() if m.isfile() else b"") for m in tar]
+    except (tarfile.ReadError, EOFError, OSError, zlib.error):
+        return None
+
+
+def allowed(entry: dict, package, parse) -> list[dict]:
+    """All pairs of one catalogue line that the rules allow, with their place in the article."""
+    members = contents(package) or []
+    articles = [data for name, _, data in members if name.lower().endswith(".nxml")]
+    figures = parse(articles[0])[0] if articles else []
+    imap = image_map([(k, name, is_file) for k, (name, is_file, _) in enumerate(members)])
+    ids = {"pmid": entry["pmid"], "pmc": entry["pmcid"], **{k: v for k, v in (figures[0] if figures else {}).items() if k in ("pmid", "pmc") and v}}
+    hits = [(k, f, (f["fig_caption"] or "").strip(), match(imap, f["graphic_ref"]) if f["graphic_ref"] else None) for k, f in enumerate(figures)]
+    return [{"place": (entry["line_no"], k), "image": f"{ids['pmc']}/{ids['pmc']}_fig-{f['fig_id'] or ''}.jpg", "caption": caption, "pmid": ids["pmid"],
+             "pmcid": ids["pmc"], "pair_id": f"{ids['pmid']}_{f['fig_id'] or ''}", "split": entry["split"]}
+            for k, f, caption, at in hits if caption and at is not None and members[at][2].startswith(SIGS)]
+
+
 def build_model(entries, packages, parse, existing=(), resume=True):
-    """entries: list of dicts (line_no, pmcid, pmid, split) in list order.
-    packages: pmcid -> tar.gz bytes. parse: bytes -> (figs, err).
-    Returns records (dicts) in write order, scoped per split."""
-    seen = {}
-    for s, pid in existing:
-        seen.setdefault(s, set()).add(pid)
-    out = []
-    for e in entries:
-        data = packages.get(e["pmcid"])
-        if data is None:
-            continue
-        try:
-            tar = tarfile.open(fileobj=io.BytesIO(data), mode="r:gz")
-            members = tar.getmembers()
-        except (tarfile.ReadError, EOFError, OSError):
-            continue
-        xmls = [m for m in members if m.name.lower().endswith(".nxml")]
-        if not xmls:
-            continue
-        f = tar.extractfile(xmls[0])
-        figs, err = parse(f.read() if f else b"")
-        if err or not figs:
-            continue
-        names = [(i, m.name, m.isfile()) for i, m in enumerate(members)]
-        imap = image_map(names)
-        pmid = figs[0].get("pmid") or e["pmid"]
-        pmc = figs[0].get("pmc") or e["pmcid"]
-        for fig in figs:
-            cap = (fig.get("fig_caption") or "").strip()
-            ref = fig.get("graphic_ref")
-            if not cap or not ref:
-                continue
-            pos = match(imap, ref)
-            if pos is None:
-                continue
-            pid = f"{pmid}_{fig.get('fig_id') or ''}"
-            scope = seen.setdefault(e["split"], set())
-            if resume and pid in scope:
-                continue
-            blob = tar.extractfile(members[pos]).read()
-            if not blob.startswith(SIGS):
-                continue
-            out.append({"image": f"{pmc}/{pmc}_fig-{fig.get('fig_id') or ''}.jpg", "caption": cap, "pmid": pmid,
-                        "pmcid": pmc, "pair_id": pid, "split": e["split"]})
-            scope.add(pid)
-    return out
+    """entries: dicts (line_no, pmcid, pmid, split); packages: pmcid -> tar.gz bytes; parse: bytes -> (figures, error)."""
+    every = sorted((p for e in entries for p in allowed(e, packages.get(e["pmcid"]), parse)), key=lambda p: p["place"])
+    least = {(p["split"], p["pair_id"]): p["place"] for p in reversed(every)}
+    chosen = [p for p in every if not resume or (least[p["split"], p["pair_id"]] == p["place"] and (p["split"], p["pair_id"]) not in set(existing))]
+    return [{k: v for k, v in p.items() if k != "place"} for p in chosen]

@@ -33,6 +33,9 @@ def test_python_stages_from_foreign_cwd():
 
 def test_uses_the_sessions_checkpoint_dir():
     ck = tempfile.mkdtemp(prefix="figpairs-shared-ckpt-")
+    lines = os.path.join(tempfile.mkdtemp(), "list.txt")
+    with open(lines, "w") as f:
+        f.write("x\n" * 200)
     script = f"""
 import os, sys
 sys.path.insert(0, {REPO!r})

@@ -1,0 +1,136 @@
+"""Runs that fail midway, several writers, several lists, damaged archives and other encodings."""
+
+import os
+
+import pytest
+
+from figpairs.operators import report, split
+from figpairs.operators.figures import parse_figures_xml
+from figpairs.plans import pipeline, sinks
+from figpairs.plans.pipeline import build_pairs, write_build
+from figpairs.sources import archive, catalogue
+from figpairs.streaming.incremental import existing_pairs, start_incremental
+from tests import model
+from tests.test_pipeline import JPG, cap, write_fixture
+
+
+def test_line_numbers_survive_other_splits_between_definition_and_action(spark, tmp_path):
+    (tmp_path / "lists").mkdir()
+    for k in range(3):
+        (tmp_path / "lists" / f"l{k}.txt").write_text("".join(f"{k}-{i}\n" for i in range(4000)))
+    conf = {"spark.sql.files.maxPartitionBytes": "4096", "spark.sql.files.openCostInBytes": "0"}
+    lines = catalogue.read_lines(spark, str(tmp_path / "lists"))
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        got = lines.collect()
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+    assert len(got) == 12_000 and all(int(r.value.split("-")[1]) == r.line_no for r in got)
+
+
+def test_parquet_rows_are_numbered_by_their_index(spark, tmp_path):
+    spark.range(1000).coalesce(1).write.parquet(str(tmp_path / "t"))
+    out = catalogue.with_line_numbers(spark.read.parquet(str(tmp_path / "t")), start=5)
+    assert all(r.line_no == r.id + 5 for r in out.collect())
+
+
+@pytest.mark.parametrize("sink", ["images", "pairs"])
+def test_a_run_that_fails_at_a_sink_loses_nothing(spark, tmpdir_fresh, monkeypatch, sink):
+    pk, cat_path, P, entries = write_fixture(tmpdir_fresh)
+    cat = split.assign_split(catalogue.read_catalogue(spark, cat_path))
+    out = os.path.join(tmpdir_fresh, "out")
+    first = build_pairs(cat, archive.scan_packages(spark, pk))
+    n = first.pairs.count()
+    with monkeypatch.context() as m:
+        where, name = (pipeline, "_member_bytes") if sink == "images" else (sinks, "write_pairs")
+        m.setattr(where, name, lambda *a, **k: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            write_build(first, out)
+    write_build(build_pairs(cat, archive.scan_packages(spark, pk), existing=existing_pairs(spark, out)), out)
+    pairs = spark.read.json(os.path.join(out, "pairs"))
+    assert pairs.count() == n == pairs.select("split", "pair_id").distinct().count()
+    images = spark.read.parquet(os.path.join(out, "images")).select("split", "batch", "pair_id")
+    assert pairs.join(images, ["split", "batch", "pair_id"], "left_anti").count() == 0
+
+
+def test_batch_then_two_streams_into_one_target(spark, tmpdir_fresh):
+    pk, cat_path, P, entries = write_fixture(tmpdir_fresh)
+    cat = split.assign_split(catalogue.read_catalogue(spark, cat_path))
+    out = os.path.join(tmpdir_fresh, "out")
+    some = archive.scan_packages(spark, pk).filter("path rlike 'PMC(1|2)[.]'")
+    write_build(build_pairs(cat, some), out)
+    sizes = [spark.read.json(os.path.join(out, "pairs")).count()]
+    for k in range(2):  # a second checkpoint starts at epoch 0 again
+        start_incremental(spark, pk, cat, out, os.path.join(tmpdir_fresh, f"ck{k}")).awaitTermination(300)
+        pairs = spark.read.json(os.path.join(out, "pairs"))
+        sizes.append(pairs.count())
+        assert pairs.select("split", "pair_id").distinct().count() == sizes[-1]
+    assert 0 < sizes[0] < sizes[1] == sizes[2] == build_pairs(cat, archive.scan_packages(spark, pk)).pairs.count()
+
+
+def test_unreadable_prior_output_is_an_error(spark, tmpdir_fresh, monkeypatch):
+    import figpairs.streaming.incremental as inc
+
+    assert existing_pairs(spark, os.path.join(tmpdir_fresh, "none")) is None
+    monkeypatch.setattr(inc, "path_exists", lambda *_: True)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        existing_pairs(spark, os.path.join(tmpdir_fresh, "none"))
+
+
+def test_counts_with_several_lists(spark, tmpdir_fresh):
+    pk, cat_path, P, entries = write_fixture(tmpdir_fresh)
+    lists = os.path.join(tmpdir_fresh, "lists")
+    os.makedirs(lists)
+    for k, ids in enumerate([["PMC1"], ["PMC8", "PMC10"], ["PMC3"], ["PMC5"], ["PMC2", "PMC1"]]):
+        with open(os.path.join(lists, f"s{k}.txt"), "w") as f:
+            f.write("path\ttitle\tpmcid\tpmid\tcode\n" + "".join(f"oa/{i}\tT\t{i}\t9{k}\tCC\n" for i in ids))
+    cat = catalogue.read_shard_lists(spark, lists)
+    b = build_pairs(cat, archive.scan_packages(spark, pk), scope=("shard_idx",))
+    own = {r.shard_idx: r.n for r in b.pairs.groupBy("shard_idx").count().withColumnRenamed("count", "n").collect()}
+    got = {r.shard_idx: (r.n_written, r.n_skipped, r.n_entries) for r in report.run_summary(b.entries, scope=("shard_idx",)).collect()}
+    assert {k: v[0] for k, v in got.items()} == {k: own.get(k, 0) for k in range(1, 6)}
+    assert own[1] == 2 and own[5] == 3 and got[3][1:] == (1, 1) and got[4][1:] == (1, 1) and got[5][2] == 2
+    status = {r.shard_idx: (os.path.basename(r.shard_path), r.ok, r.msg) for r in report.shard_status_rows(b.entries, path_col="file_path").collect()}
+    assert status[1] == ("s0.txt", True, None)
+    assert status[3] == ("s2.txt", False, "1 of 1 entries failed: no_xml") and status[4][2] == "1 of 1 entries failed: bad_archive"
+
+
+def test_damage_anywhere_in_an_archive_is_counted(spark, tmp_path):
+    whole = model.targz([("A/a.nxml", model.article_xml("1", "1", [("F1", "L", cap("x"), "g")])), ("A/g.jpg", JPG + bytes(range(256)) * 40)])
+    rows = [("/in/ok.tar.gz", len(whole), whole)]
+    for at in range(5, len(whole), 7):
+        bad = bytearray(whole)
+        bad[at] ^= 0xFF
+        rows.append((f"/in/bad{at}.tar.gz", len(bad), bytes(bad)))
+    df = spark.createDataFrame(rows, "path string, length long, content binary")
+    got = {r.path: r.error for r in archive.unpack_and_parse(df).collect()}
+    assert got["/in/ok.tar.gz"] is None and len(got) == len(rows)
+    assert set(got.values()) <= {None, "bad_archive"} and list(got.values()).count("bad_archive") > 5
+    assert archive.unpack_members(df).select("path").distinct().count() == len(rows)
+
+
+def test_articles_in_other_encodings():
+    text = '<article><fig id="é"><caption><p>café &eacute;&nbsp;<![CDATA[&eacute; a]]></p></caption></fig></article>'
+    for name in ("utf-8", "iso-8859-1", "utf-16", "windows-1252"):
+        data = f'<?xml version="1.0" encoding="{name}"?>{text}'.encode(name)
+        figs, err = parse_figures_xml(data)
+        assert err is None and figs[0]["fig_caption"] == "café é\xa0&eacute; a" and figs[0]["fig_id"] == "é", (name, err)
+    assert parse_figures_xml(b"<article>&nosuch;</article>")[1].startswith("xml_syntax")
+
+
+def test_image_bytes_never_vanish(spark, tmp_path):
+    data = model.targz([("A/g.jpg", JPG)])
+    (tmp_path / "p.tar.gz").write_bytes(data)
+    for path, pos in ((str(tmp_path / "none.tar.gz"), 0), ("s3a://bucket/p.tar.gz", 0), (str(tmp_path / "p.tar.gz"), 4)):
+        wanted = spark.createDataFrame([(path, pos)], "path string, member_pos int")
+        with pytest.raises(Exception, match="No such file|packages=|are gone"):
+            archive.read_members(wanted).collect()
+
+
+def test_article_location_is_a_plain_path(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "x.nxml").write_bytes(model.article_xml("1", "1", [("F1", "L", cap("x"), "g")]))
+    row = pipeline.build_articles(spark, str(tmp_path)).first()
+    assert row.location == str(tmp_path / "a") and row.figures[0].graphic_ref == f"{tmp_path}/a/g.jpg"

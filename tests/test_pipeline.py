@@ -171,7 +171,7 @@ def test_pairs_written_in_list_order(spark, tmpdir_fresh):
     out = os.path.join(tmpdir_fresh, "ordered")
     write_build(b, out)
     expected = [r.pair_id for r in b.pairs.filter(F.col("split") == "train").orderBy("line_no", "fig_pos").collect()]
-    files = sorted(glob.glob(os.path.join(out, "pairs", "split=train", "part-*.json")))
+    files = sorted(glob.glob(os.path.join(out, "pairs", "split=train", "batch=*", "part-*.json")))
     got = [json.loads(line)["pair_id"] for f in files for line in open(f)]
     assert got == expected
 
