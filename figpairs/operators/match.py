@@ -22,11 +22,8 @@ Two equivalent forms:
   one row that already holds a package's member list (the unpack output).  No
   join and no shuffle: a package is one file, one row.
 * :func:`match_images` — relational form for separate figure and member
-  tables.  Exact matching is an equi-join on (article, candidate key).  Loose
-  matching is also an equi-join: each key is cut into its substrings of the
-  stem lengths that the article actually needs, and joined on
-  (article, substring = stem).  No figure is ever paired with every image of
-  its article.
+  tables: the members of an article become one array and join its figures
+  on the article, one shuffle per side; the rule is then the in-row one.
 """
 
 from __future__ import annotations
@@ -112,42 +109,23 @@ def match_images(figs: DataFrame, members: DataFrame, keys=("article_id",), fig_
     ``ref_col``; ``members`` needs ``keys``, ``pos``, ``name`` (and optionally
     ``isfile``).  ``how="left"`` keeps unmatched figures with NULLs.
 
-    Exact and loose hits are produced as candidate rows with a priority —
-    the candidate rank 0..5 for exact hits, 6 for loose ones — and one
-    ``min_by`` over (priority, map position) per figure picks the winner, so an
-    exact hit always beats a loose one without a second pass.
+    An article's image members are gathered into one array (as many as its
+    package holds), which meets the article's figures in one join: a shuffle per
+    side.  The rest is the in-row rule, so a figure that has an exact hit costs
+    no loose search.
     """
     keys = list(keys)
-    fk = keys + [fig_key]
-    imap = image_map(members, keys)
-    f = with_ref_parts(figs.filter(F.col(ref_col).isNotNull()), ref_col).select(*fk, "ref_stem", "candidates")
-    hit = F.struct(F.col("key").alias("member_key"), "member_pos", "prio")
-
-    # M4: exact, by candidate priority (equi-join on article + key).
-    cand = f.select(*fk, F.posexplode("candidates").alias("prio", "key"))
-    found = cand.join(imap, keys + ["key"]).select(*fk, hit.alias("h"), F.lit(0).alias("order_pos"))
-    if not strict:
-        # M5: the first key (map order) containing the stem.
-        stems = f.select(*fk, "ref_stem", F.length("ref_stem").alias("slen"))
-        # Empty stem: contained in every key → the first key of the map.
-        first_key = imap.groupBy(*keys).agg(F.min_by(F.struct("key", "member_pos", "first_pos"), "first_pos").alias("m"))
-        loose_empty = stems.filter(F.col("slen") == 0).join(first_key, keys).select(
-            *fk, F.struct(F.col("m.key").alias("member_key"), F.col("m.member_pos").alias("member_pos"), F.lit(6).alias("prio")).alias("h"),
-            F.col("m.first_pos").alias("order_pos"))
-        # Non-empty stem: substrings of each key at the stem lengths the article needs,
-        # equi-joined on (article, substring = stem).  Lengths per article are
-        # bounded by the longest file name, so the key × length product is bounded.
-        lens = stems.filter(F.col("slen") > 0).select(*keys, "slen").distinct()
-        subs = (
-            imap.join(lens, keys)
-            .filter(F.length("key") >= F.col("slen"))
-            .select(*keys, "key", "first_pos", "member_pos", "slen",
-                    F.explode(F.sequence(F.lit(1), F.length("key") - F.col("slen") + 1)).alias("i"))
-            .select(*keys, "key", "first_pos", "member_pos", F.expr("substring(key, i, slen)").alias("ref_stem"))
-        )
-        loose = stems.filter(F.col("slen") > 0).join(subs, keys + ["ref_stem"]).select(
-            *fk, F.struct(F.col("key").alias("member_key"), "member_pos", F.lit(6).alias("prio")).alias("h"), F.col("first_pos").alias("order_pos"))
-        found = found.unionByName(loose_empty).unionByName(loose)
-    best = found.groupBy(*fk).agg(F.min_by("h", F.struct(F.col("h.prio"), F.col("order_pos"))).alias("b"))
-    hits = best.select(*fk, "b.member_key", "b.member_pos", F.when(F.col("b.prio") < 6, "exact").otherwise("loose").alias("match_kind"))
-    return figs.join(hits, fk, how)
+    isfile = F.col("isfile") if "isfile" in members.columns else F.lit(True)
+    m = members.filter(isfile & is_image_name("name")).groupBy(*keys).agg(
+        F.sort_array(F.collect_list(F.struct("pos", member_key("name").alias("k")))).alias("_images"))
+    base = ref_base(F.col(ref_col))
+    st = stem(base)
+    names = F.transform("_images", lambda x: x["k"])
+    exact = F.get(F.filter(candidates(base, st), lambda c: F.array_contains(names, c)), 0)
+    loose = F.lit(None).cast("string") if strict else F.get(F.filter(names, lambda k: k.contains(st)), 0)
+    out = figs.join(m, keys, "left" if how == "left" else "inner")
+    out = out.withColumn("_exact", exact).withColumn("member_key", F.coalesce("_exact", loose))
+    out = out.withColumn("member_pos", F.array_max(F.transform(F.filter("_images", lambda x: x["k"] == F.col("member_key")), lambda x: x["pos"])))
+    kind = F.when(F.col("member_key").isNotNull(), F.when(F.col("_exact").isNotNull(), "exact").otherwise("loose"))
+    out = out.withColumn("match_kind", kind).select(*figs.columns, "member_key", "member_pos", "match_kind")
+    return out if how == "left" else out.filter(F.col("member_pos").isNotNull())

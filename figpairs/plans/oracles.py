@@ -211,6 +211,17 @@ SELECT article_id, fig_pos, CAST(r AS BIGINT) AS rank, c AS candidate FROM cand"
     "match_exact": BASE_MATCH + "\nSELECT article_id, fig_pos, k AS member_key, lp AS member_pos FROM xm",
     "match_loose": BASE_MATCH + "\nSELECT article_id, fig_pos, k AS member_key, lp AS member_pos FROM lm",
     "match_all": BASE_MATCH + "\nSELECT * FROM mall",
+    "match_join_form": BASE_MATCH + "\nSELECT article_id, fig_pos, member_pos FROM mall",
+    "catalogue_file_scan": cte("raw_list") + f"""
+SELECT 'train_shard-' || lpad(CAST((line_no - 1) // {SHARD} AS VARCHAR), 5, '0') AS shard_name, (line_no - 1) % {SHARD} + 1 AS line_no, value FROM raw_list""",
+    "resume_after_partial_write": PKG + "\nSELECT DISTINCT split, pmid || '_' || fig_id AS pair_id FROM pdd",
+    "build_from_shard_lists": PKG + f""",
+ pl AS (SELECT *, (line_no - 1) // {SHARD * 100} AS shard_idx FROM pk),
+ pw AS (SELECT * FROM pl QUALIFY row_number() OVER (PARTITION BY shard_idx, pmid || '_' || fig_id ORDER BY line_no) = 1),
+ pn AS (SELECT line_no, count(*) AS n FROM pw GROUP BY 1)
+SELECT (e.line_no - 1) // {SHARD * 100} AS shard_idx, CAST(coalesce(sum(n), 0) AS BIGINT) AS n_written,
+       CAST(count(*) FILTER (WHERE n IS NULL) AS BIGINT) AS n_skipped, count(*) AS n_entries
+FROM (SELECT conv_id * 1000 + turn + 1 AS line_no FROM conversations) e LEFT JOIN pn USING (line_no) GROUP BY 1""",
     "unmatched_figures": BASE_MATCH + """
 SELECT article_id, fig_pos FROM uf WHERE NOT EXISTS (SELECT 1 FROM mall WHERE mall.article_id = uf.article_id AND mall.fig_pos = uf.fig_pos)""",
     "dedupe_first": DEDUPE + "\nSELECT pair_id, article_id, fig_pos, image, caption FROM dd",

@@ -287,6 +287,15 @@ def q_match_all(spark, sf):
     return _matched(spark, sf).select("article_id", "fig_pos", "member_key", "member_pos", "match_kind")
 
 
+def q_match_join_form(spark, sf):
+    """The in-row form over one row per article, which equals the join form of ``match_all``."""
+    members = proxy(spark, sf, "members").groupBy("article_id").agg(
+        F.sort_array(F.collect_list(F.struct("pos", "name", F.lit(True).alias("isfile")))).alias("members"))
+    figs = _usable(spark, sf).groupBy("article_id").agg(F.collect_list(F.struct("fig_pos", "graphic_ref")).alias("figures"))
+    rows = match.match_packages(figs.join(members, "article_id")).select("article_id", F.inline("figures"))
+    return rows.filter(F.col("member_pos").isNotNull()).select("article_id", "fig_pos", "member_pos")
+
+
 def q_unmatched_figures(spark, sf):
     m = _matched(spark, sf, how="left")
     return m.filter(F.col("member_pos").isNull()).select("article_id", "fig_pos")
@@ -449,6 +458,15 @@ def q_shard_files(spark, sf):
     return back.groupBy(name).agg(F.count(F.lit(1)).alias("n_lines"), F.count_if((F.col("line_no") == 0) & (F.col("value") == head)).alias("n_headers"))
 
 
+def q_catalogue_file_scan(spark, sf):
+    """The catalogue cut into list files, read back and numbered per file."""
+    s = split.assign_shard(proxy(spark, sf, "raw_list"), SHARD, prefix="train")
+    path = _roundtrip_dir(spark, "file-scan")
+    sinks.write_lists(s, path, "path\ttitle\tpmcid\tpmid\tcode", key="shard_name")
+    back = catalogue.data_lines(catalogue.read_lines(spark, path, glob="*.txt", recursive=True))
+    return back.select(F.regexp_extract("file_path", r"shard_name=([^/]+)/", 1).alias("shard_name"), F.col("line_no").cast("bigint").alias("line_no"), "value")
+
+
 def q_split_order(spark, sf):
     """Written split lists keep input order — out-of-order neighbours per list file."""
     cat = sinks.split_list_key(split.assign_split(catalogue.parse_catalogue(proxy(spark, sf, "raw_list"), "at_least_five")))
@@ -586,6 +604,32 @@ def q_build_from_packages_skips(spark, sf):
     return report.skip_counts(_package_build(spark, sf).entries)
 
 
+def q_resume_after_partial_write(spark, sf):
+    """A first run publishes half the packages, a second resumes from what was written; the pairs are read back."""
+    from figpairs.plans.pipeline import write_build
+    from figpairs.streaming.incremental import existing_pairs
+
+    cat = split.assign_split(proxy(spark, sf, "package_rows").select("line_no", "pmcid", "pmid"))
+    packages = _landed_packages(spark, sf)
+    out = _roundtrip_dir(spark, "resumed")
+    half = packages.filter(F.pmod(F.xxhash64("path"), F.lit(2)) == 0)
+    write_build(build_pairs(cat, half), out, packages=half)
+    write_build(build_pairs(cat, packages, existing=existing_pairs(spark, out)), out, packages=packages)
+    return spark.read.json(f"{out}/pairs").select("split", "pair_id")
+
+
+def q_build_from_shard_lists(spark, sf):
+    """The package lines as list files of ``SHARD`` lines, numbered from 1 in each; counts per list."""
+    from figpairs.plans.pipeline import build_pairs as build
+
+    line = F.col("line_no") - 1
+    rows = proxy(spark, sf, "package_rows").select("line_no", "pmcid", "pmid")
+    cat = rows.select(F.expr(f"(line_no - 1) div {SHARD * 100}").cast("int").alias("shard_idx"), F.format_string("lists/%09d.txt", F.expr(f"(line_no - 1) div {SHARD * 100}")).alias("file_path"),
+                      (line % (SHARD * 100) + 1).alias("line_no"), "pmcid", "pmid")
+    b = build(cat, _landed_packages(spark, sf), scope=("shard_idx",))
+    return report.run_summary(b.entries, scope=("shard_idx",)).select(F.col("shard_idx").cast("bigint").alias("shard_idx"), "n_written", "n_skipped", "n_entries")
+
+
 def q_build_pairs(spark, sf):
     """Flagship: catalogue → split → figures → usable → match → resume → first-success dedupe → pair records."""
     cat = split.assign_split(_cat(spark, sf)).select("pmcid", "split", "line_no")
