@@ -135,7 +135,7 @@ def _sketch(classes: DataFrame) -> np.ndarray:
 
 
 def _postings(classes: DataFrame, sketch: np.ndarray, id_type: str) -> DataFrame:
-    """A row per class and pair of its prefix that occurs elsewhere too."""
+    """A narrow row per class and pair of its prefix, but for pairs known to occur once."""
     shared = classes.sparkSession.sparkContext.broadcast(sketch)
     keep = COORDS - MATCHES + 1
 
@@ -156,20 +156,21 @@ def _postings(classes: DataFrame, sketch: np.ndarray, id_type: str) -> DataFrame
             row, col = np.nonzero(inside & (seen > 0))
             take = pa.array(row)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(token[row, col]), *(b.column(k).take(take) for k in range(4)), pa.array(mask[row]), pa.array(typical[row])],
-                ["token", "id", "n", "key", "sig", "mask", "typical"])
+                [pa.array(token[row, col]), *(b.column(k).take(take) for k in range(3)), pa.array(mask[row]), pa.array(typical[row])],
+                ["token", "id", "class", "n", "mask", "typical"])
 
-    return classes.select("id", "n", "key", "sig").mapInArrow(
-        run, f"token long, id {id_type}, n long, key binary, sig array<int>, mask long, typical float")
+    return classes.select("id", F.xxhash64("key").alias("class"), "n", "sig").mapInArrow(
+        run, f"token long, id {id_type}, class long, n long, mask long, typical float")
 
 
-def _blocks(postings: DataFrame) -> DataFrame:
-    """Lists of two or more, dealt out by pairs of blocks (bi <= bj)."""
+def _blocks(postings: DataFrame, classes: DataFrame) -> DataFrame:
+    """Lists of two or more, dealt out by pairs of blocks (bi <= bj); only their rows get signatures."""
     lists = (postings.groupBy("token").agg(F.count("*").alias("rows"), F.sum("n").alias("shingles")).where("rows > 1")
              .select("token", F.greatest(F.ceil(F.col("rows") / BLOCK_ROWS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks")))
-    own = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
+    own = F.pmod(F.col("class"), F.col("blocks")).cast("int")
     p = postings.join(lists, "token").withColumn("own", own)
-    p = p.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    signed = classes.select("id", F.xxhash64("key").alias("class"), "key", "sig")
+    p = p.join(signed, ["id", "class"]).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return p.select("token", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"),
                     (F.col("own") > F.col("other")).cast("int").alias("side"), "id", "n", "key", "sig", "mask", "typical")
 
@@ -334,8 +335,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = stored(named.groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sig").alias("sig")), "classes")
     # with fewer than 4 shingles only equal sets reach 80 %
     large = classes.where("n > 3")
-    postings = stored(_postings(large, _sketch(large), id_type), "postings")
-    flagged = stored(_flagged(_blocks(postings), percent, id_type), "flagged")
+    postings = _postings(large, _sketch(large), id_type)
+    flagged = stored(_flagged(_blocks(postings, large), percent, id_type), "flagged")
     sets = _sets(d, flagged.select("id").distinct(), id_type, width)
     links = _links(flagged, sets, percent, id_type)
     twice = named.groupBy("id").agg(F.count_distinct("key").alias("k")).where("k > 1").select("id")
