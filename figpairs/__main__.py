@@ -52,7 +52,6 @@ def main(argv=None) -> None:
     b.add_argument("--subset_size", type=int, default=None)
     b.add_argument("--max_filesize_mb", type=int, default=None)
     b.add_argument("--no_resume", action="store_true")
-    b.add_argument("--strict_images", action="store_true")
     a = sub.add_parser("articles")
     a.add_argument("--xml_root", required=True)
     a.add_argument("--out", required=True)
@@ -81,7 +80,7 @@ def main(argv=None) -> None:
         resume = not args.no_resume
         b = pipeline.build_pairs(cat, archive.scan_packages(spark, args.packages), scope=scope, resume=resume,
                                  existing=existing_pairs(spark, args.out_root, scope) if resume else None,
-                                 max_mb=args.max_filesize_mb, strict_images=args.strict_images)
+                                 max_mb=args.max_filesize_mb)
         pipeline.write_build(b, args.out_root, scope=scope)
         print(json.dumps({r[0]: r["n_written"] for r in report.run_summary(b.entries, scope=scope).collect()}))
     elif args.cmd == "articles":

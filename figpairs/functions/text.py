@@ -34,7 +34,7 @@ PY_WHITESPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000-\u200a\u202
 # ---------------------------------------------------------------------------
 
 _WS_CLASS = "[" + PY_WHITESPACE + "]"
-IMAGE_EXT_RE = r"\.(jpg|jpeg|png|tif|tiff)\z"
+IMAGE_EXT_RE = r"\.(" + "|".join(e[1:] for e in IMAGE_EXTS) + r")\z"
 
 
 def col_(c) -> Column:

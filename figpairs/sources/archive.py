@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from figpairs.functions.text import IMAGE_EXTS, PACKAGE_EXT, XML_EXT
-from figpairs.operators.images import decodable_bytes, sniff_format
+from figpairs.operators.images import sniff_format
 
 MEMBER_T = T.StructType(
     [
@@ -36,7 +36,6 @@ MEMBER_T = T.StructType(
         T.StructField("isfile", T.BooleanType()),
         T.StructField("size", T.LongType()),
         T.StructField("fmt", T.StringType()),
-        T.StructField("valid", T.BooleanType()),
     ]
 )
 
@@ -80,10 +79,8 @@ def _open(content: bytes) -> tarfile.TarFile:
     return tarfile.open(fileobj=io.BytesIO(content), mode="r:gz")
 
 
-def _index_one(content, validate: bool = False):
-    """(members, xml, error) for one archive.  ``validate`` runs the structural
-    image check on each image member (reads its whole bytes); otherwise only
-    the leading bytes are read for the signature."""
+def _index_one(content):
+    """(members, xml, error) for one archive; of images only the leading bytes are read, for the signature."""
     if content is None:
         return None, None, "no_content"
     members, xml = [], None
@@ -94,15 +91,11 @@ def _index_one(content, validate: bool = False):
             # ``getmembers()`` first would rewind the gzip stream for every read.
             for pos, m in enumerate(tar):
                 low = m.name.lower()
-                fmt = valid = None
+                fmt = None
                 if m.isfile() and low.endswith(IMAGE_EXTS):
                     f = tar.extractfile(m)
-                    if validate:
-                        data = f.read() if f else b""
-                        fmt, valid = sniff_format(data[:64]), decodable_bytes(data)
-                    else:
-                        fmt = sniff_format(f.read(64) if f else b"")
-                members.append({"pos": pos, "name": m.name, "isfile": m.isfile(), "size": int(m.size), "fmt": fmt, "valid": valid})
+                    fmt = sniff_format(f.read(64) if f else b"")
+                members.append({"pos": pos, "name": m.name, "isfile": m.isfile(), "size": int(m.size), "fmt": fmt})
                 if not xml_seen and low.endswith(XML_EXT):
                     xml_seen = True
                     f = tar.extractfile(m) if m.isfile() else None
@@ -114,14 +107,14 @@ def _index_one(content, validate: bool = False):
     return members, xml, None
 
 
-def _index_batches(content_col: str, out_schema: pa.Schema, validate: bool = False):
+def _index_batches(content_col: str, out_schema: pa.Schema):
     mtype = out_schema.field("members").type
 
     def fn(batches):
         for b in batches:
             ms, xs, es = [], [], []
             for c in b.column(content_col).to_pylist():
-                m, x, e = _index_one(c, validate)
+                m, x, e = _index_one(c)
                 ms.append(m)
                 xs.append(x)
                 es.append(e)
@@ -132,7 +125,7 @@ def _index_batches(content_col: str, out_schema: pa.Schema, validate: bool = Fal
     return fn
 
 
-def unpack_index(packages: DataFrame, content_col: str = "content", validate: bool = False) -> DataFrame:
+def unpack_index(packages: DataFrame, content_col: str = "content") -> DataFrame:
     """Per package the member list, the first XML and an error (``bad_archive``).
 
     Output: the input columns without ``content`` + ``members``, ``xml``, ``error``.
@@ -140,10 +133,10 @@ def unpack_index(packages: DataFrame, content_col: str = "content", validate: bo
     keep = [f for f in packages.schema.fields if f.name != content_col]
     schema = T.StructType(keep + [T.StructField("members", T.ArrayType(MEMBER_T)), T.StructField("xml", T.BinaryType()), T.StructField("error", T.StringType())])
     src = packages.select(*[f.name for f in keep], content_col)
-    return src.mapInArrow(_index_batches(content_col, to_arrow_schema(schema), validate), schema)
+    return src.mapInArrow(_index_batches(content_col, to_arrow_schema(schema)), schema)
 
 
-def _index_parse_batches(content_col: str, out_schema: pa.Schema, validate: bool = False):
+def _index_parse_batches(content_col: str, out_schema: pa.Schema):
     from figpairs.operators.figures import parse_figures_xml
 
     mtype = out_schema.field("members").type
@@ -153,7 +146,7 @@ def _index_parse_batches(content_col: str, out_schema: pa.Schema, validate: bool
         for b in batches:
             ms, hx, fs, pe, es = [], [], [], [], []
             for c in b.column(content_col).to_pylist():
-                m, x, e = _index_one(c, validate)
+                m, x, e = _index_one(c)
                 figs, perr = parse_figures_xml(x) if (e is None and x is not None) else ([], None)
                 ms.append(m)
                 hx.append(x is not None)
@@ -168,11 +161,10 @@ def _index_parse_batches(content_col: str, out_schema: pa.Schema, validate: bool
     return fn
 
 
-def unpack_and_parse(packages: DataFrame, content_col: str = "content", validate: bool = False) -> DataFrame:
+def unpack_and_parse(packages: DataFrame, content_col: str = "content") -> DataFrame:
     """S5 + X4 + X1 in one Python stage: per package the member list, whether it
     has an XML member, the parsed figures of the first one, and the errors.
-    The XML bytes never leave the task.  ``validate`` fills ``members.valid``
-    with the structural image check (otherwise NULL)."""
+    The XML bytes never leave the task."""
     from figpairs.schemas import FIGURE
 
     keep = [f for f in packages.schema.fields if f.name != content_col]
@@ -184,7 +176,7 @@ def unpack_and_parse(packages: DataFrame, content_col: str = "content", validate
         T.StructField("error", T.StringType()),
     ])
     src = packages.select(*[f.name for f in keep], content_col)
-    return src.mapInArrow(_index_parse_batches(content_col, to_arrow_schema(schema), validate), schema)
+    return src.mapInArrow(_index_parse_batches(content_col, to_arrow_schema(schema)), schema)
 
 
 def _members_batches(content_col: str, out_schema: pa.Schema, keep_names: list[str], max_bytes: int = 64 << 20):

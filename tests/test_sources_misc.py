@@ -62,43 +62,6 @@ def test_inline_refs_guard(spark):
         figures.normalise_inline_refs(df, strict=True).collect()
 
 
-def _jpeg(eoi=True):
-    seg = lambda m, body: b"\xff" + bytes([m]) + (len(body) + 2).to_bytes(2, "big") + body
-    out = b"\xff\xd8" + seg(0xE0, b"JFIF\x00\x01\x01\x00\x00\x01\x00\x01\x00\x00")
-    out += seg(0xDB, b"\x00" + bytes(range(1, 65)))
-    out += seg(0xC0, b"\x08\x00\x01\x00\x01\x01\x01\x11\x00")
-    out += seg(0xDA, b"\x01\x01\x00\x00\x3f\x00") + b"\x12\x34"
-    return out + (b"\xff\xd9" if eoi else b"")
-
-
-def test_decodable_bytes_structure():
-    png = model.png_bytes(4, 3)
-    assert images.decodable_bytes(png)
-    assert not images.decodable_bytes(png[:-20])                      # truncated
-    bad_crc = bytearray(png)
-    bad_crc[30] ^= 0xFF
-    assert not images.decodable_bytes(bytes(bad_crc))                 # corrupted chunk
-    assert images.decodable_bytes(_jpeg())
-    assert not images.decodable_bytes(_jpeg(eoi=False))
-    assert not images.decodable_bytes(b"\xff\xd8\xff\xe0jpegdata")
-    assert not images.decodable_bytes(b"junk")
-    assert not images.decodable_bytes(b"")
-
-
-def test_strict_images_in_build(spark, tmpdir_fresh):
-    from figpairs.operators import split as sp
-    from figpairs.plans.pipeline import build_pairs
-    from figpairs.sources import archive
-    from tests.test_pipeline import write_fixture
-
-    pk, cat_path, P, entries = write_fixture(tmpdir_fresh)
-    cat = sp.assign_split(catalogue.read_catalogue(spark, cat_path))
-    loose = {r.pair_id for r in build_pairs(cat, archive.scan_packages(spark, pk)).pairs.collect()}
-    strict = {r.pair_id for r in build_pairs(cat, archive.scan_packages(spark, pk), strict_images=True).pairs.collect()}
-    # the fixture's JPEG and TIFF members are signatures only; its PNGs are real
-    assert strict == {"11_F2", "_F1"} and strict < loose
-
-
 def test_survey_api_entry_points(spark, tmpdir_fresh):
     from figpairs.operators import pairs, report
     from figpairs.operators.fetch import plan_fetch
