@@ -46,14 +46,6 @@ def worker_cache(name: str) -> dict:
     return mod.__dict__.setdefault(name, {})
 
 
-def spread(df: DataFrame, rows_per_part: int = 4096) -> DataFrame:
-    """Deal rows of a narrow input (few files) out to all cores; wide inputs pass unchanged."""
-    spark = df.sparkSession
-    have = df.rdd.getNumPartitions()
-    want = spark.sparkContext.defaultParallelism
-    return df if have >= want else df.repartition(want)
-
-
 class WordTable:
     """Rows of numbers per distinct word, computed once per Python worker.
 

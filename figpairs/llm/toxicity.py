@@ -249,8 +249,8 @@ def scores(model: dict, features: np.ndarray) -> np.ndarray:
 
 def learn(docs: DataFrame, labels: DataFrame, train: Column, sample: int = 3000, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic") -> dict | None:
-    """Fit on at most ``sample`` toxic and 4 * ``sample`` clean labelled rows for which ``train`` holds."""
-    known = (labels.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__y")).where("__id is not null and __y is not null")
+    """Fit on at most ``sample`` toxic and 4 * ``sample`` clean labelled rows for which ``train``, a condition on the id, holds."""
+    known = (labels.where(train).select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__y")).where("__id is not null and __y is not null")
              .groupBy("__id").agg(F.max("__y").alias("__y")))
     texts = docs.where(train).select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text")).where("__text is not null")
     order = [F.md5(F.col("__id").cast("string").cast("binary")), F.col("__id")]

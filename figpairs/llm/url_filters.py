@@ -98,8 +98,9 @@ def url_verdicts(pages: DataFrame, rules: DataFrame, url_col: str = "url", id_co
 
     # One row per range (as many as there are partitions), in key order.
     bounds = dealt.groupBy("range").agg(F.min("key").alias("low"))
-    lows = bounds.agg(F.sort_array(F.collect_list(F.struct("low", "range"))).alias("lows"))
-    placed = _rules(rules).crossJoin(F.broadcast(lows)).select(
+    lows = bounds.agg(F.lit(1).alias("one"), F.sort_array(F.collect_list(F.struct("low", "range"))).alias("lows"))
+    # one row, an entry per range, goes to all rules
+    placed = _rules(rules).withColumn("one", F.lit(1)).join(F.broadcast(lows), "one").select(
         "key", "stack",
         # the last range that begins before the rule; a rule before all of them goes to the first
         F.greatest(F.expr("size(filter(lows, x -> x.low < key))"), F.lit(1)).alias("place"), "lows")
