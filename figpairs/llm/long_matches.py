@@ -8,9 +8,11 @@ also starts earlier: in a document of smaller id, or before in the same one.
    windows have the same smallest hash, so they meet under it.  A first pass
    counts these hashes, in a bitmap of fixed size: a stretch whose hash occurs
    once needs no further look (a clash in the bitmap only costs work).
-2. A second pass writes the other stretches.  Equal stretches are one text with
-   its earliest place; all their later places are removed whole.
-3. The distinct texts, sorted by hash, are indexed in blocks: suffixes are
+2. A second pass hashes the other stretches; of equal ones the earliest place is
+   kept, all their later places are removed whole.  Only hashes and places are
+   shuffled.
+3. A third pass takes the bytes of those earliest places whose hash has several
+   texts, or one that repeats itself.  These texts, sorted by hash, are indexed in blocks: suffixes are
    sorted, the Burrows-Wheeler transform is run-compressed, and at the first
    row of each run its text position is sampled with the length of the match
    with the row before.  Inside a run that length is one less than at the
@@ -20,7 +22,8 @@ also starts earlier: in a document of smaller id, or before in the same one.
 4. A hash with more than ``HOT_BYTES`` of distinct texts does not go to one
    task: its windows are dealt out one by one under their own 128-bit hashes.
 
-A last pass joins each document with its removed places and hashes what is kept.
+A last pass joins each document with its earliest places and its matches, removes
+the matches and all stretches that are no earliest place, and hashes what is kept.
 
 Defined results:
 * null and empty texts have 0 bytes and keep the empty string;
@@ -42,8 +45,9 @@ from pyspark.sql import functions as F
 
 from figpairs.llm.common import stored
 
-SEED = 32
-BITMAP_BITS = 1 << 28
+SEED = 24
+BITMAP_BITS = 1 << 28  # of hashes that occur again
+PLACE_BITS = 1 << 26  # of places whose bytes are wanted
 MAP_BITS = 1 << 15  # of one row of bitmap_construct_agg
 BLOCK_BYTES = 1 << 19
 HOT_BYTES = 4 << 20
@@ -52,11 +56,14 @@ BASE = 0x9E3779B97F4A7C15
 
 
 def seed_hashes(b: np.ndarray) -> np.ndarray:
-    """Hash of the SEED bytes from each position on (SEED is a power of two)."""
+    """Hash of the SEED bytes from each position on; SEED is 24: 16 and 8."""
     h, power, n = b.astype(np.uint64) + np.uint64(1), BASE, 1
-    while n < SEED:
+    half, half_power = h, power
+    while n < 16:
+        half, half_power = h, power
         h = h[:-n] * np.uint64(power) + h[n:]
         power, n = power * power & WORD64, 2 * n
+    h = h[:-8] * np.uint64(half_power) + half[16:]
     h ^= h >> np.uint64(32)
     h *= np.uint64(0xD6E8FEB86659FD93)
     h ^= h >> np.uint64(29)
@@ -112,52 +119,104 @@ def _batches_of(b, column: int, most: int = 1 << 21):
             at, size = k + 1, 0
 
 
-def _bitmap(docs: DataFrame, length: int) -> np.ndarray:
+def _bits(slots: DataFrame, bits: int) -> np.ndarray:
+    """Bitmap of the values of column slot (below ``bits``); bits / 8 bytes come to the driver."""
+    at = F.col("slot") + 1
+    maps = slots.select(F.bitmap_bucket_number(at).alias("bucket"), F.bitmap_bit_position(at).alias("bit")).groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("map"))
+    out = np.zeros(bits // 8, np.uint8)
+    for r in maps.collect():
+        first = (r["bucket"] - 1) * (MAP_BITS // 8)
+        out[first:first + MAP_BITS // 8] = np.frombuffer(r["map"], np.uint8)
+    return out
+
+
+def _is_set(bits: np.ndarray, slot: np.ndarray) -> np.ndarray:
+    return (bits[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
+def _repeated_hashes(docs: DataFrame, length: int) -> np.ndarray:
     """Bits of the hashes that occur more than once in the corpus."""
     def run(batches):
         for b in batches:
-            for _, texts in _batches_of(b, 2):
+            for _, texts in _batches_of(b, 0):
                 _, h, low, _, start, stop = stretches(texts, length)
                 low = np.concatenate([low, low[seen_again(h, low, start, stop)]])
                 yield pa.RecordBatch.from_arrays([pa.array((low % np.uint64(BITMAP_BITS)).astype(np.int64))], ["slot"])
 
-    twice = docs.mapInArrow(run, "slot long").groupBy("slot").agg(F.count("*").alias("n")).where("n > 1")
-    maps = (twice.select(F.bitmap_bucket_number(F.col("slot") + 1).alias("bucket"), F.bitmap_bit_position(F.col("slot") + 1).alias("bit"))
-            .groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("map")))
-    out = np.zeros(BITMAP_BITS // 8, np.uint8)
-    for r in maps.collect():  # BITMAP_BITS / 8 bytes at most
-        at = (r["bucket"] - 1) * (MAP_BITS // 8)
-        out[at:at + MAP_BITS // 8] = np.frombuffer(r["map"], np.uint8)
-    return out
+    slots = docs.select("text").mapInArrow(run, "slot long")
+    return _bits(slots.groupBy("slot").agg(F.count("*").alias("n")).where("n > 1").select("slot"), BITMAP_BITS)
+
 
+def repeated_stretches(texts: list[bytes], length: int, bits: np.ndarray):
+    """As ``stretches``, of those whose hash occurs again, with their starts in their texts."""
+    buf, h, low, doc, start, stop = stretches(texts, length)
+    if len(low):
+        hit = np.flatnonzero(_is_set(bits, low % np.uint64(BITMAP_BITS)))
+        low, doc, start, stop = low[hit], doc[hit], start[hit], stop[hit]
+    begin = start - np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)[doc]
+    return buf, h, low, doc, start, stop, begin
 
-def _repeated(docs: DataFrame, length: int, id_type: str) -> DataFrame:
-    """The stretches whose hash occurs elsewhere too, with their bytes."""
-    shared = docs.sparkSession.sparkContext.broadcast(_bitmap(docs, length))
+
+def _firsts(docs: DataFrame, length: int, shared) -> DataFrame:
+    """The earliest place of each distinct stretch whose hash occurs again: low, same, first (none, id, th, start), size, again."""
+    id_type = docs.schema["id"].dataType.simpleString()
 
     def run(batches):
         import xxhash
 
-        bits, width = shared.value, length - SEED + 1
+        bits = shared.value
+        for b in batches:
+            for at, texts in _batches_of(b, 2):
+                buf, h, low, doc, start, stop, begin = repeated_stretches(texts, length, bits)
+                if not len(low):
+                    continue
+                same = np.array([xxhash.xxh3_64_intdigest(buf[s:e]) for s, e in zip(start.tolist(), stop.tolist())], np.uint64)
+                rows = pa.array(doc + at)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(low.view(np.int64)), pa.array(same.view(np.int64)), b.column(0).take(rows), b.column(1).take(rows), pa.array(begin),
+                     pa.array(stop - start), pa.array(seen_again(h, low, start, stop))], ["low", "same", "id", "th", "start", "size", "again"])
+
+    rows = docs.select("id", "th", "text").mapInArrow(run, f"low long, same long, id {id_type}, th long, start long, size long, again boolean")
+    place = F.struct(F.col("id").isNull().alias("none"), "id", "th", "start")
+    return stored(rows.groupBy("low", "same").agg(F.min(place).alias("first"), F.first("size").alias("size"), F.max("again").alias("again")), "firsts")
+
+
+def _place_slots(doc_hash: np.ndarray, start: np.ndarray) -> np.ndarray:
+    x = (doc_hash.astype(np.uint64) ^ (start.astype(np.uint64) * np.uint64(BASE))) * np.uint64(0xBF58476D1CE4E5B9)
+    return (x ^ (x >> np.uint64(31))) % np.uint64(PLACE_BITS)
+
+
+def _texts(docs: DataFrame, wanted: DataFrame, length: int, shared) -> DataFrame:
+    """The bytes of the wanted first places (and of a few others): low, none, id, th, start, again, bytes.
+
+    The places are known by a bitmap of fixed size; a place that it lets in
+    beside the wanted ones is a further text of its hash and changes nothing.
+    """
+    id_type = docs.schema["id"].dataType.simpleString()
+
+    def slots(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(_place_slots(b.column(0).to_numpy(), b.column(1).to_numpy()).astype(np.int64))], ["slot"])
+
+    places = wanted.select(F.xxhash64("first.id", "first.th").alias("doc_hash"), F.col("first.start").alias("start")).mapInArrow(slots, "slot long")
+    chosen = docs.sparkSession.sparkContext.broadcast(_bits(places, PLACE_BITS))
+
+    def run(batches):
+        bits, places = shared.value, chosen.value
         for b in batches:
-            for first, texts in _batches_of(b, 2):
-                buf, h, low, doc, start, stop = stretches(texts, length)
-                slot = low % np.uint64(BITMAP_BITS)
-                hit = np.flatnonzero(bits[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8) & 1) if len(low) else []
-                if not len(hit):
+            for at, texts in _batches_of(b, 2):
+                buf, h, low, doc, start, stop, begin = repeated_stretches(texts, length, bits)
+                if not len(low):
                     continue
-                low, doc, start, stop = low[hit], doc[hit], start[hit], stop[hit]
-                again = seen_again(h, low, start, stop)
-                own = [buf[s:e] for s, e in zip(start.tolist(), stop.tolist())]
-                origin = np.concatenate([[0], np.cumsum([len(t) for t in texts])])[doc]
-                rows = pa.array(doc + first)
+                hit = np.flatnonzero(_is_set(places, _place_slots(b.column(3).to_numpy()[doc + at], begin)))
+                low, doc, start, stop, begin = low[hit], doc[hit], start[hit], stop[hit], begin[hit]
+                rows = pa.array(doc + at)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(low.view(np.int64)), pa.array(np.array([xxhash.xxh3_64_intdigest(c) for c in own], np.uint64).view(np.int64)),
-                     b.column(0).take(rows), b.column(1).take(rows), pa.array((start - origin).astype(np.int64)), pa.array((stop - start).astype(np.int64)),
-                     pa.array(again), pa.array(own, pa.binary())],
-                    ["low", "same", "id", "th", "start", "size", "again", "bytes"])
+                    [pa.array(low.view(np.int64)), b.column(0).take(rows), b.column(1).take(rows), pa.array(begin), pa.array(seen_again(h, low, start, stop)),
+                     pa.array([buf[s:e] for s, e in zip(start.tolist(), stop.tolist())], pa.binary())], ["low", "id", "th", "start", "again", "bytes"])
 
-    return docs.mapInArrow(run, f"low long, same long, id {id_type}, th long, start long, size long, again boolean, bytes binary")
+    d = docs.select("id", "th", "text", F.xxhash64("id", "th").alias("doc_hash"))
+    return d.mapInArrow(run, f"low long, id {id_type}, th long, start long, again boolean, bytes binary").withColumn("none", F.col("id").isNull())
 
 
 class RunLengthIndex:
@@ -320,49 +379,60 @@ def _hot_spans(texts: DataFrame, length: int, id_type: str) -> DataFrame:
     return late.select("id", "th", F.col("start").alias("begin"), (F.col("start") + length).alias("end"))
 
 
-def removed_spans(docs: DataFrame, length: int = 100) -> DataFrame:
-    """(id, th, begin, end) of removed bytes, overlapping; ``docs`` has id, th and text."""
-    id_type = docs.schema["id"].dataType.simpleString()
-    rows = _repeated(docs, length, id_type).withColumn("none", F.col("id").isNull())
-    rows = stored(rows, "stretches")
-    place = F.struct("none", "id", "th", "start")
-    distinct = stored(rows.groupBy("low", "same").agg(F.min(place).alias("first"), F.first("bytes").alias("bytes"), F.max("again").alias("again")),
-                      "stretch-texts")
-    copies = (rows.select("low", "same", "none", "id", "th", "start", "size").join(distinct.select("low", "same", "first"), ["low", "same"])
-              .where(~place.eqNullSafe(F.col("first"))).select("id", "th", F.col("start").alias("begin"), (F.col("start") + F.col("size")).alias("end")))
-    texts = distinct.select("low", "first.*", "again", "bytes")
-    hot = texts.groupBy("low").agg(F.sum(F.length("bytes")).alias("size")).where(F.col("size") > HOT_BYTES).select("low")
-    cold = texts.join(hot, "low", "left_anti")
-    return copies.unionByName(_indexed_spans(cold, length, id_type)).unionByName(_hot_spans(texts.join(hot, "low", "left_semi"), length, id_type))
-
-
 def remove_long_matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100) -> DataFrame:
     """Per row: id, n_bytes, n_removed, n_spans, kept_sha256, spans (removed byte ranges) and kept (the bytes left)."""
     if length < SEED + 1:
         raise ValueError(f"length must be over {SEED} bytes")
     d = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("th"), F.col(text_col).cast("string").alias("text"))
     id_type = d.schema["id"].dataType.simpleString()
-    spans = removed_spans(d, length)
-    mine = spans.groupBy("id", "th").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))  # at most a document's windows
-    joined = d.alias("d").join(mine.alias("s"), F.col("d.id").eqNullSafe(F.col("s.id")) & (F.col("d.th") == F.col("s.th")), "left").select(
+    shared = docs.sparkSession.sparkContext.broadcast(_repeated_hashes(d, length))
+    firsts = _firsts(d, length, shared)
+    # texts whose windows may equal others: hashes with several of them, or one that repeats itself
+    several = (firsts.groupBy("low").agg(F.count("*").alias("n"), F.sum("size").alias("size"), F.max("again").alias("again"))
+               .where("n > 1 or again").select("low", (F.col("size") > HOT_BYTES).alias("hot")))
+    texts = _texts(d, firsts.join(several, "low", "left_semi"), length, shared)
+    hot = several.where("hot")
+    spans = _indexed_spans(texts.join(hot, "low", "left_anti"), length, id_type).unionByName(
+        _hot_spans(texts.join(hot, "low", "left_semi"), length, id_type))
+    # per document, at most as many rows as it has windows; a span of a first place has no end
+    known = (spans.unionByName(firsts.select("first.id", "first.th", F.col("first.start").alias("begin"), F.lit(None).cast("long").alias("end")))
+             .groupBy("id", "th").agg(F.collect_list(F.struct("begin", "end")).alias("spans")))
+    joined = d.alias("d").join(known.alias("s"), F.col("d.id").eqNullSafe(F.col("s.id")) & (F.col("d.th") == F.col("s.th")), "left").select(
         "d.id", "d.text", "s.spans")
 
+    def all_spans(texts, found):
+        """(begin, end) per text: those found, and the repeated stretches that are no first place."""
+        out, first = [], []
+        for f in found:
+            own, starts = [], set()
+            if f.is_valid:
+                flat = f.values.flatten()
+                for s, e in zip(flat[0].to_pylist(), flat[1].to_pylist()):
+                    if e is None:
+                        starts.add(s)
+                    else:
+                        own.append((s, e))
+            out.append(own)
+            first.append(starts)
+        _, _, _, doc, start, stop, begin = repeated_stretches(texts, length, shared.value)
+        for k, s, n in zip(doc.tolist(), begin.tolist(), (stop - start).tolist()):
+            if s not in first[k]:
+                out[k].append((s, s + n))
+        return out
+
     def run(batches):
         kinds = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
         for b in batches:
-            ids, texts, found = b.column(0), b.column(1), b.column(2)
-            for at in range(0, b.num_rows, 256):
+            ids, found = b.column(0), b.column(2)
+            for at, part in _batches_of(b, 1):
                 out = []
-                for t, f in zip(texts.slice(at, 256).to_pylist(), found.slice(at, 256)):
-                    data = (t or "").encode()
+                for data, own in zip(part, all_spans(part, found.slice(at, len(part)))):
                     merged: list[list[int]] = []
-                    if f.is_valid:
-                        flat = f.values.flatten()
-                        for s, e in sorted(zip(flat[0].to_pylist(), flat[1].to_pylist())):
-                            if merged and s <= merged[-1][1]:
-                                merged[-1][1] = max(merged[-1][1], e)
-                            else:
-                                merged.append([s, e])
+                    for s, e in sorted(own):
+                        if merged and s <= merged[-1][1]:
+                            merged[-1][1] = max(merged[-1][1], e)
+                        else:
+                            merged.append([s, e])
                     kept, last = [], 0
                     for s, e in merged:
                         kept.append(data[last:s])
@@ -373,7 +443,7 @@ def remove_long_matches(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                                 [{"begin": s, "end": e} for s, e in merged], left))
                 c = list(zip(*out))
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(at, 256), *(pa.array(c[k], pa.int64()) for k in range(3)), pa.array(c[3]), pa.array(c[4], kinds), pa.array(c[5], pa.binary())],
+                    [ids.slice(at, len(part)), *(pa.array(c[k], pa.int64()) for k in range(3)), pa.array(c[3]), pa.array(c[4], kinds), pa.array(c[5], pa.binary())],
                     ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept"])
 
     out = joined.mapInArrow(run, f"id {id_type}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<begin:long,end:long>>, kept binary")
