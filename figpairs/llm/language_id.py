@@ -52,7 +52,8 @@ FAR = -1e4  # for a language that does not use a word's script
 
 
 def letters_of(word: bytes) -> str:
-    return "".join(c for c in word.decode().lower() if c.isalpha())
+    w = word.decode().lower()
+    return w if w.isalpha() else "".join(filter(str.isalpha, w))
 
 
 def features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
