@@ -58,7 +58,8 @@ SINGLE = -1e9  # score of a one-character word: it counts only as part of a run
 
 
 def plain(word: bytes) -> str:
-    return "".join(c for c in word.decode().lower() if c.isalnum())
+    w = word.decode().lower()
+    return w if w.isalnum() else "".join(filter(str.isalnum, w))
 
 
 def triples(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -83,15 +84,18 @@ def triples(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
     """[words, landmarks]"""
-    table = np.zeros((SLOTS, len(landmarks)), np.float32)
     s, w, k = triples(landmarks)
-    np.add.at(table, (s, k), w)
+    held = np.unique(s)  # the landmarks' slots; the last row stands for all others
+    table = np.zeros((len(held) + 1, len(landmarks)), np.float32)
+    np.add.at(table, (np.searchsorted(held, s), k), w)
     out = np.zeros((len(words), len(landmarks)))
-    for at in range(0, len(words), 2000):
-        part = words[at:at + 2000]
+    for at in range(0, len(words), 250):
+        part = words[at:at + 250]
         s, w, k = triples(part)
+        row = np.searchsorted(held, s)
+        row[held[np.minimum(row, len(held) - 1)] != s] = len(held)
         order = np.argsort(k, kind="stable")
-        out[at:at + len(part)] = np.add.reduceat(table[s[order]] * w[order][:, None], np.searchsorted(k[order], np.arange(len(part))), axis=0)
+        out[at:at + len(part)] = np.add.reduceat(table[row[order]] * w[order][:, None], np.searchsorted(k[order], np.arange(len(part))), axis=0)
     return out
 
 
@@ -133,7 +137,7 @@ def logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return a
 
 
-def fit(texts: list[bytes], toxic: np.ndarray, landmarks: int = 256, clean_words: int = 4000, mining: int = 3) -> dict | None:
+def fit(texts: list[bytes], toxic: np.ndarray, landmarks: int = 192, clean_words: int = 3000, mining: int = 3) -> dict | None:
     """The model from labelled texts; None if a class is missing."""
     n_pos, n_neg = int(toxic.sum()), int((~toxic).sum())
     if not n_pos or not n_neg:
@@ -141,14 +145,21 @@ def fit(texts: list[bytes], toxic: np.ndarray, landmarks: int = 256, clean_words
     in_pos: dict[str, int] = {}
     in_neg: dict[str, int] = {}
     sizes = [0, 0]
-    met: dict[bytes, bool] = {}  # distinct sentences, so that copied documents count once
+    met: dict[int, bool] = {}  # by hash, distinct sentences and whether all their documents are toxic: copied documents count once
     for text, bad in zip(texts, toxic):
         for part in SENTENCE.split(text):
-            met[part] = met.get(part, True) and bool(bad)
-    sentences = []  # (words, are all its documents toxic)
-    for part, bad in met.items():
-        words = {p for w in part.split() if len(p := plain(w)) > 1}
-        sentences.append((words, bad))
+            met[hash(part)] = met.get(hash(part), True) and bool(bad)
+
+    def distinct_sentences():
+        """(words, toxic) of each distinct sentence."""
+        left = set(met)
+        for text in texts:
+            for part in SENTENCE.split(text):
+                if hash(part) in left:
+                    left.remove(hash(part))
+                    yield {p for w in part.split() if len(p := plain(w)) > 1}, met[hash(part)]
+
+    for words, bad in distinct_sentences():
         tally = in_pos if bad else in_neg
         sizes[int(bad)] += len(words)
         for w in words:
@@ -160,7 +171,7 @@ def fit(texts: list[bytes], toxic: np.ndarray, landmarks: int = 256, clean_words
     if not telling:
         return None
     witness: dict[str, int] = {}
-    for words, bad in sentences:
+    for words, bad in distinct_sentences():
         if bad:
             for w in words & telling:
                 witness[w] = witness.get(w, 0) + 1
@@ -187,7 +198,7 @@ def fit(texts: list[bytes], toxic: np.ndarray, landmarks: int = 256, clean_words
         np.add.at(table, s, t * (to_space @ w[:-1])[owner])
         model.update(table=table.astype(np.float32), bias=float(w[-1]))
         # clean words that the machine takes for toxic become its next negatives, first in the list
-        wrong = np.concatenate([plain_scores(model, clean[at:at + 20_000]) for at in range(0, len(clean), 20_000)] or [np.zeros(0)])
+        wrong = np.concatenate([plain_scores(model, clean[at:at + 4_000]) for at in range(0, len(clean), 4_000)] or [np.zeros(0)])
         listed = set(negatives)
         hard = [clean[j] for j in np.argsort(-wrong, kind="stable")[:clean_words] if wrong[j] > -0.7 and clean[j] not in listed]
         if not hard:
@@ -205,8 +216,8 @@ def plain_scores(model: dict, words: list[str]) -> np.ndarray:
 def word_scores(model: dict, words: list[bytes]) -> np.ndarray:
     out = np.full((len(words), 1), model["bias"], np.float32)
     p = [plain(w) for w in words]
-    for at in range(0, len(words), 20_000):
-        part = p[at:at + 20_000]
+    for at in range(0, len(words), 4_000):
+        part = p[at:at + 4_000]
         out[at:at + len(part), 0] = np.where([len(x) == 1 for x in part], SINGLE, np.where([len(x) == 0 for x in part], SINGLE / 2, plain_scores(model, part)))
     return out
 
@@ -247,9 +258,9 @@ def scores(model: dict, features: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(features @ model["logistic"], -30, 30)))
 
 
-def learn(docs: DataFrame, labels: DataFrame, train: Column, sample: int = 3000, id_col: str = "doc_id", text_col: str = "text",
+def learn(docs: DataFrame, labels: DataFrame, train: Column, sample: int = 2000, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic") -> dict | None:
-    """Fit on at most ``sample`` toxic and 4 * ``sample`` clean labelled rows for which ``train``, a condition on the id, holds."""
+    """Fit on at most ``sample`` toxic and 3 * ``sample`` clean labelled rows for which ``train``, a condition on the id, holds."""
     known = (labels.where(train).select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__y")).where("__id is not null and __y is not null")
              .groupBy("__id").agg(F.max("__y").alias("__y")))
     texts = docs.where(train).select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text")).where("__text is not null")
@@ -258,8 +269,8 @@ def learn(docs: DataFrame, labels: DataFrame, train: Column, sample: int = 3000,
     def drawn(y: int, n: int) -> DataFrame:
         return known.where(F.col("__y") == y).orderBy(*order).limit(n)
 
-    picked = drawn(1, sample).unionByName(drawn(0, 4 * sample))
-    rows = texts.join(F.broadcast(picked), "__id").select("__id", "__text", "__y").toPandas()  # at most 5 * sample ids
+    picked = drawn(1, sample).unionByName(drawn(0, 3 * sample))
+    rows = texts.join(F.broadcast(picked), "__id").select("__id", "__text", "__y").toPandas()  # at most 4 * sample ids
     rows = rows.sort_values(["__id", "__text"]).drop_duplicates()
     return fit([t.encode() for t in rows["__text"]], rows["__y"].to_numpy().astype(int) == 1)
 
