@@ -56,7 +56,7 @@ STAGES = [
 ]
 
 # Near-duplicate components, latent retrieval and the tokenizer are beyond SQL;
-# tests/llm/test_pipeline.py compares the stages with brute force.
+# tests/llm/test_registered.py compares the stages with brute force.
 ORACLE_SQL = None
 
 

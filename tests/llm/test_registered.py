@@ -99,6 +99,21 @@ def test_pipeline_stages(spark, con, texts, tmp_path):
     assert [tuple(r) for r in again] == [tuple(r) for r in rows]
 
 
+def test_pipeline_mixing_against_the_oracle(spark, tmp_path):
+    """The mixing stage's copies are those of op10's oracle over the stage's own input."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        if name == "mixing":
+            break
+        stage(spark, docs, SF).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+    own = duckdb.connect()
+    own.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/decontamination/*.parquet')")
+    want = {i: n for i, n in own.execute(f"SELECT doc_id, copies FROM ({ORACLE['op10_mixing']})").fetchall() if n}
+    got = {r.doc_id: r["count"] for r in stage(spark, docs, SF).groupBy("doc_id").count().collect()}
+    assert got == want and 2 in want.values()
+
+
 def test_entry_without_this_package(tmp_path):
     """As after deleting the package and the pipeline: the rest still imports."""
     code = ("import sys, json; sys.modules['corpus_pipeline'] = None; sys.modules['figpairs.llm'] = None\n"
