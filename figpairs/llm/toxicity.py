@@ -137,7 +137,7 @@ def logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return a
 
 
-def fit(texts: list[bytes], toxic: np.ndarray, landmarks: int = 192, clean_words: int = 3000, mining: int = 3) -> dict | None:
+def fit(texts: list[bytes], toxic: np.ndarray, landmarks: int = 256, clean_words: int = 4000, mining: int = 3) -> dict | None:
     """The model from labelled texts; None if a class is missing."""
     n_pos, n_neg = int(toxic.sum()), int((~toxic).sum())
     if not n_pos or not n_neg:
@@ -255,12 +255,13 @@ def document_features(model: dict, texts: list[bytes], table: WordTable | None =
 
 
 def scores(model: dict, features: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(features @ model["logistic"], -30, 30)))
+    # summed row by row: a matrix product may round equal rows differently by their place
+    return 1 / (1 + np.exp(-np.clip((features * model["logistic"]).sum(1), -30, 30)))
 
 
-def learn(docs: DataFrame, labels: DataFrame, train: Column, sample: int = 2000, id_col: str = "doc_id", text_col: str = "text",
+def learn(docs: DataFrame, labels: DataFrame, train: Column, sample: int = 3000, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic") -> dict | None:
-    """Fit on at most ``sample`` toxic and 3 * ``sample`` clean labelled rows for which ``train``, a condition on the id, holds."""
+    """Fit on at most ``sample`` toxic and 4 * ``sample`` clean labelled rows for which ``train``, a condition on the id, holds."""
     known = (labels.where(train).select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__y")).where("__id is not null and __y is not null")
              .groupBy("__id").agg(F.max("__y").alias("__y")))
     texts = docs.where(train).select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text")).where("__text is not null")
@@ -269,8 +270,8 @@ def learn(docs: DataFrame, labels: DataFrame, train: Column, sample: int = 2000,
     def drawn(y: int, n: int) -> DataFrame:
         return known.where(F.col("__y") == y).orderBy(*order).limit(n)
 
-    picked = drawn(1, sample).unionByName(drawn(0, 3 * sample))
-    rows = texts.join(F.broadcast(picked), "__id").select("__id", "__text", "__y").toPandas()  # at most 4 * sample ids
+    picked = drawn(1, sample).unionByName(drawn(0, 4 * sample))
+    rows = texts.join(F.broadcast(picked), "__id").select("__id", "__text", "__y").toPandas()  # at most 5 * sample ids
     rows = rows.sort_values(["__id", "__text"]).drop_duplicates()
     return fit([t.encode() for t in rows["__text"]], rows["__y"].to_numpy().astype(int) == 1)
 

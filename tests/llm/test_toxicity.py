@@ -98,3 +98,14 @@ def test_edge_rows(spark, docs, no_docs, model):
         m = learn(d, labels, F.lit(True))
         assert m is None
         assert {r.score for r in toxicity(d, m).collect()} <= {0.0}
+
+
+def test_the_fit_sees_up_to_3000_toxic_and_12000_clean_rows(spark, monkeypatch):
+    """Smaller fits lose precision on held-out rows, as the README's figures show."""
+    import figpairs.llm.toxicity as tx
+
+    seen = []
+    monkeypatch.setattr(tx, "fit", lambda texts, toxic: seen.append((int(toxic.sum()), int((~toxic).sum()))))
+    rows = spark.range(17_000).selectExpr("id AS doc_id", "concat('text ', id) AS text", "int(id < 4000) AS toxic")
+    tx.learn(rows.select("doc_id", "text"), rows.select("doc_id", "toxic"), F.col("doc_id") >= 0)
+    assert seen == [(3000, 12_000)]
