@@ -123,9 +123,16 @@ def match_images(figs: DataFrame, members: DataFrame, keys=("article_id",), fig_
     names = F.transform("_images", lambda x: x["k"])
     exact = F.get(F.filter(candidates(base, st), lambda c: F.array_contains(names, c)), 0)
     loose = F.lit(None).cast("string") if strict else F.get(F.filter(names, lambda k: k.contains(st)), 0)
-    out = figs.join(m, keys, "left" if how == "left" else "inner")
-    out = out.withColumn("_exact", exact).withColumn("member_key", F.coalesce("_exact", loose))
-    out = out.withColumn("member_pos", F.array_max(F.transform(F.filter("_images", lambda x: x["k"] == F.col("member_key")), lambda x: x["pos"])))
-    kind = F.when(F.col("member_key").isNotNull(), F.when(F.col("_exact").isNotNull(), "exact").otherwise("loose"))
-    out = out.withColumn("match_kind", kind).select(*figs.columns, "member_key", "member_pos", "match_kind")
+
+    def resolved(hit: Column) -> Column:
+        key = F.coalesce(hit["exact"], hit["loose"])
+        # The key resolves to its last member.
+        pos = F.array_max(F.transform(F.filter("_images", lambda x: x["k"] == key), lambda x: x["pos"]))
+        kind = F.when(hit["exact"].isNotNull(), "exact").when(hit["loose"].isNotNull(), "loose")
+        return F.struct(key.alias("member_key"), pos.alias("member_pos"), kind.alias("match_kind"))
+
+    # The result passes through a generator: a condition on it over both sides'
+    # columns stays above the join (pushed below, it would not resolve there).
+    hits = F.transform(F.array(F.struct(exact.alias("exact"), loose.alias("loose"))), resolved)
+    out = figs.join(m, keys, "left" if how == "left" else "inner").select(*figs.columns, F.inline(hits))
     return out if how == "left" else out.filter(F.col("member_pos").isNotNull())

@@ -33,9 +33,6 @@ def test_python_stages_from_foreign_cwd():
 
 def test_uses_the_sessions_checkpoint_dir():
     ck = tempfile.mkdtemp(prefix="figpairs-shared-ckpt-")
-    lines = os.path.join(tempfile.mkdtemp(), "list.txt")
-    with open(lines, "w") as f:
-        f.write("x\n" * 200)
     script = f"""
 import os, sys
 sys.path.insert(0, {REPO!r})
@@ -43,7 +40,7 @@ from pyspark.sql import SparkSession
 spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
          .config("spark.checkpoint.dir", {ck!r}).getOrCreate())
 import __spark_entry__ as E
-n = E.queries()["line_numbers"](spark, "/root/testdata/sf0.001").count()
+n = E.queries()["catalogue_file_scan"](spark, "/root/testdata/sf0.001").count()
 used = spark.sparkContext.getCheckpointDir() or ""
 files = sum(len(f) for _, _, f in os.walk({ck!r}))
 print("RESULT", n, used.startswith("file:" + {ck!r}) or used.startswith({ck!r}), files > 0)
@@ -52,4 +49,5 @@ spark.stop()
     out = subprocess.run([sys.executable, "-c", script], cwd=tempfile.mkdtemp(), capture_output=True, text=True, timeout=600)
     line = [x for x in out.stdout.splitlines() if x.startswith("RESULT")]
     assert line, out.stderr[-2000:]
-    assert line[0].split()[1:] == ["200", "True", "True"]
+    n, in_session_dir, written = line[0].split()[1:]
+    assert int(n) > 0 and in_session_dir == written == "True"

@@ -90,3 +90,20 @@ def test_hot_keys_are_combined_before_the_shuffle(spark):
                                 F.col("id").cast("int").alias("pos"), F.format_string("a/img%d.jpg", F.col("id") % 7).alias("name"))
     plan = match.image_map(mem)._jdf.queryExecution().executedPlan().toString()
     assert "partial_min" in plan and "partial_max" in plan
+
+
+def test_no_plan_has_an_unresolved_filter(spark):
+    """Conditions of nested lambdas are not pushed below the join, whatever expression ids the session handed out before."""
+    from figpairs.plans.queries import q_build_pairs, q_match_all
+
+    sf = "/root/testdata/sf0.001"
+    figs = spark.createDataFrame([(1, 0, "a")], "article_id long, fig_pos long, graphic_ref string")
+    mems = spark.createDataFrame([(1, 0, "a.jpg")], "article_id long, pos int, name string")
+    other = spark.createDataFrame([(1, "x")], "article_id long, note string")
+    for k in range(100):
+        for how in ("inner", "left"):
+            out = match.match_images(figs, mems, strict=k % 2 == 1, how=how).join(other, "article_id").filter("member_key is not null and member_pos + 1 > 0")
+            assert "!" not in out._jdf.queryExecution().optimizedPlan().toString()
+    for q in (q_match_all, q_build_pairs):
+        for _ in range(2):
+            assert "!Filter" not in q(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
