@@ -90,6 +90,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select("doc_id", "size", "source_size", "target", "taken", F.col("copies").cast("long").alias("copies"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from figpairs.llm.prefix_trie import rebuilt_prefixes
+
+    return rebuilt_prefixes(table(spark, sf_dir, "conversations")).drop("enter", "exit")
+
+
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_lm_scoring": op2_lm_scoring,
@@ -101,6 +107,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_language_id": op9_language_id,
     "op10_mixing": op10_mixing,
+    "op11_prefix_trie": op11_prefix_trie,
 }
 
 _W = r"[^\x20\x09-\x0D]+"
@@ -166,4 +173,31 @@ WITH RECURSIVE d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text
 SELECT doc_id, size, source_size, target::DOUBLE AS target, (copies * size)::BIGINT AS taken, copies::BIGINT AS copies FROM k
 """ % {"w": _W}
 
-ORACLE = {"op3_url_filters": _OP3, "op8_quality_rules": _OP8, "op10_mixing": _OP10}
+_OP11 = r"""
+WITH crcs AS (SELECT list(v ORDER BY n) AS t FROM (
+       SELECT n, list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v FROM range(256) AS r(n))),
+     turns AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS i,
+                      md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS turn,
+                      len(regexp_extract_all(coalesce(text, ''), '%(w)s')) AS words
+               FROM conversations WHERE conv_id IS NOT NULL),
+     convs AS (SELECT c, c - c %% 20 AS base,
+                      xor(list_reduce(list_prepend(4294967295, list_transform(string_split(c::VARCHAR, ''), lambda x: ord(x)::BIGINT)),
+                                      lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) %% 4 AS h
+               FROM (SELECT DISTINCT c FROM turns), crcs),
+     seq AS (SELECT v.c, 0 AS kind, t.i, turn, words FROM convs v JOIN turns t ON t.c = v.base AND t.i < v.h
+             UNION ALL SELECT v.c, 1, t.i, turn, words FROM convs v JOIN turns t ON t.c = v.c AND t.i >= v.h),
+     lists AS (SELECT v.c, coalesce(list(turn ORDER BY kind, i) FILTER (turn IS NOT NULL), []) AS ts,
+                      coalesce(list(words ORDER BY kind, i) FILTER (turn IS NOT NULL), []) AS ws FROM convs v LEFT JOIN seq USING (c) GROUP BY v.c),
+     rows AS (SELECT c, d, d = len(ts) AS last, md5(array_to_string(ts[1:d], ',')) AS k, CASE WHEN d > 0 THEN md5(array_to_string(ts[1:d - 1], ',')) END AS up,
+                     CASE WHEN d > 0 THEN ws[d] ELSE 0 END AS words
+              FROM (SELECT *, unnest(range(len(ts) + 1)) AS d FROM lists)),
+     nodes AS (SELECT k, any_value(up) AS up, any_value(d) AS depth, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(words) AS saved,
+                      sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (last), '')) AS ends_sha256 FROM rows GROUP BY k),
+     children AS (SELECT up AS k, count(*) AS n FROM nodes WHERE up IS NOT NULL GROUP BY up),
+     n AS (SELECT nodes.*, coalesce(children.n, 0) AS n_children FROM nodes LEFT JOIN children USING (k)),
+     sums AS (SELECT r.k, count(*) FILTER (n.n_children = 0) AS n_leaves, sum(saved) AS saved_tokens FROM n JOIN rows r ON r.c = n.conv_id AND r.d <= n.depth GROUP BY r.k)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, sums.n_leaves, sums.saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM n JOIN sums USING (k) LEFT JOIN nodes p ON p.k = n.up
+""" % {"w": _W}
+
+ORACLE = {"op11_prefix_trie": _OP11, "op3_url_filters": _OP3, "op8_quality_rules": _OP8, "op10_mixing": _OP10}

@@ -47,7 +47,7 @@ def test_oracles(spark, con, name):
 def test_all_queries_are_registered():
     got = E.queries()
     assert set(QUERIES) | {"pipeline"} <= set(got)
-    assert {int(k[2:].split("_")[0]) for k in QUERIES} == set(range(1, 11))
+    assert {int(k[2:].split("_")[0]) for k in QUERIES} == set(range(1, 14))
 
 
 def test_near_duplicates(spark, texts):
