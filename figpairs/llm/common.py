@@ -46,6 +46,24 @@ def worker_cache(name: str) -> dict:
     return mod.__dict__.setdefault(name, {})
 
 
+def by_bytes(batches, column: int, most: int, rows: int = 4096):
+    """Arrow batches cut so that ``column`` (texts) holds at most ``most`` bytes each, or one longer text."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    for b in batches:
+        if not b.num_rows:
+            continue
+        size = pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        ends = np.cumsum(size)
+        at = 0
+        while at < b.num_rows:
+            done = int(ends[at - 1]) if at else 0
+            end = min(max(int(np.searchsorted(ends, done + most, side="right")), at + 1), at + rows)
+            yield b.slice(at, end - at)
+            at = min(end, b.num_rows)
+
+
 class WordTable:
     """Rows of numbers per distinct word, computed once per Python worker.
 

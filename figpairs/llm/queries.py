@@ -96,6 +96,12 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rebuilt_prefixes(table(spark, sf_dir, "conversations")).drop("enter", "exit")
 
 
+def op13_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from figpairs.llm.word_runs import disturbed, word_runs
+
+    return word_runs(table(spark, sf_dir, "documents"), rewrite=disturbed).drop("runs")
+
+
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_lm_scoring": op2_lm_scoring,
@@ -108,6 +114,7 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op10_mixing": op10_mixing,
     "op11_prefix_trie": op11_prefix_trie,
+    "op13_word_runs": op13_word_runs,
 }
 
 _W = r"[^\x20\x09-\x0D]+"
