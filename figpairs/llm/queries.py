@@ -96,6 +96,15 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rebuilt_prefixes(table(spark, sf_dir, "conversations")).drop("enter", "exit")
 
 
+def op12_preference_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from figpairs.llm.preference import learn, preference_scores
+
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = crc_mod(F.col("doc_id"), 5) == 0
+    model = learn(docs, labels, ~held_out)
+    return preference_scores(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op13_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     from figpairs.llm.word_runs import disturbed, word_runs
 
@@ -114,6 +123,7 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op10_mixing": op10_mixing,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_preference_quality": op12_preference_quality,
     "op13_word_runs": op13_word_runs,
 }
 
