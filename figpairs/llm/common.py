@@ -41,9 +41,52 @@ def ascii_lower(c: Column) -> Column:
 
 
 def worker_cache(name: str) -> dict:
-    """A dict that lives as long as the Python worker, over all its tasks."""
+    """A dict that lives as long as the Python worker, over all tasks of one operator.
+
+    Workers outlive a stage; another operator's cache goes as soon as this one
+    asks for its own, so a worker never holds more than one.
+    """
     mod = sys.modules.setdefault("_figpairs_llm_cache", types.ModuleType("_figpairs_llm_cache"))
-    return mod.__dict__.setdefault(name, {})
+    held = mod.__dict__.setdefault("held", {})
+    if held.get("name") != name:
+        held.clear()
+        held.update(name=name, cache={})
+    return held["cache"]
+
+
+def free_name(name: str, taken) -> str:
+    """``name`` or, if a column has it, one that no column has."""
+    while name.lower() in {c.lower() for c in taken}:
+        name += "_"
+    return name
+
+
+def without_ids(docs: DataFrame, id_col: str, gone: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id is not in ``gone`` (one column; a null id counts as an id); all columns as they are."""
+    name = free_name("__gone", docs.columns)
+    gone = gone.toDF(name).distinct()
+    return docs.join(gone, docs[f"`{id_col}`"].eqNullSafe(gone[name]), "left_anti")
+
+
+class Bitmap:
+    """Bits of fixed number over 64-bit hashes: which slots a column of hashes falls into."""
+
+    def __init__(self, hashes: DataFrame, bits: int = 1 << 27):
+        import numpy as np
+
+        self.bits = bits
+        slot = F.pmod(F.col(hashes.columns[0]), F.lit(bits))
+        maps = hashes.select(F.bitmap_bucket_number(slot + 1).alias("bucket"), F.bitmap_bit_position(slot + 1).alias("bit")).groupBy("bucket").agg(
+            F.bitmap_construct_agg("bit").alias("map"))
+        self.bytes = np.zeros(bits // 8, np.uint8)
+        for r in maps.toLocalIterator():  # at most bits / 32768 maps of 4 KB
+            at = (r["bucket"] - 1) * 4096
+            self.bytes[at:at + 4096] = np.frombuffer(r["map"], np.uint8)
+
+    def has(self, hashes):
+        """Whether each of an array of hashes may be among them (never False for one that is)."""
+        slot = hashes % self.bits
+        return (self.bytes[slot >> 3] >> (slot & 7).astype("uint8") & 1).astype(bool)
 
 
 def by_bytes(batches, column: int, most: int, rows: int = 4096):

@@ -30,9 +30,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from figpairs.llm.common import WordTable, worker_cache
+from figpairs.llm.common import WordTable, by_bytes, worker_cache
 
 SLOTS = 1 << 17
+BATCH_BYTES = 2 << 20
 # First code points of ranges, each with the script that letters
 # from there on (to the next range) belong to.
 SCRIPTS = [
@@ -146,7 +147,8 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, penalty: float) -> np.ndarr
     start, length = starts[order], lengths[order]
     n_steps = int(length[0]) if len(length) else 0
     live = np.searchsorted(-length, -np.arange(n_steps), side="left")  # documents longer than t
-    came, v, last = [], None, np.zeros(len(length), np.int8)
+    kind = np.min_scalar_type(-max(scores.shape[1], 1))  # holds -1 and every language's number
+    came, v, last = [], None, np.zeros(len(length), kind)
     rows = np.arange(len(length))
     for t in range(n_steps):
         k = live[t]
@@ -160,11 +162,11 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, penalty: float) -> np.ndarr
         best = v.argmax(1)
         jump = v[rows[:k], best] - penalty
         stay = v >= jump[:, None]
-        came.append(np.where(stay, -1, best[:, None]).astype(np.int8))
+        came.append(np.where(stay, -1, best[:, None]).astype(kind))
         v = np.maximum(v, jump[:, None]) + s
     if n_steps:
         last[:len(v)] = v.argmax(1)
-    label = np.zeros(len(scores), np.int8)
+    label = np.zeros(len(scores), kind)
     now = last.astype(np.int64)
     for t in range(n_steps - 1, -1, -1):
         k = live[t]
@@ -192,9 +194,8 @@ def language_spans(docs: DataFrame, model: dict, id_col: str = "doc_id", text_co
             held.update(key=key, words=WordTable(lambda ws: word_scores(m, ws), n_lang + 1))
         words = held["words"]
         kinds = pa.list_(pa.struct([("first", pa.int64()), ("words", pa.int64()), ("lang", pa.string())]))
-        for b in batches:
-            for at in range(0, b.num_rows, 1024):
-                part = b.slice(at, min(1024, b.num_rows - at))
+        for part in by_bytes(batches, 1, BATCH_BYTES, 1024):
+            if part.num_rows:
                 texts = [(t or "").encode().split() for t in part.column(1).to_pylist()]
                 index = words.lookup(texts) if n_lang else [np.zeros(0, np.int64) for _ in texts]
                 rows = words.rows[np.concatenate(index)] if index else np.zeros((0, n_lang + 1), np.float32)

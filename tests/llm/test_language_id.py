@@ -57,6 +57,14 @@ def test_viterbi_finds_the_best_path():
             assert abs(value - brute_viterbi(own, 1.5)) < 1e-4
 
 
+def test_more_languages_than_a_byte_holds():
+    rng = np.random.default_rng(0)
+    for n in (127, 128, 129, 300, 40_000):
+        scores = rng.normal(size=(6, n)).astype(np.float32)
+        scores[:, n - 1] += 50
+        assert viterbi(scores, np.array([4, 2]), 3.0).tolist() == [n - 1] * 6
+
+
 def test_held_out_rows_are_not_learned_from(spark):
     rows = corpus(80)
     held_out = crc_mod(F.col("doc_id"), 4) == 2
