@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from figpairs.llm.common import runs_of, stored
+from figpairs.llm.common import by_bytes, runs_of, stored, without_ids, worker_cache
 from figpairs.llm.components import components
 
 COORDS = 32
@@ -49,6 +49,7 @@ SKETCH = 1 << 20
 BLOCK_ROWS = 2048
 BLOCK_SHINGLES = 1_000_000
 WORDS_HELD = 500_000
+BATCH_BYTES = 8 << 20
 
 
 class _Hashes(dict):
@@ -94,9 +95,10 @@ def _signed(docs: DataFrame, id_type: str, width: int) -> DataFrame:
     def run(batches):
         import xxhash
 
+        worker_cache("near duplicates")
         known = _Hashes()
         flip, factor = signature_factors()
-        for b in batches:
+        for b in by_bytes(batches, 1, BATCH_BYTES):
             n, key, sig = [], [], []
             for t in b.column(1).to_pylist():
                 s = shingle_set(t, width, known)
@@ -265,6 +267,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, id_type: str, width: int) -> DataF
     def run(batches):
         import xxhash
 
+        worker_cache("near duplicates")
         maps = shared.value
         known = _Hashes()
         for b in batches:
@@ -356,5 +359,4 @@ def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
 
     Rows of one id stay or go together.
     """
-    gone = near_duplicates(docs, id_col, text_col, width, percent).where("not kept").select(F.col(id_col).alias("__gone")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+    return without_ids(docs, id_col, near_duplicates(docs, id_col, text_col, width, percent).where("not kept").select(id_col))

@@ -27,10 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from figpairs.llm.common import stored
+from figpairs.llm.common import by_bytes, free_name, stored, without_ids, worker_cache
 
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\r\x0b\f"
+BATCH_BYTES = 8 << 20
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 FOLD = bytes(48 if 48 <= b <= 57 else b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -87,7 +88,8 @@ def _measured(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> Dat
     def run(batches):
         kinds = [pa.int64()] * 5 + [pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
         names = [*COUNTS, "content", "lines", "line_words"]
-        for b in batches:
+        worker_cache("quality")
+        for b in by_bytes(batches, 2, BATCH_BYTES):
             cols = list(zip(*(measure(t) for t in b.column(2).to_pylist()))) or [[]] * 8
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), *(pa.array(c, k) for c, k in zip(cols, kinds))], ["id", "host", *names])
@@ -158,10 +160,11 @@ def without_frequent_lines(docs: DataFrame, id_col: str = "doc_id", text_col: st
 
         return pd.Series([one(t, d) for t, d in zip(texts, drops)])
 
-    keyed = docs.withColumn("__content", content(F.col(text_col).cast("string"))).alias("k")
+    name = free_name("__content", docs.columns)
+    keyed = docs.withColumn(name, content(F.col(text_col).cast("string"))).alias("k")
     joined = keyed.join(mine.alias("l"), F.col(f"k.{host_col}").cast("string").eqNullSafe(F.col("l.host"))
-                        & (F.col("k.__content") == F.col("l.content")), "left")
-    return joined.select(*(cleaned(F.col(f"k.{c}").cast("string"), F.col("__drop")).alias(c) if c == text_col else F.col(f"k.`{c}`")
+                        & (F.col(f"k.{name}") == F.col("l.content")), "left")
+    return joined.select(*(cleaned(F.col(f"k.{c}").cast("string"), F.col("l.__drop")).alias(c) if c == text_col else F.col(f"k.`{c}`")
                            for c in docs.columns))
 
 
@@ -171,5 +174,4 @@ def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Rejected ids are taken out by an anti-join on id; among rows of one id
     (null counts as one id) all go if one is rejected.
     """
-    gone = quality_rules(docs, id_col, text_col, host_col, **limits).where("not kept").select(F.col(id_col).alias("__gone")).distinct()
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("__gone")), "left_anti")
+    return without_ids(docs, id_col, quality_rules(docs, id_col, text_col, host_col, **limits).where("not kept").select(id_col))

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from figpairs.llm.common import new_path, stored, worker_cache
+from figpairs.llm.common import by_bytes, new_path, stored, worker_cache
 
 # Fixed values of the public zstandard seekable format.
 SKIPPABLE_INDEX = 0x184D2A50
@@ -50,6 +50,7 @@ SEEKABLE_MAGIC = 0x8F92EAB1
 CHECKSUM_FLAG = 0x80
 
 CACHE_WORDS = 1_000_000
+BATCH_BYTES = 1 << 20
 
 
 def encoder(tokenizer_path: str):
@@ -208,9 +209,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, id_col:
         fs, base = open_fs(folder)
         name, out, ids, tokens, writer = f"{uuid.uuid4().hex}.tok.zst", None, [], 0, None
         end = np.array([end_id], dtype="<u4")
-        for b in batches:
-            for at in range(0, b.num_rows, 64):
-                rows = b.slice(at, min(64, b.num_rows - at))
+        for rows in by_bytes(batches, 1, BATCH_BYTES, 64):
+            if rows.num_rows:
                 for doc in encode(rows.column(1).to_pylist()):
                     if writer is None:
                         fs.create_dir(base, recursive=True)

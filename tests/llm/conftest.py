@@ -3,7 +3,7 @@ from pyspark.sql import types as T
 
 # Column names that the operators use inside; inputs may have them too.
 CLASHING = ["id", "key", "n", "sig", "token", "host", "path", "hash", "size", "bucket", "low", "same", "start", "th", "slot", "range",
-            "spans", "lines", "verdict", "component", "__id", "__text", "words", "block", "at", "file", "weight", "target", "copies"]
+            "spans", "lines", "verdict", "component", "__id", "__text", "words", "block", "at", "file", "weight", "target", "copies", "__gone", "__content", "__drop", "wanted", "y"]
 
 LONG = " ".join(f"w{k}" for k in range(30_000))
 BASE = " ".join(f"tok{k}" for k in range(60))
