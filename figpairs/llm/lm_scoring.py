@@ -12,7 +12,9 @@ A document's score is the mean over its tokens of the target model's loss less
 the background model's: below 0 it is more like the target than the corpus is.
 
 Counting: tasks count words, then the n-grams of distinct words, and Spark sums
-them over the corpus.  The model grows with the corpus.  Up to ``SHARED_ROWS``
+them over the corpus.  Documents of the target are told by bitmaps over their
+ids' hashes (64 bits, taken as the id where two share a slot), so no text is
+shuffled to mark them.  The model grows with the corpus.  Up to ``SHARED_ROWS``
 n-grams, measured, it is broadcast; beyond, documents are dealt out to blocks,
 each block's own n-grams fetch their counts by a join, and block and counts meet
 in one task.  Both ways give equal results.
@@ -27,18 +29,22 @@ Defined results:
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from figpairs.llm.common import WordTable, stored, worker_cache
+from figpairs.llm.common import Bitmap, WordTable, by_bytes, stored, worker_cache
 
 ORDER = 4
 KAPPA = 5.0
 SHARED_ROWS = 4_000_000
 BLOCK_DOCS = 4096
 WORDS_HELD = 400_000
+BATCH_BYTES = 2 << 20
+LISTED = 1_000_000
 TOTAL = 0  # the key of the number of tokens
 LAST_CHAR = 0x110003  # keys -LAST_CHAR to -1 name characters that occur
 
@@ -68,21 +74,60 @@ def ngrams(words: list[bytes]):
     return keys, word, place, cp
 
 
-def _counts(docs: DataFrame) -> DataFrame:
-    """(key, target, every): n-gram counts; ``docs`` has text and wanted."""
+class Marks:
+    """Which rows are of the target, told by the hashes of their ids without moving a text.
+
+    Two bitmaps of fixed size: slots of target ids, and slots of other ids of
+    the documents.  A slot of the first alone has target ids only.  The target
+    ids in slots of both are listed, up to ``LISTED`` of them, counted; beyond
+    that there are no marks (None) and texts meet the target in a join.
+    """
+
+    def __init__(self, ids: DataFrame, chosen: DataFrame, listed: int):
+        hashed = F.xxhash64("id").alias("hash")
+        self.target = Bitmap(chosen.select(hashed))
+        self.other = Bitmap(ids.where("id is not null").distinct().join(chosen, "id", "left_anti").select(hashed))
+        spark = ids.sparkSession
+        shared = spark.sparkContext.broadcast(self.other)
+
+        def met(batches):
+            for b in batches:
+                yield b.filter(pa.array(shared.value.has(b.column(0).to_numpy())))
+
+        both = chosen.select(hashed).mapInArrow(met, "hash long")
+        rows = both.limit(listed + 1).collect()  # at most listed + 1 numbers
+        self.complete = len(rows) <= listed
+        self.listed = np.sort(np.array([r["hash"] for r in rows], np.int64))
+
+    def wanted(self, hashes: np.ndarray) -> np.ndarray:
+        out = self.target.has(hashes)
+        unsure = np.flatnonzero(out & self.other.has(hashes))
+        out[unsure] = np.isin(hashes[unsure], self.listed)
+        return out
+
+
+def _counts(docs: DataFrame, marks: Marks | None) -> DataFrame:
+    """(key, target, every): n-gram counts; ``docs`` has text and hash (of the id, null: none) or, without marks, wanted."""
+    shared = docs.sparkSession.sparkContext.broadcast(marks)
+
     def run(batches):
-        tally: dict[bytes, list[int]] = {}
+        import pandas as pd
+
+        worker_cache("lm counts")
+        tally: Counter[bytes] = Counter()
+        of_target: Counter[bytes] = Counter()
 
         def flush():
             words = list(tally)
-            n = np.array([tally[w] for w in words], np.int64).reshape(-1, 2)
+            n = np.array([[of_target.get(w, 0), tally[w]] for w in words], np.int64).reshape(-1, 2)
             tally.clear()
+            of_target.clear()
             for at in range(0, len(words), 50_000):
                 part = n[at:at + 50_000]
                 keys, word, place, cp = ngrams(words[at:at + 50_000])
                 every = [k[place >= o] for o, k in enumerate(keys)]
                 owner = [word[place >= o] for o in range(ORDER)]
-                key, which = np.unique(np.concatenate(every), return_inverse=True)
+                which, key = pd.factorize(np.concatenate(every))
                 weight = part[np.concatenate(owner)]
                 sums = [np.bincount(which, weight[:, c], minlength=len(key)).astype(np.int64) for c in (0, 1)]
                 chars = -np.unique(cp[cp > 2]).astype(np.int64)
@@ -92,23 +137,24 @@ def _counts(docs: DataFrame) -> DataFrame:
                      pa.array(np.concatenate([sums[1], none, tokens[1:]]))],
                                                  ["key", "target", "every"])
 
-        for b in batches:
-            for at in range(0, b.num_rows, 256):
-                for text, wanted in zip(b.column(0).slice(at, 256).to_pylist(), b.column(1).slice(at, 256).to_pylist()):
-                    for w in (text or "").encode().split():
-                        t = tally.get(w)
-                        if t is None:
-                            tally[w] = [int(wanted), 1]
-                        else:
-                            t[1] += 1
-                            if wanted:
-                                t[0] += 1
-                if len(tally) > WORDS_HELD:
-                    yield from flush()
+        for b in by_bytes(batches, 0, BATCH_BYTES):
+            if marks_given:
+                known = b.column(1).is_valid().to_numpy(zero_copy_only=False)
+                wanted = known & shared.value.wanted(b.column(1).fill_null(0).to_numpy())
+            else:
+                wanted = b.column(1).to_numpy(zero_copy_only=False)
+            for text, own in zip(b.column(0).to_pylist(), wanted.tolist()):
+                words = (text or b"").split()
+                tally.update(words)
+                if own:
+                    of_target.update(words)
+            if len(tally) > WORDS_HELD:
+                yield from flush()
         if tally:
             yield from flush()
 
-    return docs.select("text", "wanted").mapInArrow(run, "key long, target long, every long").groupBy("key").agg(F.sum("target").alias("target"), F.sum("every").alias("every"))
+    marks_given = marks is not None
+    return docs.select(F.col("text").cast("binary").alias("text"), "hash" if marks_given else "wanted").mapInArrow(run, "key long, target long, every long").groupBy("key").agg(F.sum("target").alias("target"), F.sum("every").alias("every"))
 
 
 class Model:
@@ -163,7 +209,8 @@ def _arrow_scores(ids, sums: np.ndarray):
         ["id", "n_tokens", "ce_target", "ce_background", "score"])
 
 
-def lm_scores(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text", shared_rows: int = SHARED_ROWS) -> DataFrame:
+def lm_scores(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text", shared_rows: int = SHARED_ROWS,
+              listed: int = LISTED) -> DataFrame:
     """Per row of ``docs``: id, n_tokens, ce_target, ce_background (nats a token) and score.
 
     ``target`` has ids of the target documents (repeated ids count once).
@@ -172,8 +219,12 @@ def lm_scores(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_c
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     id_type = d.schema["id"].dataType.simpleString()
     chosen = target.select(F.col(id_col).alias("id")).where("id is not null").distinct().withColumn("wanted", F.lit(True))
-    marked = d.join(chosen, "id", "left").select("text", F.coalesce("wanted", F.lit(False)).alias("wanted"))
-    counts = stored(_counts(marked), "ngrams")
+    marks = Marks(d.select("id"), chosen.select("id"), listed)
+    if marks.complete:
+        marked = d.select("text", F.when(F.col("id").isNotNull(), F.xxhash64("id")).alias("hash"))
+    else:
+        marked = d.join(chosen, "id", "left").select("text", F.coalesce("wanted", F.lit(False)).alias("wanted"))
+    counts = stored(_counts(marked, marks if marks.complete else None), "ngrams")
     total = counts.where(F.col("key") == TOTAL).first()
     chars = counts.where(F.col("key").between(-LAST_CHAR, -1)).count()
     totals = (int(total["target"]) if total else 0, int(total["every"]) if total else 0, int(chars))
@@ -189,9 +240,8 @@ def lm_scores(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_c
             if held.get("tag") != tag:
                 held.clear()
                 held.update(tag=tag, words=WordTable(model.word_losses, 3))
-            for b in batches:
-                for at in range(0, b.num_rows, 256):
-                    yield _arrow_scores(b.column(0).slice(at, 256), model.score(b.column(1).slice(at, 256).to_pylist(), held["words"]))
+            for b in by_bytes(batches, 1, BATCH_BYTES):
+                yield _arrow_scores(b.column(0), model.score(b.column(1).to_pylist(), held["words"]))
 
         return d.mapInArrow(run, schema).withColumnRenamed("id", id_col)
 

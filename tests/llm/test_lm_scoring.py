@@ -1,9 +1,12 @@
 import math
 from collections import Counter
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from figpairs.llm.lm_scoring import KAPPA, ORDER, lm_scores
+from figpairs.llm.lm_scoring import KAPPA, ORDER, Marks, lm_scores
+from figpairs.llm.common import Bitmap
 from tests.llm.conftest import documents
 
 ROWS = [(k, f"good words here number {k} of the good kind", "", "") for k in range(12)] + [(100 + k, f"ZZ!! QQ## {k}", "", "") for k in range(8)]
@@ -38,12 +41,14 @@ def brute(rows, wanted):
     return out
 
 
-@pytest.mark.parametrize("shared_rows", [4_000_000, 1])
-def test_both_ways_match_brute_force(spark, shared_rows):
+@pytest.mark.parametrize("shared_rows,listed,bits", [(4_000_000, 1000, 1 << 27), (1, 1000, 1 << 27), (4_000_000, 1000, 32768), (4_000_000, 0, 32768)])
+def test_all_ways_match_brute_force(spark, monkeypatch, shared_rows, listed, bits):
+    """Broadcast and blocks; target documents told by roomy bitmaps, by crowded ones with a list, and by the join."""
+    monkeypatch.setattr(Bitmap.__init__, "__defaults__", (bits,))
     df, wanted = documents(spark, ROWS), set(range(12))
     target = spark.createDataFrame([(i,) for i in [*wanted, 3, None, 555]], "doc_id long")
     want = brute([r[:2] for r in ROWS], wanted)
-    got = lm_scores(df, target, shared_rows=shared_rows).collect()
+    got = lm_scores(df, target, shared_rows=shared_rows, listed=listed).collect()
     assert len(got) == len(ROWS)
     for r in got:
         n, t, b = want[r.doc_id]
@@ -52,6 +57,18 @@ def test_both_ways_match_brute_force(spark, shared_rows):
     assert max(r.score for r in got if r.doc_id < 100) < min(r.score for r in got if r.doc_id >= 100)
 
 
+def test_marks_are_exact_where_slots_are_shared(spark, monkeypatch):
+    monkeypatch.setattr(Bitmap.__init__, "__defaults__", (1 << 15,))
+    n = 60_000
+    ids = spark.range(n)
+    marks = Marks(ids, ids.where("id % 3 = 0"), 1_000_000)
+    assert marks.complete and len(marks.listed) > n // 6
+    rows = ids.select("id", F.xxhash64("id").alias("h")).collect()
+    got = marks.wanted(np.array([r.h for r in rows], np.int64))
+    assert got.tolist() == [r.id % 3 == 0 for r in rows]
+    assert not Marks(ids, ids.where("id % 3 = 0"), 100).complete
+
+
 def test_edge_rows(spark, docs, no_docs):
     target = spark.createDataFrame([(0,)], "doc_id long")
     for rows in (4_000_000, 1):
