@@ -71,7 +71,7 @@ def without_ids(docs: DataFrame, id_col: str, gone: DataFrame) -> DataFrame:
 class Bitmap:
     """Bits of fixed number over 64-bit hashes: which slots a column of hashes falls into."""
 
-    def __init__(self, hashes: DataFrame, bits: int = 1 << 27):
+    def __init__(self, hashes: DataFrame, bits: int):
         import numpy as np
 
         self.bits = bits

@@ -45,6 +45,7 @@ BLOCK_DOCS = 4096
 WORDS_HELD = 400_000
 BATCH_BYTES = 2 << 20
 LISTED = 1_000_000
+MOST_BITS = 28
 TOTAL = 0  # the key of the number of tokens
 LAST_CHAR = 0x110003  # keys -LAST_CHAR to -1 name characters that occur
 
@@ -77,7 +78,7 @@ def ngrams(words: list[bytes]):
 class Marks:
     """Which rows are of the target, told by the hashes of their ids without moving a text.
 
-    Two bitmaps of fixed size: slots of target ids, and slots of other ids of
+    Two bitmaps of bounded size: slots of target ids, and slots of other ids of
     the documents.  A slot of the first alone has target ids only.  The target
     ids in slots of both are listed, up to ``LISTED`` of them, counted; beyond
     that there are no marks (None) and texts meet the target in a join.
@@ -85,8 +86,10 @@ class Marks:
 
     def __init__(self, ids: DataFrame, chosen: DataFrame, listed: int):
         hashed = F.xxhash64("id").alias("hash")
-        self.target = Bitmap(chosen.select(hashed))
-        self.other = Bitmap(ids.where("id is not null").distinct().join(chosen, "id", "left_anti").select(hashed))
+        # 64 slots or more for an id, 4 KB to 32 MB in all
+        bits = 1 << min(max(15, (64 * chosen.count()).bit_length()), MOST_BITS)
+        self.target = Bitmap(chosen.select(hashed), bits)
+        self.other = Bitmap(ids.where("id is not null").distinct().join(chosen, "id", "left_anti").select(hashed), bits)
         spark = ids.sparkSession
         shared = spark.sparkContext.broadcast(self.other)
 
@@ -125,11 +128,14 @@ def _counts(docs: DataFrame, marks: Marks | None) -> DataFrame:
             for at in range(0, len(words), 50_000):
                 part = n[at:at + 50_000]
                 keys, word, place, cp = ngrams(words[at:at + 50_000])
-                every = [k[place >= o] for o, k in enumerate(keys)]
-                owner = [word[place >= o] for o in range(ORDER)]
-                which, key = pd.factorize(np.concatenate(every))
-                weight = part[np.concatenate(owner)]
-                sums = [np.bincount(which, weight[:, c], minlength=len(key)).astype(np.int64) for c in (0, 1)]
+                found, sums = [], []
+                for o, k in enumerate(keys):
+                    inside = place >= o
+                    which, key = pd.factorize(k[inside])
+                    owner = word[inside]
+                    found.append(key)
+                    sums.append([np.bincount(which, part[owner, c], minlength=len(key)).astype(np.int64) for c in (0, 1)])
+                key, sums = np.concatenate(found), [np.concatenate(x) for x in zip(*sums)]
                 chars = -np.unique(cp[cp > 2]).astype(np.int64)
                 none = np.zeros(len(chars), np.int64)
                 tokens = (part * (np.bincount(word, minlength=len(part)) - 1)[:, None]).sum(0)
@@ -161,16 +167,21 @@ class Model:
     """Counts by sorted keys, and the totals that both models share."""
 
     def __init__(self, key: np.ndarray, target: np.ndarray, every: np.ndarray, totals: tuple[int, int, int]):
-        order = np.argsort(key)
-        self.key, self.counts = key[order], np.stack([target, every], 1)[order].astype(np.float64)
+        # the last row stands for n-grams that do not occur
+        self.key = key
+        self.counts = np.zeros((len(key) + 1, 2))
+        self.counts[:-1, 0], self.counts[:-1, 1] = target, every
         self.n_target, self.n_every, self.n_chars = totals
         self.counts[:, 1] *= self.n_target / max(self.n_every, 1)
+        self.index = None
 
-    def count(self, keys: np.ndarray) -> np.ndarray:
-        if not len(self.key):
-            return np.zeros((len(keys), 2))
-        at = np.minimum(np.searchsorted(self.key, keys), len(self.key) - 1)
-        return np.where((self.key[at] == keys)[:, None], self.counts[at], 0.0)
+    def places(self, keys: np.ndarray) -> np.ndarray:
+        """Rows of ``counts``; -1, the last one, for keys that do not occur."""
+        if self.index is None:
+            import pandas as pd
+
+            self.index = pd.Index(self.key)
+        return self.index.get_indexer(keys)
 
     def word_losses(self, words: list[bytes]) -> np.ndarray:
         """[words, 3]: loss under the target, loss under the background, tokens."""
@@ -178,19 +189,19 @@ class Model:
         for at in range(0, len(words), 20_000):
             part = words[at:at + 20_000]
             keys, word, place, _ = ngrams(part)
-            p = np.full((len(word), 2), 1.0 / (self.n_chars + 1))
-            context = np.full((len(word), 2), float(self.n_target))
-            for o in range(ORDER):
-                use = np.flatnonzero(place >= max(o, 1))
-                n = np.zeros((len(word), 2))
-                own = np.flatnonzero(place >= o)
-                n[own] = self.count(keys[o][own])
-                p[use] = (n[use] + KAPPA * p[use]) / (context[use] + KAPPA)
-                context[1:] = n[:-1]
+            rows = [np.where(place >= o, self.places(k), -1) for o, k in enumerate(keys)]
             token = place >= 1
-            loss = np.where(token[:, None], -np.log(p), 0.0)
-            first = np.searchsorted(word, np.arange(len(part)))
-            out[at:at + len(part), :2] = np.add.reduceat(loss, first, axis=0)
+            for model in (0, 1):
+                counts = self.counts[:, model]
+                p = np.full(len(word), 1.0 / (self.n_chars + 1))
+                context = np.full(len(word), float(self.n_target))
+                for o in range(ORDER):
+                    n = counts[rows[o]]
+                    mixed = (n + KAPPA * p) / (context + KAPPA)
+                    p = mixed if o < 2 else np.where(place >= o, mixed, p)
+                    context[1:] = n[:-1]
+                first = np.searchsorted(word, np.arange(len(part)))
+                out[at:at + len(part), model] = np.add.reduceat(np.where(token, -np.log(p), 0.0), first)
             out[at:at + len(part), 2] = np.add.reduceat(token.astype(np.int64), first)
         return out
 

@@ -5,8 +5,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from figpairs.llm import lm_scoring
 from figpairs.llm.lm_scoring import KAPPA, ORDER, Marks, lm_scores
-from figpairs.llm.common import Bitmap
 from tests.llm.conftest import documents
 
 ROWS = [(k, f"good words here number {k} of the good kind", "", "") for k in range(12)] + [(100 + k, f"ZZ!! QQ## {k}", "", "") for k in range(8)]
@@ -41,10 +41,10 @@ def brute(rows, wanted):
     return out
 
 
-@pytest.mark.parametrize("shared_rows,listed,bits", [(4_000_000, 1000, 1 << 27), (1, 1000, 1 << 27), (4_000_000, 1000, 32768), (4_000_000, 0, 32768)])
+@pytest.mark.parametrize("shared_rows,listed,bits", [(4_000_000, 1000, 28), (1, 1000, 28), (4_000_000, 1000, 15), (4_000_000, 0, 15)])
 def test_all_ways_match_brute_force(spark, monkeypatch, shared_rows, listed, bits):
     """Broadcast and blocks; target documents told by roomy bitmaps, by crowded ones with a list, and by the join."""
-    monkeypatch.setattr(Bitmap.__init__, "__defaults__", (bits,))
+    monkeypatch.setattr(lm_scoring, "MOST_BITS", bits)
     df, wanted = documents(spark, ROWS), set(range(12))
     target = spark.createDataFrame([(i,) for i in [*wanted, 3, None, 555]], "doc_id long")
     want = brute([r[:2] for r in ROWS], wanted)
@@ -58,7 +58,7 @@ def test_all_ways_match_brute_force(spark, monkeypatch, shared_rows, listed, bit
 
 
 def test_marks_are_exact_where_slots_are_shared(spark, monkeypatch):
-    monkeypatch.setattr(Bitmap.__init__, "__defaults__", (1 << 15,))
+    monkeypatch.setattr(lm_scoring, "MOST_BITS", 15)
     n = 60_000
     ids = spark.range(n)
     marks = Marks(ids, ids.where("id % 3 = 0"), 1_000_000)
