@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 import types
 import uuid
+from itertools import chain, repeat
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -125,11 +126,14 @@ class WordTable:
         """Per text, the indices of its words in ``rows``."""
         import numpy as np
 
-        new = set().union(*texts).difference(self.at)
-        if len(self.at) + len(new) > self.most:
-            self.at.clear()
-            new = set().union(*texts)
-        if new:
+        flat = list(chain.from_iterable(texts))
+        at = np.fromiter(map(self.at.get, flat, repeat(-1)), np.int64, len(flat))
+        unknown = np.flatnonzero(at < 0).tolist()
+        if unknown:
+            new = {flat[k] for k in unknown}
+            if len(self.at) + len(new) > self.most:
+                self.at.clear()
+                new, unknown = set(flat), range(len(flat))
             words = sorted(new)
             n = len(self.at)
             if n + len(words) > len(self.rows):
@@ -138,8 +142,8 @@ class WordTable:
                 self.rows = grown
             self.rows[n:n + len(words)] = self.learn(words)
             self.at.update(zip(words, range(n, n + len(words))))
-        get = self.at.__getitem__
-        return [np.fromiter(map(get, ws), np.int64, len(ws)) for ws in texts]
+            at[unknown] = [self.at[flat[k]] for k in unknown]
+        return np.split(at, np.cumsum([len(t) for t in texts])[:-1]) if texts else []
 
 
 def crc_mod(c: Column, n: int) -> Column:
