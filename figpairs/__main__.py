@@ -52,6 +52,8 @@ def main(argv=None) -> None:
     b.add_argument("--subset_size", type=int, default=None)
     b.add_argument("--max_filesize_mb", type=int, default=None)
     b.add_argument("--no_resume", action="store_true")
+    b.add_argument("--no_decode", action="store_true", help="take an image's signature for its validity")
+    b.add_argument("--staging", default=None, help="folder for images while they are checked (default: OUT_ROOT/staging)")
     a = sub.add_parser("articles")
     a.add_argument("--xml_root", required=True)
     a.add_argument("--out", required=True)
@@ -61,7 +63,8 @@ def main(argv=None) -> None:
     from figpairs.functions.text import LIST_PREFIX
     from figpairs.operators import report, split
     from figpairs.plans import pipeline, sinks
-    from figpairs.sources import archive, catalogue
+    from figpairs.plans.publish import verify_images
+    from figpairs.sources import catalogue, stream
     from figpairs.streaming.incremental import existing_pairs
 
     if args.cmd == "split":
@@ -78,9 +81,11 @@ def main(argv=None) -> None:
             cat = split.assign_split(catalogue.read_catalogue(spark, args.list, subset=args.subset_size))
             scope = ("split",)
         resume = not args.no_resume
-        b = pipeline.build_pairs(cat, archive.scan_packages(spark, args.packages), scope=scope, resume=resume,
+        b = pipeline.build_pairs(cat, stream.list_packages(spark, args.packages), scope=scope, resume=resume,
                                  existing=existing_pairs(spark, args.out_root, scope) if resume else None,
                                  max_mb=args.max_filesize_mb)
+        if not args.no_decode:
+            b = verify_images(b, args.staging or f"{args.out_root}/staging", scope=scope)
         pipeline.write_build(b, args.out_root, scope=scope)
         print(json.dumps({r[0]: r["n_written"] for r in report.run_summary(b.entries, scope=scope).collect()}))
     elif args.cmd == "articles":

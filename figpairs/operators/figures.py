@@ -19,13 +19,14 @@ Parser contract (our own definition):
   is ``pmid`` / ``pmc``;
 * the declared encoding is followed; named HTML entities are accepted, CDATA is
   left as it is; external DTDs are never fetched;
+* a document is read once, in events; finished elements are dropped, so memory
+  follows its figures, not its size;
 * a document that does not parse gives ``parse_error`` and no figures.
 """
 
 from __future__ import annotations
 
 import html.entities
-import xml.etree.ElementTree as ET
 from xml.parsers import expat
 
 import pyarrow as pa
@@ -36,88 +37,131 @@ from pyspark.sql import types as T
 from figpairs.functions.text import nonempty_or, parent_dir
 from figpairs.schemas import FIGURE, INLINE_REF
 
-def parse_xml(data: bytes, encoding: str | None = None) -> ET.Element:
-    """Tree of an article in its declared encoding; named HTML entities are known, DTDs are not fetched.
-
-    Tags and attribute names in a namespace come as ``uri}name``.
+PARSE_BYTES = 1 << 20
+
+
+class _Figure:
+    """A ``fig`` element that is still open: its record, and the label or caption that is being read."""
+
+    def __init__(self, depth: int, record: dict):
+        self.depth, self.record = depth, record
+        self.part: str | None = None
+        self.part_depth = 0
+        self.own: list[str] = []
+        self.kids: list[list[str]] = []
+
+    def start(self, depth: int, name: str, attrs: dict) -> None:
+        if self.part:
+            if self.part == "fig_caption" and depth == self.part_depth + 1:
+                self.kids.append([])
+        elif depth == self.depth + 1:
+            part = {"label": "fig_label", "caption": "fig_caption"}.get(name)
+            if part and self.record[part] is None:
+                self.part, self.part_depth, self.own, self.kids = part, depth, [], []
+            elif name == "graphic" and self.record["graphic_ref"] is None:
+                self.record["graphic_ref"] = next((v for k, v in attrs.items() if _local(k) == "href"), None)
+
+    def text(self, depth: int, data: str) -> None:
+        if self.part == "fig_label":
+            self.own.append(data)
+        elif self.part and depth > self.part_depth:
+            self.kids[-1].append(data)
+        elif self.part and not self.kids:
+            self.own.append(data)
+
+    def end(self, depth: int) -> None:
+        if self.part and depth == self.part_depth:
+            self.record[self.part] = " ".join("".join(k) for k in self.kids) if self.kids else "".join(self.own)
+            self.part = None
+
+
+class ArticleReader:
+    """Figures of an article, fed in chunks; only open figures and what was found are held.
+
+    The declared encoding is followed, named HTML entities are known, DTDs are
+    not fetched.  Tags and attribute names in a namespace come as ``uri}name``.
     """
-    tree = ET.TreeBuilder()
-    p = expat.ParserCreate(encoding, namespace_separator="}")
 
-    def entity(name: str, is_parameter: bool) -> None:
+    def __init__(self, encoding: str | None = None):
+        self.figures: list[dict] = []
+        self.ids: dict[str, list[str]] = {}
+        self.open: list[_Figure] = []
+        self.id_text: tuple[int, list[str]] | None = None
+        self.depth = 0
+        p = self.parser = expat.ParserCreate(encoding, namespace_separator="}")
+        p.buffer_text = True
+        p.StartElementHandler, p.EndElementHandler, p.CharacterDataHandler = self.start, self.end, self.text
+        p.UseForeignDTD(True)  # else an entity that no DTD declares ends the parse
+        p.ExternalEntityRefHandler = lambda *_: 1
+        p.SkippedEntityHandler = self.entity
+
+    def start(self, tag: str, attrs: dict) -> None:
+        self.depth += 1
+        self.id_text = None  # an id's text ends with its first child
+        name = _local(tag)
+        for f in self.open:
+            f.start(self.depth, name, attrs)
+        if name == "article-id" and (kind := attrs.get("pub-id-type")) in ("pmid", "pmc") and kind not in self.ids:
+            self.ids[kind] = []
+            self.id_text = self.depth, self.ids[kind]
+        elif name == "fig":
+            record = {"fig_pos": len(self.figures), "pmid": None, "pmc": None, "fig_id": attrs.get("id"), "fig_label": None,
+                      "fig_caption": None, "graphic_ref": None, "fig_refs": []}
+            self.figures.append(record)
+            self.open.append(_Figure(self.depth, record))
+
+    def text(self, data: str) -> None:
+        if self.id_text:
+            self.id_text[1].append(data)
+        for f in self.open:
+            f.text(self.depth, data)
+
+    def end(self, tag: str) -> None:
+        self.id_text = None
+        for f in self.open:
+            f.end(self.depth)
+        if self.open and self.open[-1].depth == self.depth:
+            self.open.pop()
+        self.depth -= 1
+
+    def entity(self, name: str, is_parameter: bool) -> None:
         if not is_parameter:
             if name not in html.entities.name2codepoint:
-                raise ET.ParseError(f"undefined entity &{name};")
-            tree.data(chr(html.entities.name2codepoint[name]))
-
-    p.buffer_text = True
-    p.StartElementHandler = lambda tag, attrs: tree.start(tag, attrs)
-    p.EndElementHandler = tree.end
-    p.CharacterDataHandler = tree.data
-    p.UseForeignDTD(True)  # else an entity that no DTD declares ends the parse
-    p.ExternalEntityRefHandler = lambda *_: 1
-    p.SkippedEntityHandler = entity
-    try:
-        p.Parse(data, True)
-    except expat.ExpatError as e:
-        raise ET.ParseError(str(e)) from None
-    return tree.close()
+                raise expat.ExpatError(f"undefined entity &{name};")
+            self.text(chr(html.entities.name2codepoint[name]))
 
+    def feed(self, data: bytes, last: bool) -> str | None:
+        """An error, or None."""
+        try:
+            self.parser.Parse(data, last)
+        except expat.ExpatError as e:
+            return f"xml_syntax: {e}"
+        except Exception as e:  # noqa: BLE001 - recorded per row, never raised
+            return f"parse_other: {type(e).__name__}"
+        return None
 
-def _local(tag) -> str:
-    return tag.rsplit("}", 1)[-1] if isinstance(tag, str) else ""
+    def found(self) -> list[dict]:
+        ids = {k: "".join(v) for k, v in self.ids.items()}
+        return [r | {"pmid": ids.get("pmid"), "pmc": ids.get("pmc")} for r in self.figures]
 
 
-def _text(el) -> str:
-    return "".join(el.itertext())
+def _local(tag) -> str:
+    return tag.rsplit("}", 1)[-1] if isinstance(tag, str) else ""
 
 
 def parse_figures_xml(data) -> tuple[list[dict], str | None]:
-    """Parse one article; returns (figures, error).  Pure Python, used per row."""
+    """Parse one article (text, bytes, or an open file, read in chunks); returns (figures, error)."""
     if data is None:
         return [], "no_xml"
-    try:
-        root = parse_xml(data.encode(), "utf-8") if isinstance(data, str) else parse_xml(bytes(data))
-    except ET.ParseError as e:
-        return [], f"xml_syntax: {e}"
-    except Exception as e:  # noqa: BLE001 - recorded per row, never raised
-        return [], f"parse_other: {type(e).__name__}"
-    ids = {}
-    for el in root.iter():
-        if _local(el.tag) == "article-id":
-            t = el.get("pub-id-type")
-            if t in ("pmid", "pmc") and t not in ids:
-                ids[t] = el.text or ""
-    figs = []
-    for el in root.iter():
-        if _local(el.tag) != "fig":
-            continue
-        label = caption = ref = None
-        for ch in el:
-            name = _local(ch.tag)
-            if name == "label" and label is None:
-                label = _text(ch)
-            elif name == "caption" and caption is None:
-                kids = list(ch)
-                caption = " ".join(_text(k) for k in kids) if kids else (ch.text or "")
-            elif name == "graphic" and ref is None:
-                for k, v in ch.attrib.items():
-                    if _local(k) == "href":
-                        ref = v
-                        break
-        figs.append(
-            {
-                "fig_pos": len(figs),
-                "pmid": ids.get("pmid"),
-                "pmc": ids.get("pmc"),
-                "fig_id": el.get("id"),
-                "fig_label": label,
-                "fig_caption": caption,
-                "graphic_ref": ref,
-                "fig_refs": [],
-            }
-        )
-    return figs, None
+    reader = ArticleReader("utf-8" if isinstance(data, str) else None)
+    if hasattr(data, "read"):
+        error = None
+        while error is None and (chunk := data.read(PARSE_BYTES)):  # a failed read is the caller's
+            error = reader.feed(chunk, False)
+        error = error or reader.feed(b"", True)
+    else:
+        error = reader.feed(data.encode() if isinstance(data, str) else bytes(data), True)
+    return ([], error) if error else (reader.found(), None)
 
 
 def _parse_batches(xml_col: str, out_schema: pa.Schema):
@@ -167,6 +211,12 @@ def with_article_ids(df: DataFrame, figures_col: str = "figures", cat_pmid: str
     )
 
 
+def inline_ref_violations(df: DataFrame, figures_col: str = "figures") -> DataFrame:
+    """the rows on which the strict mode of :func:`normalise_inline_refs` aborts, with their number of references."""
+    n = F.aggregate(F.transform(figures_col, lambda f: F.greatest(F.coalesce(F.size(f["fig_refs"]), F.lit(0)), F.lit(0))), F.lit(0), lambda a, b: a + b)
+    return df.withColumn("n_refs", n).filter(F.col("n_refs") > 0)
+
+
 def normalise_inline_refs(df: DataFrame, figures_col: str = "figures", strict: bool = False) -> DataFrame:
     """cast inline references to strings; in strict mode any reference aborts
     the job (the source raises "not implemented"); otherwise they are dropped."""

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from figpairs.plans.proxies import GRAPHIC_REF_SQL, cte, member_junk_sql, member_name_sql
-from figpairs.plans.queries import MAX_MB, SHARD, SUBSET
+from figpairs.plans.proxies import GRAPHIC_REF_SQL, JPEG_HEX, PNG_HEX, cte, member_cut_sql, member_junk_sql, member_name_sql
+from figpairs.plans.queries import MAX_MB, PAIR_SHARD, SHARD, SUBSET
 
 WS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 MB = 1024 * 1024
@@ -97,6 +97,11 @@ FMT = """CASE WHEN (article_id + pos) % 5 = 4 THEN NULL
           WHEN lower(name) LIKE '%.nxml' THEN NULL ELSE 'jpeg' END"""
 
 
+BYTES = """unhex(CASE WHEN (mt.article_id + mt.pos) % 5 = 4 THEN '00112233445566778899AABBCCDDEEFF'
+          WHEN lower(mt.name) LIKE '%.png' THEN '89504E470D0A1A0A0000000D49484452'
+          WHEN lower(mt.name) LIKE '%.tif' OR lower(mt.name) LIKE '%.tiff' THEN '49492A0008000000'
+          WHEN lower(mt.name) LIKE '%.nxml' THEN '3C3F786D6C' ELSE 'FFD8FFE000104A464946' END) || encode(mt.text)"""
+
 PKG = f"""WITH base AS (
   SELECT conv_id, turn, text, conv_id * 1000 + turn AS article_id, conv_id * 1000 + turn + 1 AS line_no,
          {GRAPHIC_REF_SQL.replace("STRING", "VARCHAR")} AS graphic_ref
@@ -117,6 +122,12 @@ PKG = f"""WITH base AS (
         FROM (SELECT *, CAST(('0x' || substr(md5(cat_pmcid), 1, 8)) AS BIGINT) % 100 AS b FROM pk)),
  pdd AS (SELECT * FROM ps QUALIFY row_number() OVER (PARTITION BY split, pmid || '_' || fig_id ORDER BY line_no) = 1)"""
 
+# The same with images that are cut in half instead of junk.
+DECODED = PKG
+for _d in (0, 1):
+    DECODED = DECODED.replace(f"{member_junk_sql(_d)} AS junk", f"{member_cut_sql(_d)} AS junk")
+DECODED = DECODED.replace("uf.cat_pmcid FROM uf", "uf.cat_pmcid, m.name FROM uf")
+
 ORACLE: dict[str, str] = {
     "image_valid": """
 SELECT conv_id, turn, turn + 1 AS width, conv_id % 5 + 1 AS height FROM conversations WHERE (conv_id + turn) % 7 <> 3""",
@@ -271,7 +282,7 @@ SELECT CASE WHEN (article_id + pos) % 6 = 5 THEN 'bad_archive' ELSE 'ok' END AS
     "pairs_json_roundtrip": DEDUPE + "\nSELECT image, caption, pmid, pmcid, pair_id FROM dd",
     "pairs_by_split": SPLIT_PAIRS + "\nSELECT split, count(*) AS n FROM sprs GROUP BY 1",
     "pairs_by_shard": BASE_PAIRS + f""",
- sh AS (SELECT pr.*, (cat.line_no - 1) // {SHARD} AS shard_idx, cat.line_no FROM pr JOIN cat ON cat.pmcid = pr.pmcid
+ sh AS (SELECT pr.*, (cat.line_no - 1) // {PAIR_SHARD} AS shard_idx, cat.line_no FROM pr JOIN cat ON cat.pmcid = pr.pmcid
         QUALIFY row_number() OVER (PARTITION BY shard_idx, pr.pair_id ORDER BY pr.article_id, pr.fig_pos) = 1)
 SELECT shard_idx, count(*) AS n FROM sh GROUP BY 1""",
     "articles_json_roundtrip": f"""WITH {XML_LINES}
@@ -293,10 +304,35 @@ FROM s GROUP BY 1""",
 SELECT 'train_shard-' || lpad(CAST((line_no - 1) // {SHARD} AS VARCHAR), 5, '0') AS shard_name, count(*) + 1 AS n_lines, CAST(1 AS BIGINT) AS n_headers
 FROM raw_list GROUP BY 1""",
     "shard_union": BASE_PAIRS + f""",
- sh AS (SELECT pr.*, (cat.line_no - 1) // {SHARD} AS shard_idx FROM pr JOIN cat ON cat.pmcid = pr.pmcid
+ sh AS (SELECT pr.*, (cat.line_no - 1) // {PAIR_SHARD} AS shard_idx FROM pr JOIN cat ON cat.pmcid = pr.pmcid
         QUALIFY row_number() OVER (PARTITION BY shard_idx, pr.pair_id ORDER BY pr.article_id, pr.fig_pos) = 1)
 SELECT pair_id, image, caption, shard_idx FROM sh""",
     "packed_shards": SPLIT_PAIRS + f""",
- tr AS (SELECT row_number() OVER (ORDER BY line_no, fig_pos) - 1 AS ordinal FROM sprs WHERE split = 'train')
-SELECT lpad(CAST(ordinal // {SHARD} AS VARCHAR), 6, '0') AS shard, count(*) AS n_samples FROM tr GROUP BY 1""",
+ {cte("members_text")[5:]},
+ tr AS (SELECT *, row_number() OVER (ORDER BY line_no, fig_pos) - 1 AS ordinal FROM sprs WHERE split = 'train'),
+ c AS (SELECT lpad(CAST(ordinal // {SHARD} AS VARCHAR), 6, '0') AS shard, lpad(CAST(ordinal AS VARCHAR), 9, '0') AS k, caption, {BYTES} AS content
+       FROM tr JOIN members_text mt ON mt.article_id = tr.article_id AND mt.pos = tr.member_pos)
+SELECT shard, k || '.jpg' AS name, CAST(octet_length(content) AS BIGINT) AS n_bytes, md5(content) AS md5 FROM c
+UNION ALL SELECT shard, k || '.txt', CAST(strlen(caption) AS BIGINT), md5(caption) FROM c
+UNION ALL SELECT shard, k || '.json', NULL, NULL FROM c""",
+    "lazy_bytes": f"""WITH m AS (
+  SELECT conv_id, turn, 1 AS pos, {member_name_sql(0)} AS name, {member_junk_sql(0)} AS junk, text FROM conversations
+  UNION ALL SELECT conv_id, turn, 2, {member_name_sql(1)}, {member_junk_sql(1)}, text FROM conversations WHERE (conv_id + turn) % 2 = 0),
+ b AS (SELECT *, unhex(CASE WHEN lower(name) LIKE '%.png' THEN '89504E470D0A1A0A0000000D49484452'
+                            WHEN lower(name) LIKE '%.tif' OR lower(name) LIKE '%.tiff' THEN '49492A0008000000' ELSE 'FFD8FFE000104A464946' END) || encode(text) AS content
+       FROM m WHERE NOT junk AND lower(name) NOT LIKE '%.nxml' AND (conv_id + turn) % 13 <> 7)
+SELECT 'PMC' || conv_id || '-' || turn AS pmcid, CAST(pos AS BIGINT) AS member_pos, CAST(octet_length(content) AS BIGINT) AS n_bytes, md5(content) AS md5 FROM b""",
+    "build_decoded": DECODED + f"""
+SELECT pmcid || '/' || pmcid || '_fig-' || fig_id || '.jpg' AS image, caption, pmid, pmcid, pmid || '_' || fig_id AS pair_id, split,
+       CAST(CASE WHEN lower(name) LIKE '%.png' THEN {len(PNG_HEX) // 2} ELSE {len(JPEG_HEX) // 2} END AS BIGINT) AS n_bytes FROM pdd""",
+    "stream_landings": PKG + """
+SELECT pmcid || '/' || pmcid || '_fig-' || fig_id || '.jpg' AS image, caption, pmid, pmcid, pmid || '_' || fig_id AS pair_id, split FROM pdd""",
+    "first_xml_unpacked": """
+SELECT 'PMC' || conv_id || '-' || turn AS pmcid, CAST(2 AS BIGINT) AS n_figures, 'first-' || conv_id AS fig_id, CAST(2 AS BIGINT) AS n_articles FROM conversations""",
+    "inline_refs_guard": """
+SELECT conv_id, CAST(2 * count(*) FILTER (turn % 4 = 3) AS BIGINT) AS n_refs, count(*) AS n_figures FROM conversations GROUP BY 1 HAVING n_refs > 0""",
+    "shard_report": """
+SELECT conv_id AS shard_idx, 'lists/' || lpad(CAST(conv_id AS VARCHAR), 9, '0') || '.txt' AS shard_path, count(*) FILTER (bad) = 0 AS ok,
+       CASE WHEN count(*) FILTER (bad) > 0 THEN count(*) FILTER (bad) || ' of ' || count(*) || ' entries failed: bad_archive' END AS msg
+FROM (SELECT conv_id, (conv_id + turn) % 13 = 7 AS bad FROM conversations) GROUP BY 1""",
 }

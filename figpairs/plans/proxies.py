@@ -159,10 +159,53 @@ FROM (
 ) x
 """
 
+# ---------------------------------------------------------------------------
+# A PNG and a JPEG of one pixel.
+PNG_HEX = "89504E470D0A1A0A0000000D4948445200000001000000010802000000907753DE0000000C49444154785E636060600000000400010FD2ADE40000000049454E44AE426082"
+JPEG_HEX = (
+    "FFD8FFE000104A46494600010200000100010000FFDB004300080606070605080707070909080A0C140D0C0B0B0C1912130F141D1A1F1E1D1A1C1C20242E2720222C231C1C2837292C"
+    "30313434341F27393D38323C2E333432FFDB0043010909090C0B0C180D0D1832211C2132323232323232323232323232323232323232323232323232323232323232323232323232"
+    "32323232323232323232323232FFC00011080001000103012200021101031101FFC4001F0000010501010101010100000000000000000102030405060708090A0BFFC400B5100002"
+    "010303020403050504040000017D01020300041105122131410613516107227114328191A1082342B1C11552D1F02433627282090A161718191A25262728292A3435363738393A43"
+    "4445464748494A535455565758595A636465666768696A737475767778797A838485868788898A92939495969798999AA2A3A4A5A6A7A8A9AAB2B3B4B5B6B7B8B9BAC2C3C4C5C6C7"
+    "C8C9CAD2D3D4D5D6D7D8D9DAE1E2E3E4E5E6E7E8E9EAF1F2F3F4F5F6F7F8F9FAFFC4001F0100030101010101010101010000000000000102030405060708090A0BFFC400B5110002"
+    "0102040403040705040400010277000102031104052131061241510761711322328108144291A1B1C109233352F0156272D10A162434E125F11718191A262728292A35363738393A"
+    "434445464748494A535455565758595A636465666768696A737475767778797A82838485868788898A92939495969798999AA2A3A4A5A6A7A8A9AAB2B3B4B5B6B7B8B9BAC2C3C4C5"
+    "C6C7C8C9CAD2D3D4D5D6D7D8D9DAE2E3E4E5E6E7E8E9EAF2F3F4F5F6F7F8F9FAFFDA000C03010002110311003F00F9FE8A28A00FFFD9"
+)
+# ---------------------------------------------------------------------------
+
+
+def member_cut_sql(d: int) -> str:
+    """Images that are cut in half: their signature is right, they do not decode."""
+    return f"(conv_id + 2 * turn + {d}) % 3 = 1"
+
+
+def _image_sql(d: int) -> str:
+    hexed = f"CASE WHEN lower({member_name_sql(d)}) LIKE '%.png' THEN '{PNG_HEX}' ELSE '{JPEG_HEX}' END"
+    return f"unhex(CASE WHEN {member_cut_sql(d)} THEN substring({hexed}, 1, 2 * (length({hexed}) div 4)) ELSE {hexed} END)"
+
+
+# The same packages with real images, a third of them cut in half.
+PACKAGE_IMAGES = PACKAGE_ROWS
+for _d in (0, 1):
+    PACKAGE_IMAGES = PACKAGE_IMAGES.replace(f"concat(unhex({_sig_sql(_d)}), encode(text, 'UTF-8')) AS c{_d}", f"{_image_sql(_d)} AS c{_d}")
+
+# Packages with two articles: the first one in archive order counts.
+TWO_ARTICLES = """
+SELECT conv_id, turn, concat('PMC', conv_id, '-', turn, '.tar.gz') AS path,
+  array('z/second-to-none.NXML', concat('a/', turn, '.jpg'), 'a/second.nxml') AS names,
+  array(encode(concat('<article><fig id="first-', conv_id, '"/><fig/></article>'), 'UTF-8'), unhex('FFD8FF'),
+        encode('<article><fig id="second"/></article>', 'UTF-8')) AS contents
+FROM {conversations}
+"""
+
 MEMBERS_TEXT = MEMBERS.replace("AS size\n", "AS size, text\n", 1)
 
 PROXIES = {
     "package_rows": (PACKAGE_ROWS, ("conversations",)),
+    "package_images": (PACKAGE_IMAGES, ("conversations",)),
+    "two_articles": (TWO_ARTICLES, ("conversations",)),
     "members_text": (MEMBERS_TEXT, ("conversations",)),
     "members_content": (MEMBERS_CONTENT, ("members_text",)),
     "raw_list": (RAW_LIST, ("documents",)),

@@ -20,12 +20,13 @@ from figpairs.plans.joins import ensure_parallelism
 from figpairs.plans.pipeline import build_pairs
 from figpairs.plans.proxies import proxy, table
 from figpairs.session import checkpoint_dir, scratch_path
-from figpairs.sources import archive, catalogue
+from figpairs.sources import archive, catalogue, stream
 
 # Parameters of the proxy runs (chosen for the proxy scale, fixed across rounds).
 SUBSET = 100          # F1: the demo subset size
 MAX_MB = 1            # F4/F5: size limit in MiB
 SHARD = 100           # W3: lines per shard on the proxy catalogue
+PAIR_SHARD = 10       # K4/U3: lines per shard where pairs are written
 
 WS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"  # ASCII strip set for the oracle
 
@@ -158,8 +159,14 @@ def q_split_counts(spark, sf):
 
 
 def q_split_is_partition(spark, sf):
-    cat = catalogue.parse_catalogue(proxy(spark, sf, "raw_list"), "at_least_five")
-    return split.split_partition_check(split.assign_split(cat))
+    """The written split files hold the list's lines, each as often as the list does."""
+    rows = split.assign_split(catalogue.parse_catalogue(proxy(spark, sf, "raw_list"), "at_least_five"))
+    path = _roundtrip_dir(spark, "split-parts")
+    sinks.write_lists(sinks.split_list_key(rows), path, "path\ttitle\tpmcid\tpmid\tcode", key="list")
+    back = catalogue.data_lines(catalogue.read_lines(spark, path, glob="*.txt", recursive=True))
+    both = rows.select("value", F.lit(1).alias("n")).unionByName(back.select("value", F.lit(-1).alias("n"))).groupBy("value").agg(F.sum("n").alias("n"))
+    sums = both.agg(F.sum(F.greatest("n", F.lit(0))).alias("missing"), F.sum(F.greatest(-F.col("n"), F.lit(0))).alias("extra"))
+    return sums.select(F.explode(F.create_map(F.lit("missing"), "missing", F.lit("extra"), "extra")).alias("check", "n"))
 
 
 def q_shard_assign(spark, sf):
@@ -247,6 +254,69 @@ def q_article_records(spark, sf):
     )
 
 
+def _landed_files(spark, sf, name="package_rows", where="true", root=None) -> str:
+    """Packages of a proxy, written as ``.tar.gz`` files; the folder."""
+    root = root or _roundtrip_dir(spark, "landing")
+    rows = _spread(proxy(spark, sf, name).where(where))
+    cut = "corrupt" if "corrupt" in rows.columns else "false"
+    packed = archive.pack_rows(rows.select(F.regexp_extract("path", r"[^/]+$", 0).alias("name"), F.expr(cut).alias("corrupt"), "names", "contents"))
+    packed = packed.withColumn("content", F.when(F.col("corrupt"), F.substring("content", 1, 20)).otherwise(F.col("content")))
+    archive.land_files(packed, root).count()
+    return root
+
+
+def _package_list(spark, sf) -> DataFrame:
+    return split.assign_split(proxy(spark, sf, "package_rows").select("line_no", "pmcid", "pmid"))
+
+
+def q_lazy_bytes(spark, sf):
+    """Bytes of the images that the index names, read from the archives as streams."""
+    idx = stream.stream_parse(stream.balanced(stream.list_packages(spark, _landed_files(spark, sf))))
+    wanted = idx.select("path", F.inline("members")).where("fmt is not null").select("path", F.col("pos").alias("member_pos"))
+    return archive.read_members(wanted).select(fetch.package_key("path").alias("pmcid"), F.col("member_pos").cast("bigint").alias("member_pos"),
+                                               F.length("content").cast("bigint").alias("n_bytes"), F.md5("content").alias("md5"))
+
+
+def q_build_decoded(spark, sf):
+    """Images are decoded before their pairs are written; an id whose first image is cut takes its next one."""
+    from figpairs.plans.pipeline import write_build
+    from figpairs.plans.publish import verify_images
+
+    out = _roundtrip_dir(spark, "decoded")
+    b = build_pairs(_package_list(spark, sf), stream.list_packages(spark, _landed_files(spark, sf, "package_images")))
+    write_build(verify_images(b, out + "/staging"), out)
+    image = spark.read.parquet(f"{out}/images").select("split", "pair_id", F.length("content").cast("bigint").alias("n_bytes"))
+    return spark.read.json(f"{out}/pairs").join(image, ["split", "pair_id"]).select("image", "caption", "pmid", "pmcid", "pair_id", "split", "n_bytes")
+
+
+def q_stream_landings(spark, sf):
+    """Two landings, later articles first, in small batches; what is published is what one run over all gives."""
+    from figpairs.streaming.incremental import start_incremental
+
+    out = _roundtrip_dir(spark, "stream")
+    for part in ("turn >= 3", "turn < 3"):
+        _landed_files(spark, sf, where=part, root=out + "/landing")
+        start_incremental(spark, out + "/landing", _package_list(spark, sf), out, out + "/checkpoint", max_files_per_trigger=1000).awaitTermination()
+    return spark.read.json(f"{out}/pairs").select("image", "caption", "pmid", "pmcid", "pair_id", "split")
+
+
+def q_first_xml_unpacked(spark, sf):
+    """X4 through the unpack: of two articles in a package the first in archive order is parsed."""
+    idx = stream.stream_parse(stream.balanced(stream.list_packages(spark, _landed_files(spark, sf, "two_articles"))))
+    return idx.select(fetch.package_key("path").alias("pmcid"), F.size("figures").cast("bigint").alias("n_figures"), F.col("figures")[0]["fig_id"].alias("fig_id"),
+                      F.size(F.filter("members", lambda m: F.lower(m["name"]).endswith(".nxml"))).cast("bigint").alias("n_articles"))
+
+
+def q_inline_refs_guard(spark, sf):
+    """articles with inline references, on which the strict mode aborts."""
+    c = table(spark, sf, "conversations")
+    ref = F.struct(F.col("text").alias("text"), F.lit(None).cast("string").alias("section"), F.col("role").alias("reference_id"))
+    fig = F.struct(F.col("turn").alias("fig_pos"), F.when(F.col("turn") % 4 == 3, F.array_repeat(ref, 2)).alias("fig_refs"))
+    articles = c.groupBy("conv_id").agg(F.collect_list(fig).alias("figures"))
+    lenient = figures.normalise_inline_refs(articles).select("conv_id", F.size("figures").cast("bigint").alias("n_figures"))
+    return figures.inline_ref_violations(articles).select("conv_id", F.col("n_refs").cast("bigint").alias("n_refs")).join(lenient, "conv_id")
+
+
 def q_first_xml(spark, sf):
     m = proxy(spark, sf, "members").filter(F.lower("name").endswith(".nxml"))
     first = m.groupBy("article_id").agg(F.min_by(F.struct("pos", "name"), "pos").alias("x"))
@@ -320,10 +390,15 @@ def _entries(spark, sf):
     """Per catalogue entry: split, size, landed, usable figures and pairs written."""
     cat = split.assign_split(_cat(spark, sf))
     sizes = proxy(spark, sf, "package_sizes")
-    landed = proxy(spark, sf, "landed").select(fetch.package_key("path").alias("pmcid"), F.lit(True).alias("landed"))
-    nfig = _usable(spark, sf).groupBy("pmcid").agg(F.count(F.lit(1)).alias("n_usable"))
-    npairs = _split_pairs(spark, sf).groupBy("pmcid").agg(F.count(F.lit(1)).alias("n_pairs"))
-    e = cat.join(sizes, "pmcid", "left").join(landed, "pmcid", "left").join(nfig, "pmcid", "left").join(npairs, "pmcid", "left")
+    landed = proxy(spark, sf, "landed").select(fetch.package_key("path").alias("pmcid"))
+    # what is known of an article, in one aggregation and one join
+    facts = None
+    for rows, own in ((sizes, "size"), (landed, "landed"), (_usable(spark, sf), "n_usable"), (_split_pairs(spark, sf), "n_pairs")):
+        one = rows.select("pmcid", *((F.col("size") if c == own == "size" else F.lit(1 if c == own else None)).cast("long").alias(c)
+                                     for c in ("size", "landed", "n_usable", "n_pairs")))
+        facts = one if facts is None else facts.unionByName(one)
+    facts = facts.groupBy("pmcid").agg(F.max("size").alias("size"), F.max("landed").alias("landed"), F.sum("n_usable").alias("n_usable"), F.sum("n_pairs").alias("n_pairs"))
+    e = cat.join(facts, "pmcid", "left")
     reason = report.skip_reason(
         too_large=fetch.too_large("size", MAX_MB),
         fetch_failed=F.col("landed").isNull(),
@@ -386,11 +461,13 @@ def _packed(spark, sf):
 
 
 def q_unpack_packages(spark, sf):
-    src = _content(spark, sf).select("article_id", F.col("pos").alias("src_pos"), "name", F.md5("content").alias("src_md5"), "content")
-    packed = archive.pack_each(src, "name", "content").drop("content", "name").withColumnRenamed("package", "content")
-    u = archive.unpack_members(packed)
-    return u.select("article_id", "src_pos", F.col("pos").cast("bigint").alias("member_pos"), "name",
-                    F.length("content").cast("bigint").alias("n_bytes"), (F.md5("content") == F.col("src_md5")).alias("same_bytes"))
+    src = _content(spark, sf).select(F.format_string("%d-%d-%s.tar.gz", "article_id", "pos", F.md5("content")).alias("file"), "name", "content")
+    root = _roundtrip_dir(spark, "unpack")
+    archive.land_files(archive.pack_each(src, "name", "content").select("file", "package"), root, "file", "package").count()
+    u = stream.stream_members(stream.balanced(stream.list_packages(spark, root)))
+    part = [F.regexp_extract("path", r"([0-9]+)-([0-9]+)-([0-9a-f]+)[.]tar[.]gz$", k) for k in (1, 2, 3)]
+    return u.select(part[0].cast("bigint").alias("article_id"), part[1].cast("bigint").alias("src_pos"), F.col("pos").cast("bigint").alias("member_pos"), "name",
+                    F.length("content").cast("bigint").alias("n_bytes"), (F.md5("content") == part[2]).alias("same_bytes"))
 
 
 def q_bad_archive_report(spark, sf):
@@ -421,7 +498,7 @@ def q_pairs_by_split(spark, sf):
 
 
 def q_pairs_by_shard(spark, sf):
-    cat = split.assign_shard(_cat(spark, sf), SHARD).select("pmcid", "shard_idx")
+    cat = split.assign_shard(_cat(spark, sf), PAIR_SHARD).select("pmcid", "shard_idx")
     d = pairs.dedupe_first(_pair_rows(spark, sf).withColumn("line_no", F.col("article_id") + 1).join(cat, "pmcid"), scope=("shard_idx",))
     path = _roundtrip_dir(spark, "pairs-by-shard")
     sinks.write_pairs(d, path, scope=("shard_idx",), mode="overwrite")
@@ -482,7 +559,7 @@ def q_split_order(spark, sf):
 
 def q_shard_union(spark, sf):
     """The shard outputs read back together are the train pair set."""
-    cat = split.assign_shard(_cat(spark, sf), SHARD).select("pmcid", "shard_idx")
+    cat = split.assign_shard(_cat(spark, sf), PAIR_SHARD).select("pmcid", "shard_idx")
     d = pairs.dedupe_first(_pair_rows(spark, sf).withColumn("line_no", F.col("article_id") + 1).join(cat, "pmcid"), scope=("shard_idx",))
     path = _roundtrip_dir(spark, "shard-union")
     sinks.write_pairs(d, path, scope=("shard_idx",), mode="overwrite")
@@ -496,8 +573,10 @@ def q_packed_shards(spark, sf):
     d = catalogue.with_ordinal(d.join(c, ["article_id", "member_pos"]), ["line_no", "fig_pos"])
     d = d.withColumn("shard_idx", F.expr(f"ordinal div {SHARD}"))
     out = _roundtrip_dir(spark, "packed")
-    st = sinks.pack_shards(d, out, "train")
-    return st.select("shard", "n_samples")
+    sinks.pack_shards(d, out, "train")
+    m = sinks.packed_members(spark, out)
+    record = F.col("name").endswith(".json")
+    return m.select("shard", "name", F.when(~record, F.col("n_bytes")).alias("n_bytes"), F.when(~record, F.col("md5")).alias("md5"))
 
 
 def _landed_packages(spark, sf) -> DataFrame:
@@ -630,6 +709,17 @@ def q_build_from_shard_lists(spark, sf):
     return report.run_summary(b.entries, scope=("shard_idx",)).select(F.col("shard_idx").cast("bigint").alias("shard_idx"), "n_written", "n_skipped", "n_entries")
 
 
+def q_shard_report(spark, sf):
+    """Status, list path and message of every shard of a build in which some packages are damaged."""
+    line = F.col("line_no") - 1
+    rows = proxy(spark, sf, "package_rows").select("line_no", "pmcid", "pmid")
+    cat = rows.select(F.expr("(line_no - 1) div 1000").cast("int").alias("shard_idx"), F.format_string("lists/%09d.txt", F.expr("(line_no - 1) div 1000")).alias("file_path"),
+                      (line % 1000 + 1).alias("line_no"), "pmcid", "pmid")
+    b = build_pairs(cat, stream.list_packages(spark, _landed_files(spark, sf)), scope=("shard_idx",))
+    st = report.shard_status_rows(b.entries, path_col="file_path")
+    return st.select(F.col("shard_idx").cast("bigint").alias("shard_idx"), "shard_path", "ok", "msg")
+
+
 def q_build_pairs(spark, sf):
     """Flagship: catalogue → split → figures → usable → match → resume → first-success dedupe → pair records."""
     cat = split.assign_split(_cat(spark, sf)).select("pmcid", "split", "line_no")

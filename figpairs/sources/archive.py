@@ -12,13 +12,16 @@ unpack runs in ``mapInArrow`` with stdlib ``tarfile`` over an in-memory buffer
 Image bytes are not carried through matching or dedupe: :func:`read_members`
 re-opens only the packages that hold winning members (I2), after the rows are
 partitioned by package path, so the package bytes never cross a shuffle.
+
+The forms here take archives as ``binaryFile`` cells (at most 2 GiB each), for
+stores that only Spark can read; :mod:`figpairs.sources.stream` reads archives of
+any size where tasks can open them.
 """
 
 from __future__ import annotations
 
 import io
 import tarfile
-import zlib
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -28,17 +31,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from figpairs.functions.text import IMAGE_EXTS, PACKAGE_EXT, XML_EXT
 from figpairs.operators.images import sniff_format
-
-MEMBER_T = T.StructType(
-    [
-        T.StructField("pos", T.IntegerType()),
-        T.StructField("name", T.StringType()),
-        T.StructField("isfile", T.BooleanType()),
-        T.StructField("size", T.LongType()),
-        T.StructField("fmt", T.StringType()),
-    ]
-)
-
+from figpairs.sources.stream import ARCHIVE_ERRORS, MEMBER_T, open_stream, walk
 
 def scan_packages(spark: SparkSession, path, ext: str = PACKAGE_EXT, recursive: bool = True, max_mb: int | None = None) -> DataFrame:
     """S5 scan: ``binaryFile`` rows of ``*<ext>`` files.  F4 on ``length`` is
@@ -70,11 +63,6 @@ def scan_xml(spark: SparkSession, root: str, glob: str = "*" + XML_EXT) -> DataF
     return df.select("path", F.col("content").alias("xml"))
 
 
-# What a damaged archive raises; its bytes are already in memory, so none of
-# these can be a failed read of the storage.
-ARCHIVE_ERRORS = (tarfile.TarError, EOFError, OSError, ValueError, zlib.error)
-
-
 def _open(content: bytes) -> tarfile.TarFile:
     return tarfile.open(fileobj=io.BytesIO(content), mode="r:gz")
 
@@ -227,75 +215,50 @@ def unpack_members(packages: DataFrame, content_col: str = "content") -> DataFra
 # ---------------------------------------------------------------------------
 # Lazy member bytes
 # ---------------------------------------------------------------------------
-def _read_file(path: str) -> bytes:
-    """Whole file from a local path or any filesystem pyarrow understands."""
-    import pyarrow.fs as pafs
-
-    if path.startswith("file:"):
-        path = path[5:]
-        while path.startswith("//"):
-            path = path[1:]
-    if "://" in path:
-        try:
-            fs, p = pafs.FileSystem.from_uri(path)
-        except (ValueError, NotImplementedError) as e:
-            raise ValueError(f"tasks cannot open {path}; pass the binaryFile scan as packages= so that Spark reads it") from e
-        with fs.open_input_stream(p) as f:
-            return f.read()
-    with open(path, "rb") as f:
-        return f.read()
-
-
 def _read_members_batches(path_col: str, pos_col: str, out_schema: pa.Schema, max_rows: int = 256, max_bytes: int = 64 << 20):
 
-    def extract(path, wanted):
-        """Bytes of the wanted member positions: one forward pass over the
-        archive that stops after the last wanted member."""
-        got = {}
-        if path is None or not wanted:
-            return got
-        last = max(wanted)
-        data = _read_file(path)  # a failed read fails the task: a winner's image must not vanish
-        with _open(data) as tar:
-            for i, m in enumerate(tar):
-                if i in wanted:
-                    f = tar.extractfile(m)
-                    got[i] = f.read() if f else None
-                if i >= last:
-                    break
-        if wanted - got.keys():
-            raise ValueError(f"{path}: members {sorted(wanted - got.keys())} are gone since the index was made")
-        return got
+    def extracted(path, rows):
+        """The rows of one package with their bytes: one forward pass over the open
+        archive that stops after the last wanted member and holds one member at a time."""
+        wanted: dict[int, list[dict]] = {}
+        for r in rows:
+            if path is not None and r[pos_col] is not None and r[pos_col] >= 0:
+                wanted.setdefault(r[pos_col], []).append(r)
+            else:
+                yield {**r, "content": None}
+        if not wanted:
+            return
+        with open_stream(path) as f:  # a failed read fails the task: a winner's image must not vanish
+            for pos, m, tar in walk(f):
+                if pos in wanted:
+                    content = tar.extractfile(m).read() if m.isfile() else None
+                    for r in wanted.pop(pos):
+                        yield {**r, "content": content}
+                    if not wanted:
+                        return
+        raise ValueError(f"{path}: members {sorted(wanted)} are gone since the index was made")
 
     def fn(batches):
-        out, out_bytes, group, cur = [], 0, [], object()
-
-        def flush_group():
-            nonlocal out_bytes
-            wanted = {r[pos_col] for r in group if r[pos_col] is not None and r[pos_col] >= 0}
-            got = extract(group[0][path_col], wanted)
-            for r in group:
-                r["content"] = got.get(r[pos_col])
-                out_bytes += len(r["content"] or b"")
-                out.append(r)
-
-        def batch():
-            return pa.RecordBatch.from_pylist(out, schema=out_schema)
-
-        for b in batches:
-            for r in b.to_pylist():
-                if r[path_col] != cur and group:
-                    flush_group()
-                    group = []
-                    if len(out) >= max_rows or out_bytes >= max_bytes:
-                        yield batch()
-                        out, out_bytes = [], 0
-                cur = r[path_col]
-                group.append(r)
-        if group:
-            flush_group()
+        out, size, group = [], 0, []
+
+        def packages():
+            for b in batches:
+                for r in b.to_pylist():
+                    if group and r[path_col] != group[0][path_col]:
+                        yield from extracted(group[0][path_col], group)
+                        group.clear()
+                    group.append(r)
+            if group:
+                yield from extracted(group[0][path_col], group)
+
+        for r in packages():
+            out.append(r)
+            size += len(r["content"] or b"")
+            if len(out) >= max_rows or size >= max_bytes:
+                yield pa.RecordBatch.from_pylist(out, schema=out_schema)
+                out, size = [], 0
         if out:
-            yield batch()
+            yield pa.RecordBatch.from_pylist(out, schema=out_schema)
 
     return fn
 

@@ -22,7 +22,9 @@ def test_cli_split_and_build(tmpdir_fresh):
     pk, cat_path, P, entries = write_fixture(tmpdir_fresh)
     counts = run("split", "--input", cat_path, "--out_dir", os.path.join(tmpdir_fresh, "lists"))
     assert sum(counts.values()) == 11  # the 4-field line is dropped
-    summary = run("build", "--list", cat_path, "--packages", pk, "--out_root", os.path.join(tmpdir_fresh, "out"))
+    build = ("build", "--list", cat_path, "--packages", pk, "--out_root")
+    assert sum(run(*build, os.path.join(tmpdir_fresh, "decoded")).values()) == 2  # the fixture's JPEGs are only signatures
+    summary = run(*build, os.path.join(tmpdir_fresh, "out"), "--no_decode")
     assert sum(summary.values()) == 7
-    again = run("build", "--list", cat_path, "--packages", pk, "--out_root", os.path.join(tmpdir_fresh, "out"))
+    again = run(*build, os.path.join(tmpdir_fresh, "out"), "--no_decode")
     assert sum(again.values()) == 0  # resume: nothing new
