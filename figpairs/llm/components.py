@@ -1,4 +1,9 @@
-"""Connected components by alternating large-star and small-star steps."""
+"""Connected components by alternating large-star and small-star steps.
+
+Defined results: a link with a null end and a link of a node to itself link
+nothing; repeated and turned links count once; without links there are no rows;
+nodes that no link names do not appear.  A component takes its smallest node.
+"""
 
 from __future__ import annotations
 
