@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from figpairs.llm.common import WordTable, by_bytes, worker_cache
 
 SLOTS = 1 << 17
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 16 << 20
 # First code points of ranges, each with the script that letters
 # from there on (to the next range) belong to.
 SCRIPTS = [
