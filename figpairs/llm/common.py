@@ -108,6 +108,23 @@ def by_bytes(batches, column: int, most: int, rows: int = 4096):
             at = min(end, b.num_rows)
 
 
+def joined_by_bytes(batches, column: int, most: int, rows: int = 4096):
+    """Like :func:`by_bytes`, but small batches are joined first: sizes do not depend on the session's batches."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    held, n, size = [], 0, 0
+    for part in by_bytes(batches, column, most, rows):
+        own = pc.sum(pc.binary_length(part.column(column))).as_py() or 0
+        if held and (n + part.num_rows > rows or size + own > most):
+            yield pa.concat_batches(held)
+            held, n, size = [], 0, 0
+        held.append(part)
+        n, size = n + part.num_rows, size + own
+    if held:
+        yield pa.concat_batches(held)
+
+
 class WordTable:
     """Rows of numbers per distinct word, computed once per Python worker.
 

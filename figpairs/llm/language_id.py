@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from figpairs.llm.common import WordTable, by_bytes, worker_cache
+from figpairs.llm.common import WordTable, joined_by_bytes, worker_cache
 
 SLOTS = 1 << 17
 BATCH_BYTES = 16 << 20
@@ -194,7 +194,7 @@ def language_spans(docs: DataFrame, model: dict, id_col: str = "doc_id", text_co
             held.update(key=key, words=WordTable(lambda ws: word_scores(m, ws), n_lang + 1))
         words = held["words"]
         kinds = pa.list_(pa.struct([("first", pa.int64()), ("words", pa.int64()), ("lang", pa.string())]))
-        for part in by_bytes(batches, 1, BATCH_BYTES, 1024):
+        for part in joined_by_bytes(batches, 1, BATCH_BYTES, 1024):
             if part.num_rows:
                 texts = [(t or "").encode().split() for t in part.column(1).to_pylist()]
                 index = words.lookup(texts) if n_lang else [np.zeros(0, np.int64) for _ in texts]

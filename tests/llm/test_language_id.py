@@ -84,3 +84,17 @@ def test_edge_rows(docs, no_docs):
     empty = learn(no_docs, F.lit(True))
     assert {r.lang_pred for r in language_spans(docs, empty).collect()} == {"und"}
     assert language_spans(no_docs, model).count() == 0
+
+
+def test_results_do_not_depend_on_the_sessions_batches(spark):
+    df = documents(spark, corpus(200, seed=5)).coalesce(1)
+    model = learn(df, F.lit(True))
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, got = spark.conf.get(key, None), []
+    try:
+        for n in ("1", "64", "10000"):
+            spark.conf.set(key, n)
+            got.append(sorted(map(tuple, language_spans(df, model).collect())))
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+    assert got[0] == got[1] == got[2] and len(got[0]) == 200
