@@ -52,6 +52,7 @@ def main(argv=None) -> None:
     b.add_argument("--subset_size", type=int, default=None)
     b.add_argument("--max_filesize_mb", type=int, default=None)
     b.add_argument("--no_resume", action="store_true")
+    b.add_argument("--id_index", action="store_true", help="keep published ids in a bucketed table (OUT_ROOT/ids); resume reads new batches only")
     b.add_argument("--no_decode", action="store_true", help="take an image's signature for its validity")
     b.add_argument("--staging", default=None, help="folder for images while they are checked (default: OUT_ROOT/staging)")
     a = sub.add_parser("articles")
@@ -64,7 +65,7 @@ def main(argv=None) -> None:
     from figpairs.operators import report, split
     from figpairs.plans import pipeline, sinks
     from figpairs.plans.publish import verify_images
-    from figpairs.sources import catalogue, stream
+    from figpairs.sources import catalogue, ids, stream
     from figpairs.streaming.incremental import existing_pairs
 
     if args.cmd == "split":
@@ -81,8 +82,9 @@ def main(argv=None) -> None:
             cat = split.assign_split(catalogue.read_catalogue(spark, args.list, subset=args.subset_size))
             scope = ("split",)
         resume = not args.no_resume
+        prior = ids.sync_ids if args.id_index else existing_pairs
         b = pipeline.build_pairs(cat, stream.list_packages(spark, args.packages), scope=scope, resume=resume,
-                                 existing=existing_pairs(spark, args.out_root, scope) if resume else None,
+                                 existing=prior(spark, args.out_root, scope) if resume else None,
                                  max_mb=args.max_filesize_mb)
         if not args.no_decode:
             b = verify_images(b, args.staging or f"{args.out_root}/staging", scope=scope)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from figpairs.functions.text import IMAGE_PATH_FORMAT, PAIR_ID_FORMAT, nonempty_or, py_strip
 from figpairs.schemas import PAIR_FIELDS
+from figpairs.sources.ids import KEY, IdIndex, id_key
 
 
 def usable(caption_col: str = "fig_caption", ref_col: str = "graphic_ref") -> Column:
@@ -54,8 +55,19 @@ def to_pair_records(df: DataFrame, keep=(), key_on: str = "pmid") -> DataFrame:
     return out.select(*PAIR_FIELDS, *keep)
 
 
-def resume_anti(pairs: DataFrame, existing: DataFrame, scope=()) -> DataFrame:
-    """Drop pairs whose ``pair_id`` (within the same scope) already exists."""
+def resume_anti(pairs: DataFrame, existing: DataFrame | IdIndex, scope=()) -> DataFrame:
+    """Drop pairs whose ``pair_id`` (within the same scope) already exists.
+
+    With an index (:func:`figpairs.sources.ids.sync_ids`) the prior side is not
+    shuffled: the distinct new ids are dealt out into the index's buckets, and
+    the pairs lose those that are found there.
+    """
+    if isinstance(existing, IdIndex):
+        keyed = pairs.withColumn(KEY, id_key(scope))
+        asked = keyed.select(KEY).distinct().repartition(existing.buckets, KEY)
+        # inner, as a semi join would be pushed below the repartition and the prior side be shuffled
+        known = asked.join(existing.ids, KEY).select(KEY)
+        return keyed.join(known, KEY, "left_anti").select(*pairs.columns)
     on = list(scope) + ["pair_id"]
     return pairs.join(existing.select(*on), on, "left_anti")
 
@@ -74,7 +86,7 @@ def dedupe_first(pairs: DataFrame, scope=(), order=("line_no", "fig_pos"), key:
     return pairs.groupBy(*grp).agg(first).select(*grp, "_r.*").select(*pairs.columns)
 
 
-def build_pair_rows(pairs: DataFrame, existing: DataFrame | None = None, scope=(), resume: bool = True,
+def build_pair_rows(pairs: DataFrame, existing: DataFrame | IdIndex | None = None, scope=(), resume: bool = True,
                     order=("line_no", "fig_pos")) -> DataFrame:
     """J4 then W1, both only when ``resume`` is on (with it off nothing is removed)."""
     if not resume:
@@ -84,7 +96,7 @@ def build_pair_rows(pairs: DataFrame, existing: DataFrame | None = None, scope=(
     return dedupe_first(pairs, scope, order)
 
 
-def to_pairs(matched: DataFrame, existing: DataFrame | None = None, scope=("split",), resume: bool = True,
+def to_pairs(matched: DataFrame, existing: DataFrame | IdIndex | None = None, scope=("split",), resume: bool = True,
              order=("line_no", "fig_pos"), key_on: str = "pmid") -> DataFrame:
     """Matched figure rows → pair records with resume and first-success dedupe
     (F10, F11, F13, J4, W1).  ``matched`` carries the figure, its resolved

@@ -336,3 +336,4 @@ SELECT conv_id AS shard_idx, 'lists/' || lpad(CAST(conv_id AS VARCHAR), 9, '0')
        CASE WHEN count(*) FILTER (bad) > 0 THEN count(*) FILTER (bad) || ' of ' || count(*) || ' entries failed: bad_archive' END AS msg
 FROM (SELECT conv_id, (conv_id + turn) % 13 = 7 AS bad FROM conversations) GROUP BY 1""",
 }
+ORACLE["resume_indexed"] = ORACLE["resume_anti"]

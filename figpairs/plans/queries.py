@@ -20,7 +20,7 @@ from figpairs.plans.joins import ensure_parallelism
 from figpairs.plans.pipeline import build_pairs
 from figpairs.plans.proxies import proxy, table
 from figpairs.session import checkpoint_dir, scratch_path
-from figpairs.sources import archive, catalogue, stream
+from figpairs.sources import archive, catalogue, ids, stream
 
 # Parameters of the proxy runs (chosen for the proxy scale, fixed across rounds).
 SUBSET = 100          # F1: the demo subset size
@@ -212,6 +212,18 @@ def q_resume_anti(spark, sf):
     return pairs.resume_anti(u, existing).select("article_id", "fig_pos", "pair_id")
 
 
+def q_resume_indexed(spark, sf):
+    """Prior output published in two rounds of batches, indexed after each; what is left of the new pairs."""
+    u = _usable(spark, sf).withColumn("pair_id", pairs.pair_id("pmid", "fig_id"))
+    prior = catalogue.existing_pair_ids(_prior_lines(spark, sf), distinct=False)
+    prior = prior.withColumn("batch", F.concat(F.lit("run-"), F.pmod(F.xxhash64("pair_id"), F.lit(3)).cast("string")))
+    out, index = _roundtrip_dir(spark, "indexed"), None
+    for later in (False, True):
+        prior.where((F.col("batch") == "run-2") == F.lit(later)).write.mode("append").partitionBy("batch").json(f"{out}/pairs")
+        index = ids.sync_ids(spark, out, scope=(), buckets=8)
+    return (u if index is None else pairs.resume_anti(u, index)).select("article_id", "fig_pos", "pair_id")
+
+
 def q_allowlist_semi(spark, sf):
     train = split.assign_split(_cat(spark, sf)).filter(F.col("split") == "train")
     return pairs.filter_allowlist(proxy(spark, sf, "figures"), train, "pmcid").select("article_id", "fig_pos", "pmcid")

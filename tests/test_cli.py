@@ -28,3 +28,5 @@ def test_cli_split_and_build(tmpdir_fresh):
     assert sum(summary.values()) == 7
     again = run(*build, os.path.join(tmpdir_fresh, "out"), "--no_decode")
     assert sum(again.values()) == 0  # resume: nothing new
+    # the same with the published ids in a bucketed table, which a new process finds again
+    assert [sum(run(*build, os.path.join(tmpdir_fresh, "indexed"), "--no_decode", "--id_index").values()) for _ in range(3)] == [7, 0, 0]
