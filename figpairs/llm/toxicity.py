@@ -10,17 +10,23 @@ that their best pieces make.
 
 Learning: a bounded sample of labelled rows (``sample`` of each class, in the
 order of the md5 of their ids) is split into sentences.  A label belongs to a
-whole document, so the sentences of a toxic document that hold one of the
-words that occur in such sentences beyond chance are the positive ones, and
-their most telling words the witnesses; all sentences of clean documents are
-negative.  Equal sentences count once, else copied documents would make any
-word of theirs telling.  Nystrom landmarks, half of them witnesses, half clean words, map
-words into a space where a linear support vector machine is trained; clean
-words that it takes for toxic join its negatives and landmarks and it is
-trained again, a few times over.  As the
-kernel is a dot product of triple weights, the machine's function of a word is
-one table of triple weights; triples are hashed into ``SLOTS`` slots, which
-bounds what goes to the executors.
+whole document: all sentences of clean documents are negative, but of a toxic
+one only some are positive, so one sentence stands for each (multiple-instance
+learning, the positive set of a maximal-margin machine over bags).  It is the
+one that holds the document's most telling word, by a lower bound of the word's
+odds between toxic and clean sentences; that word is its witness.  Words that
+merely come along in toxic documents lose to the insult beside them and are not
+learned.  Words as telling as half of the witnesses, to a factor e, are witnesses
+too, else an insult that seldom comes alone would be a negative one.  Equal
+sentences count once, else copied documents would make any word of theirs
+telling.  A witness weighs by the root of the number of its sentences.
+
+Nystrom landmarks, half of them witnesses, half clean words, map words into a
+space where a linear support vector machine is trained; clean words that it
+takes for toxic join its negatives and landmarks and it is trained again, a few
+times over.  As the kernel is a dot product of triple weights, the machine's
+function of a word is one table of triple weights; triples are hashed into
+``SLOTS`` slots, which bounds what goes to the executors.
 
 A sentence's score is its worst word's.  A document's score, 0 to 1, comes from
 its three worst words and its length by a logistic fit on the sample's
@@ -122,6 +128,11 @@ def beyond_chance(hits: int, n: int, share: float) -> float:
     return min(1.0, sum(map(math.exp, logs)))
 
 
+def telling_odds(pos: int, neg: int) -> float:
+    """Lower bound (two standard errors) of the logarithm of a word's odds between toxic and clean sentences."""
+    return math.log((pos + 0.5) / (neg + 0.5)) - 2 * math.sqrt(1 / (pos + 0.5) + 1 / (neg + 0.5))
+
+
 def logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Logistic fit of 0/1 labels on the columns of ``x`` (the last is 1), with smoothed targets."""
     pos, neg = (y > 0).sum(), (y <= 0).sum()
@@ -168,13 +179,25 @@ def fit(texts: list[bytes], toxic: np.ndarray, landmarks: int = 256, clean_words
     chance = 1e-3 / math.sqrt(len(in_pos) + 1)
     telling = {w for w, n in in_pos.items()
                if n >= 2 and n / (n + in_neg.get(w, 0)) >= (1 + share) / 2 and beyond_chance(n, n + in_neg.get(w, 0), share) < chance}
-    if not telling:
+    odds = {w: telling_odds(in_pos[w], in_neg.get(w, 0)) for w in telling}
+    elected: dict[str, set[int]] = {}  # by witness, the distinct sentences that stand for toxic documents
+    for text, bad in zip(texts, toxic):
+        best = None
+        for part in SENTENCE.split(text) if bad else ():
+            if met[hash(part)]:
+                for w in {p for w in part.split() if len(p := plain(w)) > 1} & telling:
+                    if best is None or (odds[w], w) > best[:2]:
+                        best = odds[w], w, hash(part)
+        if best:
+            elected.setdefault(best[1], set()).add(best[2])
+    if not elected:
+        return None
+    witness = {w: len(e) for w, e in elected.items() if len(e) > in_neg.get(w, 0)}
+    # words that seldom come alone are elected seldom: those about as telling as half of the elections' words stand too
+    enough = float(np.median([odds[w] for w, e in elected.items() for _ in e])) - 1
+    witness.update({w: in_pos[w] for w in telling if odds[w] >= enough})
+    if not witness:
         return None
-    witness: dict[str, int] = {}
-    for words, bad in distinct_sentences():
-        if bad:
-            for w in words & telling:
-                witness[w] = witness.get(w, 0) + 1
     positives = sorted(witness, key=lambda w: (-witness[w], w))
     often = sorted(in_neg, key=lambda w: (-in_neg[w], w))
     often = [w for w in often if w not in witness]
@@ -191,7 +214,8 @@ def fit(texts: list[bytes], toxic: np.ndarray, landmarks: int = 256, clean_words
         to_space = vector[:, good] / np.sqrt(value[good])
         words = positives + negatives
         y = np.array([1.0] * len(positives) + [-1.0] * len(negatives))
-        weight = np.where(y > 0, 0.5 / len(positives), 0.5 / len(negatives)) * len(y)
+        stands = np.sqrt([witness[w] for w in positives])
+        weight = np.concatenate([0.5 * stands / stands.sum(), np.full(len(negatives), 0.5 / len(negatives))]) * len(y)
         w = linear_svm(kernel(words, marks) @ to_space, y, weight)
         table = np.zeros(SLOTS)
         s, t, owner = triples(marks)

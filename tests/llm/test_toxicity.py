@@ -66,6 +66,21 @@ def test_gapped_insults_are_found(model):
     assert (s[:3] >= 0.7).all() and s[3] > 0.5 and s[4] < 0.2, s
 
 
+def test_words_that_come_along_with_insults_are_not_learned():
+    """``verein`` is in half of the toxic and a tenth of the clean documents; ``trash`` never comes without another insult."""
+    rows, labels = corpus(1200)
+    texts, toxic = [], np.array([y == 1 for _, y in labels])
+    for k, ((_, t, *_), bad) in enumerate(zip(rows, toxic)):
+        t += " trash" if bad and k % 3 == 0 else ""
+        texts.append((t + (" verein" if k % (2 if bad else 10) == 0 else "")).encode())
+    model = fit(texts, toxic)
+    f = dict(zip(["verein", "trash", *INSULTS], plain_scores(model, ["verein", "trash", *INSULTS])))
+    assert f["verein"] < 0 and min(v for w, v in f.items() if w != "verein") > 0.5, f
+    filler = "the ther reon inerst on an " * 8
+    s = scores(model, document_features(model, [(filler + w).encode() for w in ("trash idiot", "verein verein", "the the")]))  # toxic documents hold two insults or more
+    assert s[0] > 0.7 and s[1] < 0.3 and s[2] < 0.3, s
+
+
 def test_held_out_accuracy(spark):
     rows, labels = corpus()
     df = documents(spark, rows)
