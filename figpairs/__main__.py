@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import argparse
 import json
+import sys
 
 from pyspark.sql import SparkSession
 
@@ -88,8 +89,9 @@ def main(argv=None) -> None:
                                  max_mb=args.max_filesize_mb)
         if not args.no_decode:
             b = verify_images(b, args.staging or f"{args.out_root}/staging", scope=scope)
-        pipeline.write_build(b, args.out_root, scope=scope)
-        print(json.dumps({r[0]: r["n_written"] for r in report.run_summary(b.entries, scope=scope).collect()}))
+        done = pipeline.write_build(b, args.out_root, scope=scope, entries=True)
+        print("skipped: " + json.dumps({k: n for k, n in done.counts.items() if k in report.SKIP_REASONS and n}), file=sys.stderr)
+        print(json.dumps({r[0]: r["n_written"] for r in report.run_summary(done.entries, scope=scope).collect()}))
     elif args.cmd == "articles":
         arts = pipeline.build_articles(spark, args.xml_root)
         sinks.write_articles(arts, args.out)

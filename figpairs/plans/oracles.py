@@ -144,6 +144,16 @@ SELECT pmcid || '/' || pmcid || '_fig-' || fig_id || '.jpg' AS image, caption, p
 SELECT CASE WHEN (conv_id + turn) % 13 = 7 THEN 'bad_archive'
             WHEN conv_id * 1000 + turn + 1 IN (SELECT line_no FROM pdd) THEN 'ok' ELSE 'no_pair_written' END AS reason, count(*) AS n
 FROM conversations GROUP BY 1""",
+    "written_report": PKG + """,
+ lst AS (SELECT *, CASE WHEN b < 97 THEN 'train' WHEN b < 98 THEN 'dev' ELSE 'test' END AS split, line_no % 17 = 3 AS away
+         FROM (SELECT (conv_id + turn) % 13 = 7 AS bad, conv_id * 1000 + turn + 1 AS line_no,
+                      CAST(('0x' || substr(md5('PMC' || conv_id || '-' || turn), 1, 8)) AS BIGINT) % 100 AS b FROM conversations)),
+ won AS (SELECT line_no, count(*) AS n FROM (
+           SELECT * FROM ps WHERE line_no % 17 <> 3 QUALIFY row_number() OVER (PARTITION BY split, pmid || '_' || fig_id ORDER BY line_no) = 1) GROUP BY 1),
+ ent AS (SELECT split, CASE WHEN away THEN 'fetch_failed' WHEN bad THEN 'bad_archive' WHEN n IS NULL THEN 'no_pair_written' ELSE 'ok' END AS reason,
+                coalesce(n, 0) AS n_pairs FROM lst LEFT JOIN won USING (line_no))
+SELECT coalesce(split, '*') AS split, reason, count(*) AS n, CAST(sum(n_pairs) AS BIGINT) AS n_pairs
+FROM ent GROUP BY GROUPING SETS ((split, reason), (reason))""",
     "list_skip_malformed": cte("raw_list") + f",\n {CAT}\nSELECT * FROM cat",
     "list_failfast_violations": cte("raw_list") + f"""
 SELECT line_no, n_fields FROM (

@@ -695,6 +695,20 @@ def q_build_from_packages_skips(spark, sf):
     return report.skip_counts(_package_build(spark, sf).entries)
 
 
+def q_written_report(spark, sf):
+    """G1/G2 of a build as written: entries per list and reason, read back, and over all lists (``*``) as observed during the write."""
+    from figpairs.plans.pipeline import write_build
+
+    packages = _landed_packages(spark, sf)
+    cat = split.assign_split(proxy(spark, sf, "package_rows").select("line_no", "pmcid", "pmid"))
+    # every seventeenth line names a package that has not landed
+    cat = cat.withColumn("pmcid", F.when(F.col("line_no") % 17 == 3, F.concat("pmcid", F.lit("-x"))).otherwise(F.col("pmcid")))
+    done = write_build(build_pairs(cat, packages), _roundtrip_dir(spark, "reported"), packages=packages, entries=True)
+    lists = done.entries.groupBy("split", "reason").agg(F.count("*").alias("n"), F.sum("n_pairs").cast("bigint").alias("n_pairs"))
+    rows = [("*", k, n, done.counts["pairs"] if k == "ok" else 0) for k, n in done.counts.items() if n and k not in ("entries", "pairs")]
+    return lists.unionByName(spark.createDataFrame(rows, "split string, reason string, n bigint, n_pairs bigint"))
+
+
 def q_resume_after_partial_write(spark, sf):
     """A first run publishes half the packages, a second resumes from what was written; the pairs are read back."""
     from figpairs.plans.pipeline import write_build
