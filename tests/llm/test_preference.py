@@ -82,3 +82,48 @@ def test_edges(spark, docs, no_docs):
     assert len(got) == docs.count() and all(0 <= r.score <= 1 for r in got)
     assert len({r.score for r in got if r.doc_id in (3, 4, 5)}) == 1
     assert B.preference_scores(no_docs, model).count() == 0 and B.learn(no_docs, labels, every) is None
+
+
+def _texts(spark, n, bad):
+    """Documents of plain words, every ``bad``-th in capitals and marks (label 0); a tenth of either are of an odd kind."""
+    def text(k):
+        words = [f"{'abcdefgh'[(k + j) % 8] * (1 + j % 5)}{j % 7 if k % 10 == 3 else ''}" for j in range(30)]
+        return " ".join(w.upper() + "!" for w in words) if k % bad == 0 else " ".join(words)
+
+    docs = spark.createDataFrame([(k, text(k)) for k in range(n)], "doc_id long, text string")
+    return docs, spark.createDataFrame([(k, int(k % bad != 0)) for k in range(n)], "doc_id long, quality int")
+
+
+def test_every_labelled_row_is_learnt_from(spark, monkeypatch):
+    """Moments, loss and cut of many buckets are those of all rows and pairs put together."""
+    monkeypatch.setattr(B, "BUCKET", 40)
+    monkeypatch.setattr(B, "LEAST_SIDE", 4)
+    monkeypatch.setattr(B, "AT_ONCE", 16)
+    docs, labels = _texts(spark, 600, 5)
+    seen, sums = [], B._summed
+    monkeypatch.setattr(B, "_summed", lambda buckets, of, rows: (seen.append(buckets), sums(buckets, of, rows))[1])
+    m = B.learn(docs, labels, F.col("doc_id") % 7 != 0)
+    packed = [tuple(np.frombuffer(x, np.float32).reshape(-1, B.FEATURES).astype(float) for x in (r.better, r.worse)) for r in seen[0].collect()]
+    assert len(packed) > 5
+    slots: dict = {}
+    of = {r.doc_id: B.text_features(r.text.encode(), slots) for r in docs.collect() if r.doc_id % 7}
+    better, worse = (np.array([f for k, f in of.items() if (k % 5 != 0) == good], float) for good in (True, False))
+    assert sorted(map(tuple, np.concatenate([p[0] for p in packed]))) == sorted(map(tuple, better))
+    assert sorted(map(tuple, np.concatenate([p[1] for p in packed]))) == sorted(map(tuple, worse))
+    rows = np.concatenate([better, worse])
+    assert np.allclose(m["mean"], rows.mean(0)) and np.allclose(m["scale"], rows.std(0) + 1e-3)
+    diff = np.concatenate([d for b, w in packed for d in B._differences(b / m["scale"], w / m["scale"])])
+    ridge = B.RIDGE * len(diff) / 1000
+    slope, _ = B.pair_sums(diff, m["w"])
+    assert np.abs(slope + ridge * m["w"]).max() < 1e-4 * len(diff)
+    s = np.sort(((rows - m["mean"]) / m["scale"]) @ m["w"])
+    share = len(worse) / len(rows)
+    k = round(share * len(rows))
+    assert np.isclose(m["cut"], (s[k - 1] + s[k]) / 2)
+
+
+def test_each_round_of_pairs_has_every_row():
+    better, worse = np.arange(7.0)[:, None] * 100, np.arange(3.0)[:, None]
+    for diff in B._differences(better, worse):
+        assert {round(x) // 100 + (round(x) % 100 > 0) for x in diff.ravel()} == set(range(7)) and {round(-x) % 100 for x in diff.ravel()} == {0, 1, 2}
+    assert not list(B._differences(better, worse[:0]))
