@@ -35,6 +35,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -73,13 +74,13 @@ def encoder(tokenizer_path: str):
     def learn(words: list[bytes]) -> None:
         for at in range(0, len(words), 4096):
             part = words[at:at + 4096]
-            e = tok.encode(b" ".join(part).decode(), add_special_tokens=False)
-            ids = np.array(e.ids, dtype="<u4")
-            text_ends = np.cumsum([len(w.decode()) + 1 for w in part])
-            starts = np.array(e.offsets, dtype=np.int64).reshape(-1, 2)[:, 0]
-            cuts = np.concatenate([[0], np.searchsorted(starts, text_ends)])
-            for k, w in enumerate(part):
-                known[w] = ids[cuts[k]:cuts[k + 1]].tobytes()
+            line = b" ".join(part).decode()
+            e = tok.encode(line, add_special_tokens=False)
+            ids = np.array(e.ids, dtype="<u4").tobytes()
+            gaps = np.flatnonzero(np.frombuffer(line.encode("utf-32-le"), "<u4") == 0x20)  # offsets count characters
+            starts = np.fromiter(chain.from_iterable(e.offsets), np.int64, len(ids) // 2)[::2]
+            cuts = [0, *(4 * np.searchsorted(starts, gaps)).tolist(), len(ids)]
+            known.update((w, ids[s:t]) for w, s, t in zip(part, cuts, cuts[1:]))
 
     def encode(texts: list[str | None]) -> list[np.ndarray]:
         split = [(t or "").encode().split() for t in texts]
