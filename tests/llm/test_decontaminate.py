@@ -163,3 +163,42 @@ def test_words_hashed_where_they_lie(monkeypatch):
         assert block.tolist() == [places.index(x) for x in want] and doc.tolist() == [d for d, _ in places]
     assert len(set(names.values())) == len(names) and {"alpha", "beta", "ab", "grüße"} <= set(names)
     assert Item("x", np.zeros(dc.SLOTS, bool)).slots == [names["x"][0]]
+
+
+def test_every_document_takes_part_in_the_fit(spark, monkeypatch):
+    seen, latent = [], dc._latent
+
+    def fitted(fit, *args):
+        seen.append(fit.where("weight = 1").count())
+        return latent(fit, *args)
+
+    monkeypatch.setattr(dc, "_latent", fitted)
+    rows = [(k, " ".join(f"t{k % 50}x{j}" for j in range(12)), "en", "s") for k in range(2300)]
+    find_leaks(documents(spark, rows), spark.createDataFrame([(1, "t3x0 t3x1 t3x2 t3x3 t3x4")], "item_id long, text string"))
+    assert seen == [2300]
+
+
+def test_the_space_is_that_of_all_passages(spark):
+    """The basis spans what three rounds with the whole matrix, made row by row, give."""
+    rng = random.Random(4)
+    texts = [" ".join(f"w{int(rng.paretovariate(0.6)) % 400}" for _ in range(rng.choice([0, 1, 7, 24, 25, 48, 60, 200]))) for _ in range(90)]
+    d = dc._hashed(documents(spark, [(k, t, "en", "s") for k, t in enumerate(texts)]).select(dc.F.col("doc_id").alias("id"), "text"), "test-words")
+    freq, total = dc._frequencies(d)
+    idf = np.log((total + 1) / (freq + 0.5)).astype(np.float32)
+    rows, blocks = [], 0
+    for k, t in enumerate(texts):
+        slot = dc._blocks([t.encode()])[0]
+        cuts = [slot[i:i + BLOCK] for i in range(0, len(slot), BLOCK)]
+        blocks += len(cuts)
+        for both in ([np.concatenate(x) for x in zip(cuts, cuts[1:])] or cuts):
+            row = np.bincount(both, minlength=dc.SLOTS) * idf
+            rows.append(row / np.linalg.norm(row) * (3 if k % 2 else 1))
+    assert total == blocks and len(rows) == dc.n_passages(d)
+    fit = d.select("slots", dc.F.when(dc.F.col("id") % 2 == 1, 3.0).otherwise(1.0).alias("weight"))
+    got = dc._latent(fit.repartition(3), idf)
+    x = np.array(rows)
+    want = dc._orthonormal(np.random.default_rng(3).standard_normal((dc.SLOTS, dc.RANK), np.float32))
+    for _ in range(3):
+        want = dc._orthonormal((x.T @ (x @ want)).astype(np.float32))
+    # both bases keep the same part of the rows
+    assert np.allclose(np.linalg.norm(x @ got, axis=1), np.linalg.norm(x @ want, axis=1), atol=1e-3)
