@@ -207,3 +207,28 @@ def test_pull_parser_equals_a_tree():
                 assert [tuple(f.values())[:-1] for f in figs] == want
                 found += len(want)
     assert found > 2000
+
+
+def test_tasks_list_what_spark_lists(spark, tmp_path, monkeypatch):
+    """The same paths and lengths as Spark's listing, which the driver would hold, without it."""
+    names = ["a.tar.gz", "b/c.tar.gz", "b/d/e f%20.tar.gz", "b/d/ü.tar.gz", "_x/f.tar.gz", ".y/g.tar.gz", "k=1/_z=2/h.tar.gz", "_i.tar.gz", ".j.tar.gz", "k.tar", "l.TAR.GZ"]
+    for k, name in enumerate(names):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(b"x" * k)
+    want = sorted(tuple(r) for r in archive.scan_packages(spark, str(tmp_path)).select("path", "length").collect())
+    small = sorted(tuple(r) for r in archive.scan_packages(spark, str(tmp_path), max_mb=0).select("path", "length").collect())
+    file_list = sorted(tuple(r) for r in archive.scan_packages(spark, str(tmp_path / "a.tar.gz")).select("path", "length").collect())
+    one = sorted(tuple(r) for r in stream.list_packages(spark, str(tmp_path / "a.tar.gz")).collect())
+    assert one == file_list
+    monkeypatch.setattr(archive, "scan_packages", None)
+    for path in (str(tmp_path), f"file:{tmp_path}", f"file://{tmp_path}/"):
+        assert sorted(tuple(r) for r in stream.list_packages(spark, path).collect()) == want
+    assert sorted(tuple(r) for r in stream.list_packages(spark, str(tmp_path), max_mb=0).collect()) == small
+    assert stream.list_packages(spark, str(tmp_path), ext=".none").count() == 0
+
+
+def test_small_archives_are_dealt_out_by_their_number(spark):
+    listing = spark.range(3000).selectExpr("concat('/p/', id, '.tar.gz') path", "200L length")
+    by = [r["count"] for r in stream.balanced(listing).groupBy(F.spark_partition_id()).count().collect()]
+    cores = spark.sparkContext.defaultParallelism
+    assert sum(by) == 3000 and max(by) <= 3000 // min(cores, 100) + 1
