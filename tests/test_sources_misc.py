@@ -102,3 +102,17 @@ def test_join_checked_counts_rows(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_tasks_list_and_read_the_xml_tree(spark, tmp_path, monkeypatch):
+    """The rows of Spark's own scan, and no file of it in the driver's listing."""
+    from figpairs.sources import archive
+
+    for k in range(70):
+        (tmp_path / f"PMC{k % 40}").mkdir(exist_ok=True)
+        (tmp_path / f"PMC{k % 40}" / f"{k}.nxml").write_bytes(b"<article>%d</article>" % k)
+    (tmp_path / "PMC1" / "other.xml").write_bytes(b"x")
+    want = {(r.path, bytes(r.xml)) for r in archive.scan_xml(spark, str(tmp_path), "*.[n]xml").collect()}
+    got = archive.scan_xml(spark, str(tmp_path))
+    assert len(want) == 70 and {(r.path, bytes(r.xml)) for r in got.collect()} == want
+    assert not any("PMC" in f for f in got.inputFiles())
