@@ -116,3 +116,21 @@ def test_tasks_list_and_read_the_xml_tree(spark, tmp_path, monkeypatch):
     got = archive.scan_xml(spark, str(tmp_path))
     assert len(want) == 70 and {(r.path, bytes(r.xml)) for r in got.collect()} == want
     assert not any("PMC" in f for f in got.inputFiles())
+
+
+def test_small_images_share_tasks(spark, tmp_path):
+    """Files of a folder tree are decoded wherever they lie, and not in a task per few of them."""
+    for k in range(200):
+        (tmp_path / f"PMC{k % 50}").mkdir(exist_ok=True)
+        (tmp_path / f"PMC{k % 50}" / f"g{k}.png").write_bytes(model.png_bytes(k % 5 + 1, 2) if k % 7 else b"cut")
+    (tmp_path / "PMC1" / "g.gif").write_bytes(model.png_bytes(9, 9))
+    got = images.read_images(spark, str(tmp_path), glob="*.png")
+    by_path = images.read_images(spark, str(tmp_path / "*" / "*.png"))
+    rows = sorted(tuple(r) for r in got.collect())
+    assert rows == sorted(tuple(r) for r in by_path.collect()) and len(rows) == sum(1 for k in range(200) if k % 7)
+    held = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16m")
+    try:
+        assert got.select("*").rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism + 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", held)
